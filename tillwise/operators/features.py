@@ -34,12 +34,12 @@ def rfm_base(sales: DataFrame) -> DataFrame:
 def with_behaviour(rfm: DataFrame, as_of: str) -> DataFrame:
     """Recency on day ``as_of``, tenure, mean basket and purchases per 30 days."""
     tenure = F.datediff("last_purchase", "first_purchase")
-    spend = F.col("total_spend").cast("double")
     return rfm.withColumns(
         {
             "recency_days": F.datediff(F.lit(as_of).cast("date"), "last_purchase"),
             "tenure_days": tenure,
-            "avg_basket_value": F.round(spend / F.col("n_transactions"), 4),
+            # decimal spend divides and rounds in decimal
+            "avg_basket_value": F.round(F.col("total_spend") / F.col("n_transactions"), 4).cast("double"),
             # n / ((tenure + 1) / 30), with the division last so that it rounds once
             "purchase_frequency_per_month": F.round(F.col("n_transactions") * 30 / (tenure + 1), 3),
         }

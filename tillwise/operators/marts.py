@@ -54,7 +54,7 @@ def age_group_summary(features: DataFrame) -> DataFrame:
         .agg(
             F.count("*").alias("n_customers"),
             F.sum("total_spend").alias("revenue"),
-            F.round(ratio(F.sum("total_spend"), F.count("*")), 2).alias("avg_revenue"),
+            F.round(F.sum("total_spend") / F.count("*"), 2).alias("avg_revenue"),
             F.round(ratio(F.sum("n_transactions"), F.count("*")), 2).alias("avg_purchases"),
         )
     )

@@ -39,16 +39,17 @@ def json_part(reply: Column) -> Column:
 def parsed_replies(replies: DataFrame) -> DataFrame:
     """Adds cleaned text, validity, the chosen tool and whether tool and parameters are there."""
     cleaned = replies.withColumn("cleaned", json_part(F.col("reply")))
-    value = F.try_parse_json("cleaned")
+    parameters = F.try_variant_get("_v", "$.parameters", "variant")
     return (
-        cleaned.withColumn("_v", value)
+        cleaned.withColumn("_v", F.try_parse_json("cleaned"))
         .withColumn("valid_json", F.col("_v").isNotNull())
         .withColumn("tool", F.try_variant_get("_v", "$.tool", "string"))
         .withColumn(
             "valid_structure",
             F.col("valid_json")
             & (F.coalesce(F.col("tool"), F.lit("")) != "")
-            & F.coalesce(~F.is_variant_null(F.try_variant_get("_v", "$.parameters", "variant")), F.lit(False)),
+            & parameters.isNotNull()
+            & ~F.is_variant_null(parameters),
         )
         .drop("_v")
     )
