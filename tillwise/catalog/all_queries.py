@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["cleaning", "joins", "aggregates", "dashboards", "statistics", "retrieval", "sources", "streaming"]
+MODULES = ["cleaning", "joins", "aggregates", "dashboards", "statistics", "retrieval", "sources", "streaming", "models"]
 
 
 def load() -> None:

@@ -280,7 +280,8 @@ def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
     low, high = limits["low"], limits["high"]
     width = (high - low) / bins
     number = F.when(high == low, F.lit(1)).otherwise(F.least(F.floor((x - low) / width) + 1, F.lit(bins)))
-    counts = df.where(x.isNotNull()).groupBy(number.cast("long").alias("bin")).agg(F.count("*").alias("n"))
+    placed = df.where(x.isNotNull()).select(number.cast("long").alias("bin"))
+    counts = placed.groupBy("bin").agg(F.count("*").alias("n"))
     every = df.sparkSession.range(1, bins + 1).withColumnRenamed("id", "bin")
     return (
         every.join(counts, "bin", "left")

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tillwise.functions.columns import stripped
 from tillwise.functions.vectors import cosine, unit
+from tillwise.operators.neighbours import blocks_of
 from tillwise.operators.ranking import top_per_group
 
 # Every line end that a text reader may meet, as one pattern.
@@ -68,7 +69,7 @@ def search(
     """
     spark = queries.sparkSession
     candidates = None
-    for rows in _blocks(queries.select(query_key, vector), block):
+    for rows in blocks_of(queries.select(query_key, vector), block):
         keys = [row[0] for row in rows]
         matrix = _unit_rows(np.array([row[1] for row in rows], dtype="float64"))
         shipped = spark.sparkContext.broadcast((keys, matrix))
@@ -82,17 +83,6 @@ def search(
     return best.where(F.col("similarity") >= threshold)
 
 
-def _blocks(df: DataFrame, size: int) -> Iterator[list]:
-    block = []
-    for row in df.toLocalIterator():
-        block.append(row)
-        if len(block) == size:
-            yield block
-            block = []
-    if block:
-        yield block
-
-
 def _candidate_schema(queries: DataFrame, corpus: DataFrame, query_key: str, corpus_key: str) -> str:
     kinds = queries.schema[query_key].dataType.simpleString(), corpus.schema[corpus_key].dataType.simpleString()
     return f"{query_key} {kinds[0]}, {corpus_key} {kinds[1]}, similarity double"
