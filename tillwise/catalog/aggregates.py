@@ -8,6 +8,7 @@ from tillwise import model
 from tillwise.catalog.base import cents, query, rounded
 from tillwise.functions.columns import ratio
 from tillwise.operators import analysis, cleaning, features, marts, quantiles, ranking
+from tillwise.session import materialise
 from tillwise.sources.binding import AS_OF
 
 RATIO = "(SUM({0})::DOUBLE / COUNT(*))"
@@ -38,8 +39,6 @@ def a03(t):
 
 
 def _stored_rfm(t):
-    from tillwise.session import materialise
-
     return materialise(features.rfm_base(t.named_sales), "rfm")
 
 
@@ -57,7 +56,8 @@ def a04(t):
 )
 def a04_quartiles(t):
     marks = {"q1": 0.25, "q2": 0.5, "q3": 0.75}
-    return quantiles.exact_quantiles(t.named_sales, "price", marks, by=["product_group_name"])
+    stored = materialise(t.named_sales.select("product_group_name", "price"), "prices")
+    return quantiles.exact_quantiles(stored, "price", marks, by=["product_group_name"])
 
 
 @query(
@@ -300,7 +300,8 @@ def a26(t):
   GROUP BY 1, 2, 3, 4""",
 )
 def a27(t):
-    return analysis.box_summary(t.named_sales, "price", "product_group_name")
+    stored = materialise(t.named_sales.select("product_group_name", "price"), "prices")
+    return analysis.box_summary(stored, "price", "product_group_name")
 
 
 @query(
@@ -313,8 +314,6 @@ def a27(t):
   (SELECT value_segment FROM feat GROUP BY 1 ORDER BY COUNT(*) DESC, 1 LIMIT 1) AS dominant_segment FROM feat""",
 )
 def a28(t):
-    from tillwise.session import materialise
-
     scored = materialise(t.features.select("club_member_status", "value_segment", "total_spend"), "scored")
     return marts.scoring_summary(scored, "club_member_status", "value_segment", "total_spend")
 

@@ -15,6 +15,7 @@ from tillwise.functions.columns import (
     surrogate_key,
 )
 from tillwise.operators import analysis, cleaning, profiling, ranking, star
+from tillwise.session import materialise
 from tillwise.streaming import messages
 
 
@@ -132,7 +133,7 @@ VALID = """(event_id % 31 <> 0 AND event_id % 17 <> 0 AND event_id % 19 <> 0 AND
     f"SELECT COUNT(*) AS n, COUNT(*) FILTER ({VALID}) AS n_valid, COUNT(*) FILTER (NOT {VALID}) AS n_rejected FROM events",
 )
 def c11(t):
-    parsed = messages.parse_messages(t.raw_messages)
+    parsed = materialise(messages.parse_messages(t.raw_messages), "parsed")
     valid, rejected = cleaning.split_valid(parsed)
     sides = cleaning.union_all(
         valid.select(F.lit(1).alias("v"), F.lit(0).alias("r")), rejected.select(F.lit(0).alias("v"), F.lit(1).alias("r"))
@@ -229,8 +230,9 @@ def c18(t):
    SELECT 'article_id', CAST(article_id AS DOUBLE) FROM tx) GROUP BY 1""",
 )
 def c19(t):
+    stored = materialise(t.sales.select("price", "article_id"), "sales")
     return (
-        profiling.describe_numeric(t.sales, ["price", "article_id"])
+        profiling.describe_numeric(stored, ["price", "article_id"])
         .withColumn("mean", F.round("mean", 4))
         .withColumn("std", F.round("std", 4))
     )

@@ -278,7 +278,7 @@ def m19(t):
 def m20(t):
     train, test = regress.split(_features(t))
     inputs, _ = regress.fit_inputs(train)
-    return regress.compare(inputs.transform(train), inputs.transform(test), regress.linear_models(train.count()))
+    return regress.compare(inputs.transform(train), inputs.transform(test), regress.linear_models(train))
 
 
 @query("m21_spend_model")
@@ -309,7 +309,7 @@ def m22(t):
 def _linear_predictions(t):
     train, test = regress.split(_features(t))
     inputs, _ = regress.fit_inputs(train)
-    fitted = regress.linear_models(train.count())["least squares"].fit(inputs.transform(train))
+    fitted = regress.linear_models(train)["least squares"].fit(inputs.transform(train))
     return fitted.transform(inputs.transform(test))
 
 

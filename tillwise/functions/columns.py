@@ -75,4 +75,4 @@ def sample_order(key: Column, seed: int) -> Column:
 
 
 def stripped(text: Column) -> Column:
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.btrim(text, F.lit(" \t\n\x0b\f\r"))

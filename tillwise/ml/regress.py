@@ -34,17 +34,30 @@ def fit_inputs(train: DataFrame, k: int = 12) -> tuple[PipelineModel, list[str]]
     return PipelineModel([*stages, *scaling_stages(encoded, chosen)]), chosen
 
 
-def linear_models(n: int) -> dict[str, LinearRegression]:
+def linear_models(train: DataFrame) -> dict[str, LinearRegression]:
     """Least squares, lasso 0.01, ridge 1.0 and elastic net (0.01, half and half).
 
-    The ridge penalty 1.0 refers to the sum of squares, the others to its mean; hence 1/n.
+    Penalties are meant as: mean squared error / 2 + a |w| + b w^2 / 2, and for the ridge:
+    sum of squares + |w|^2, so b = 1/n. The estimator divides the label by its deviation
+    first, which leaves ``a`` as it is and divides ``b`` by the deviation; hence the factor.
     """
-    common = {"featuresCol": SCALED, "labelCol": LABEL, "standardization": False}
+    n, sd = train.agg(F.count("*"), F.stddev_samp(LABEL)).first()
+
+    def penalised(a: float, b: float) -> LinearRegression:
+        total = a + b * sd
+        return LinearRegression(
+            featuresCol=SCALED,
+            labelCol=LABEL,
+            standardization=False,
+            regParam=total,
+            elasticNetParam=a / total if total else 0.0,
+        )
+
     return {
-        "least squares": LinearRegression(**common),
-        "lasso": LinearRegression(regParam=0.01, elasticNetParam=1.0, **common),
-        "ridge": LinearRegression(regParam=1.0 / n, elasticNetParam=0.0, **common),
-        "elastic net": LinearRegression(regParam=0.01, elasticNetParam=0.5, **common),
+        "least squares": penalised(0.0, 0.0),
+        "lasso": penalised(0.01, 0.0),
+        "ridge": penalised(0.0, 1.0 / n),
+        "elastic net": penalised(0.005, 0.005),
     }
 
 

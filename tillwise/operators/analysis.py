@@ -291,7 +291,8 @@ def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
 
 
 def box_summary(df: DataFrame, value: str, group: str) -> DataFrame:
-    """Quartiles, whiskers at 1.5 interquartile ranges and outliers, per group."""
+    """Quartiles, whiskers at 1.5 interquartile ranges and outliers, per group. ``df`` is read
+    three times: hand in a stored table."""
     marks = {"q1": 0.25, "median": 0.5, "q3": 0.75}
     quartiles = exact_quantiles(df, value, marks, by=[group])
     spread = F.col("q3") - F.col("q1")

@@ -5,24 +5,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillwise import model
+from tillwise.functions.columns import UNKNOWN_KEY
 from tillwise.operators.quantiles import exact_quantiles
 from tillwise.session import materialise
 
 
-def rfm_base(sales: DataFrame) -> DataFrame:
+def rfm_base(sales: DataFrame, by: str = "customer_id") -> DataFrame:
     """Spend, purchases, first and last day and distinct categories per customer.
 
-    ``sales`` needs customer_id, price, t_dat and product_group_name. The first grouping, by
-    customer and category, shrinks the sales to a few rows per customer before the second,
-    so a customer with a third of all sales costs no more than its categories.
+    ``sales`` needs the customer column, price, t_dat and product_group_name. The first
+    grouping, by customer and category, shrinks the sales to a few rows per customer before
+    the second, so a customer with a third of all sales costs no more than its categories.
+    Sales of unknown customers are nobody's features and stay out.
     """
-    per_category = sales.groupBy("customer_id", "product_group_name").agg(
+    known = F.col(by).isNotNull()
+    if by == "customer_key":
+        known = known & (F.col(by) != UNKNOWN_KEY)
+    per_category = sales.where(known).groupBy(by, "product_group_name").agg(
         F.sum("price").alias("spend"),
         F.count("*").alias("n"),
         F.min("t_dat").alias("first"),
         F.max("t_dat").alias("last"),
     )
-    return per_category.groupBy("customer_id").agg(
+    return per_category.groupBy(by).agg(
         F.sum("spend").alias("total_spend"),
         F.sum("n").alias("n_transactions"),
         F.min("first").alias("first_purchase"),
@@ -85,13 +90,15 @@ def with_segment(features: DataFrame, exact: bool = True, strict_edges: bool = F
     return features.withColumn("value_segment", _segment(value, [edge["low"], edge["mid"], edge["high"]]))
 
 
-def with_demographics(features: DataFrame, customers: DataFrame, population: str = "buyers") -> DataFrame:
+def with_demographics(
+    features: DataFrame, customers: DataFrame, population: str = "buyers", by: str = "customer_id"
+) -> DataFrame:
     """Features with customer attributes, for ``buyers`` only or for ``all`` customers."""
-    attributes = customers.select("customer_id", *model.DEMOGRAPHICS)
+    attributes = customers.select(by, *model.DEMOGRAPHICS)
     if population == "buyers":
-        return features.join(attributes, "customer_id", "left")
+        return features.join(attributes, by, "left")
     if population == "all":
-        return attributes.join(features, "customer_id", "left")
+        return attributes.join(features, by, "left")
     raise ValueError("population is 'buyers' or 'all'")
 
 
@@ -101,7 +108,12 @@ def customer_features(
     as_of: str,
     exact: bool = True,
     population: str = "buyers",
+    by: str = "customer_id",
 ) -> DataFrame:
-    """The whole feature table. The base is stored once: its scan of the sales is the cost."""
-    base = materialise(with_behaviour(rfm_base(sales), as_of), "rfm")
-    return with_demographics(with_segment(base, exact), customers, population)
+    """The whole feature table, keyed by customer id or by surrogate key.
+
+    The base is stored once: its scan of the sales is the cost. Customer attributes join
+    the finished rows, never the sales.
+    """
+    base = materialise(with_behaviour(rfm_base(sales, by), as_of), "rfm")
+    return with_demographics(with_segment(base, exact), customers, population, by)

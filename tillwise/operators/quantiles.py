@@ -8,85 +8,81 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tillwise.session import materialise
+# The sketch is off by n / ACCURACY ranks at most; brackets reach MARGIN times as far. Groups
+# so small that this reach is only a few ranks are bracketed by their extremes instead.
+ACCURACY = 50_000
+MARGIN = 5
+FEW_RANKS = 10
 
 
 def exact_quantiles(
-    df: DataFrame,
-    value: str,
-    quantiles: dict[str, float],
-    by: list[str] | None = None,
-    buckets: int = 256,
+    df: DataFrame, value: str, quantiles: dict[str, float], by: list[str] | None = None
 ) -> DataFrame:
     """Linear-interpolated quantiles, one column per entry of ``quantiles``.
 
-    1. Equal values collapse to (value, count), so a value that fills a third of the table
-       is one row. 2. A quantile sketch of bounded size cuts each group into buckets.
-    3. Bucket totals tell which buckets hold the wanted ranks. 4. Only those are ordered.
-    NULL values and rows with a NULL group are left out.
+    1. A sketch of bounded size brackets every quantile between two values that are a tiny
+    share of the rows apart. 2. Rows below a bracket are counted, equal values inside it
+    collapse to (value, count); this combines before the shuffle, so neither a hot group nor
+    a value that fills a third of the table moves as rows. 3. Only the bracket's values are
+    ordered. A bracket that missed its rank would be an error, never a wrong number.
+
+    ``df`` is read twice; hand in a stored table if it is costly to derive. NULL values and
+    rows with a NULL group are left out.
     """
     groups = by or []
     names = list(quantiles)
-    present = df.where(F.col(value).isNotNull())
+    rows = df.where(F.col(value).isNotNull()).select(*groups, F.col(value).alias("_v"))
     for group in groups:
-        present = present.where(F.col(group).isNotNull())
-    counted = materialise(
-        present.groupBy(*groups, F.col(value).alias("_value")).agg(F.count("*").alias("_n")), "values"
-    )
+        rows = rows.where(F.col(group).isNotNull())
 
-    cuts = [i / buckets for i in range(1, buckets)]
-    edges = counted.groupBy(*groups).agg(F.percentile_approx("_value", cuts, buckets * 20).alias("_edges"))
-    if groups:
-        placed = counted.join(edges, groups)
-    else:
-        placed = counted.withColumn("_edges", edges.scalar())
-    bucket = F.size(F.filter("_edges", lambda edge: edge < F.col("_value")))
-    placed = placed.withColumn("_bucket", bucket).drop("_edges")
-
-    upto = Window.partitionBy(*groups).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
-    totals = (
-        placed.groupBy(*groups, "_bucket")
-        .agg(F.sum("_n").alias("_in"))
-        .withColumn("_end", F.sum("_in").over(upto))
-        .withColumn("_rows", F.sum("_in").over(Window.partitionBy(*groups)))
+    reach = MARGIN / ACCURACY
+    ends = [end for q in quantiles.values() for end in (max(0.0, q - reach), min(1.0, q + reach))]
+    brackets = rows.groupBy(*groups).agg(
+        F.percentile_approx("_v", ends, ACCURACY).alias("_near"),
+        F.array(*[F.min("_v"), F.max("_v")] * len(names)).alias("_whole"),
+        F.count("*").alias("_rows"),
+    )
+    small = F.col("_rows") * reach <= FEW_RANKS
+    brackets = brackets.select(
+        *groups, F.when(small, F.col("_whole")).otherwise(F.col("_near")).alias("_ends"), "_rows"
     )
 
-    def wanted_ranks(index: int, q: float) -> list[Column]:
-        position = F.lit(q) * (F.col("_rows") - 1)
-        low = F.floor(position)
-        high = F.ceil(position)
-        part = (position - low).alias("part")
-        index_col = F.lit(index).alias("index")
-        return [
-            F.struct(index_col, F.lit(True).alias("lower"), low.alias("rank"), part),
-            F.struct(index_col, F.lit(False).alias("lower"), high.alias("rank"), part),
-        ]
-
-    ranks = [r for i, name in enumerate(names) for r in wanted_ranks(i, quantiles[name])]
-    wanted = (
-        totals.withColumn("_w", F.explode(F.array(*ranks)))
-        .where((F.col("_w.rank") < F.col("_end")) & (F.col("_w.rank") >= F.col("_end") - F.col("_in")))
-        .select(*groups, "_bucket", "_w.*", (F.col("_end") - F.col("_in")).alias("_before"))
+    def beside(frame: DataFrame, column: str) -> DataFrame:
+        if groups:
+            return frame.join(brackets.select(*groups, column), groups)
+        return frame.withColumn(column, brackets.select(column).scalar())
+
+    def cell(i: int) -> Column:
+        """(index, NULL) below the bracket, (index, value) inside it, NULL above it."""
+        low, high = F.col("_ends")[2 * i], F.col("_ends")[2 * i + 1]
+        inside = F.when(F.col("_v") >= low, F.col("_v"))
+        return F.when(F.col("_v") <= high, F.struct(F.lit(i).alias("i"), inside.alias("v")))
+
+    cells = (
+        beside(rows, "_ends")
+        .select(*groups, F.explode(F.array(*[cell(i) for i in range(len(names))])).alias("_c"))
+        .where("_c IS NOT NULL")
+        .groupBy(*groups, F.col("_c.i").alias("_i"), F.col("_c.v").alias("_v"))
+        .agg(F.count("*").alias("_n"))
     )
 
-    keys = [*groups, "_bucket"]
-    running = Window.partitionBy(*keys).orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
-    hits = (
-        placed.join(wanted.select(*keys).distinct(), keys, "left_semi")
-        .withColumn("_seen", F.sum("_n").over(running))
-        .join(wanted, keys)
-        .where(
-            (F.col("rank") - F.col("_before") < F.col("_seen"))
-            & (F.col("rank") - F.col("_before") >= F.col("_seen") - F.col("_n"))
-        )
-        .withColumn("_value", F.col("_value").cast("double"))
+    upto = Window.partitionBy(*groups, "_i").orderBy(F.asc_nulls_first("_v")).rowsBetween(Window.unboundedPreceding, 0)
+    probability = F.get(F.array(*[F.lit(float(q)) for q in quantiles.values()]), F.col("_i"))
+    ranked = (
+        beside(cells.withColumn("_end", F.sum("_n").over(upto)), "_rows")
+        .withColumn("_at", probability * (F.col("_rows") - 1))
+        .where(F.col("_v").isNotNull())
     )
 
-    def interpolated(index: int) -> Column:
-        mine = F.col("index") == index
-        low = F.max(F.when(mine & F.col("lower"), F.col("_value")))
-        high = F.max(F.when(mine & ~F.col("lower"), F.col("_value")))
-        part = F.max(F.when(mine, F.col("part")))
-        return low + (high - low) * part
+    def holds(rank: Column) -> Column:
+        return (rank < F.col("_end")) & (rank >= F.col("_end") - F.col("_n"))
+
+    def interpolated(i: int) -> Column:
+        x = F.when(F.col("_i") == i, F.col("_v").cast("double"))
+        low = F.max(F.when(holds(F.floor("_at")), x))
+        high = F.max(F.when(holds(F.ceil("_at")), x))
+        part = F.max(F.when(F.col("_i") == i, F.col("_at") - F.floor("_at")))
+        missed = F.raise_error(F.lit("a quantile lies outside its bracket")).cast("double")
+        return F.coalesce(low + (high - low) * part, F.when(F.count("*") > 0, missed))
 
-    return hits.groupBy(*groups).agg(*[interpolated(i).alias(name) for i, name in enumerate(names)])
+    return ranked.groupBy(*groups).agg(*[interpolated(i).alias(name) for i, name in enumerate(names)])

@@ -38,12 +38,18 @@ def json_part(reply: Column) -> Column:
 
 def parsed_replies(replies: DataFrame) -> DataFrame:
     """Adds cleaned text, validity, the chosen tool and whether tool and parameters are there."""
+    # inside brackets, so that text after the first value makes it invalid
     cleaned = replies.withColumn("cleaned", json_part(F.col("reply")))
-    parameters = F.try_variant_get("_v", "$.parameters", "variant")
+    listed = F.try_parse_json(F.concat(F.lit("["), F.col("cleaned"), F.lit("]")))
+
+    def at(path: str, kind: str) -> Column:
+        return F.try_variant_get("_v", path, kind)
+
+    tool, parameters = at("$[0].tool", "string"), at("$[0].parameters", "variant")
     return (
-        cleaned.withColumn("_v", F.try_parse_json("cleaned"))
-        .withColumn("valid_json", F.col("_v").isNotNull())
-        .withColumn("tool", F.try_variant_get("_v", "$.tool", "string"))
+        cleaned.withColumn("_v", listed)
+        .withColumn("valid_json", at("$[0]", "variant").isNotNull() & at("$[1]", "variant").isNull())
+        .withColumn("tool", F.when(F.col("valid_json"), tool))
         .withColumn(
             "valid_structure",
             F.col("valid_json")

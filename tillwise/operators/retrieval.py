@@ -26,7 +26,7 @@ def markdown_sections(docs: DataFrame, default_title: str, key: str = "doc_id",
     title. The split works inside each row, so no document crosses a shuffle.
     """
     body = F.regexp_replace(F.col(text), _LINE_END, "\n")
-    parts = F.split(body, r"(?:^|(?<=\n))## ")
+    parts = F.split(F.concat(F.lit("\n"), body), "\n## ")
     sections = docs.select(key, F.posexplode(parts).alias("section", "part"))
     lines = F.split("part", "\n")
     first = F.col("section") == 0

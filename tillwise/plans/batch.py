@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tillwise.functions.columns import surrogate_key
 from tillwise.operators import cleaning, features, marts, star
 from tillwise.sources.warehouse import Warehouse
 from tillwise.streaming.merge import DIM_CUSTOMER, DIM_DATE, FACT, merged_dim_customer, merged_fact
@@ -13,18 +12,6 @@ MARTS = ["customers_features_train", "products_performance", "daily_sales", "cus
 TABLES = ["dim_customer", "dim_article", "dim_date", "fact_transaction", *MARTS]
 
 
-def _write_marts(warehouse: Warehouse, sales: DataFrame, customers: DataFrame, articles: DataFrame, as_of: str) -> None:
-    """Features first: the segment summary then reads the stored rows."""
-    frame = features.customer_features(sales, customers, as_of)
-    frame = cleaning.guard_features(frame).withColumn("customer_key", surrogate_key(F.col("customer_id")))
-    warehouse.overwrite("customers_features_train", frame.drop("customer_id"))
-    products = marts.products_performance(sales, articles).withColumnRenamed("article_id", "article_key")
-    warehouse.overwrite("products_performance", products)
-    warehouse.overwrite("daily_sales", marts.daily_sales(sales).drop("date"))
-    summary = marts.segment_summary(warehouse.read("customers_features_train"))
-    warehouse.overwrite("customer_segments_summary", summary)
-
-
 def load(
     warehouse: Warehouse, transactions: DataFrame, customers: DataFrame, articles: DataFrame, as_of: str
 ) -> None:
@@ -46,14 +33,21 @@ def load_star(warehouse: Warehouse, transactions: DataFrame, customers: DataFram
     warehouse.overwrite(DIM_DATE, star.dim_date(days))
 
 
-def stored_sales(warehouse: Warehouse) -> DataFrame:
-    """Sales as the marts need them, from the fact and its merged increments."""
-    rows = star.warehouse_master(merged_fact(warehouse), merged_dim_customer(warehouse), warehouse.read("dim_article"))
-    return rows.select("customer_id", "article_id", "product_group_name", "t_dat", "price", "sales_channel_id")
-
-
 def recompute(warehouse: Warehouse, as_of: str) -> None:
-    """Rebuild the four marts from the stored star schema."""
-    _write_marts(
-        warehouse, stored_sales(warehouse), merged_dim_customer(warehouse), warehouse.read("dim_article"), as_of
+    """Rebuild the four marts from the stored star schema, merged increments included.
+
+    Sales are added up by their own keys; customer and article attributes join the sums.
+    Only the category count needs an article column beside every sale.
+    """
+    fact = merged_fact(warehouse).withColumn("t_dat", star.key_date(F.col("date_key")))
+    articles, customers = warehouse.read("dim_article"), merged_dim_customer(warehouse)
+    groups = articles.select("article_key", "product_group_name")
+    frame = features.customer_features(
+        fact.join(groups, "article_key", "left"), customers, as_of, by="customer_key"
     )
+    warehouse.overwrite("customers_features_train", cleaning.guard_features(frame))
+    products = marts.products_performance(fact.withColumnRenamed("article_key", "article_id"), articles)
+    warehouse.overwrite("products_performance", products.withColumnRenamed("article_id", "article_key"))
+    warehouse.overwrite("daily_sales", marts.daily_sales(fact).drop("date"))
+    summary = marts.segment_summary(warehouse.read("customers_features_train"))
+    warehouse.overwrite("customer_segments_summary", summary)
