@@ -41,7 +41,7 @@ def linear_models(train: DataFrame) -> dict[str, LinearRegression]:
     sum of squares + |w|^2, so b = 1/n. The estimator divides the label by its deviation
     first, which leaves ``a`` as it is and divides ``b`` by the deviation; hence the factor.
     """
-    n, sd = train.agg(F.count("*"), F.stddev_samp(LABEL)).first()
+    n, sd = train.agg(F.count("*"), F.stddev_pop(LABEL)).first()
 
     def penalised(a: float, b: float) -> LinearRegression:
         total = a + b * sd
@@ -49,6 +49,8 @@ def linear_models(train: DataFrame) -> dict[str, LinearRegression]:
             featuresCol=SCALED,
             labelCol=LABEL,
             standardization=False,
+            solver="normal",  # one pass over the rows
+            tol=1e-9,
             regParam=total,
             elasticNetParam=a / total if total else 0.0,
         )
