@@ -144,6 +144,19 @@ def test_neighbours_in_blocks_equal_brute_force(spark, block):
     }
 
 
+def test_equal_neighbours_go_to_the_smaller_key(spark):
+    """A third of the pool is one and the same vector."""
+    rows = [(i, [1.0, 0.0] if i % 3 == 0 else [0.0, float(i + 1)]) for i in range(90)]
+    pool = spark.createDataFrame(rows, "vec_id INT, embedding ARRAY<DOUBLE>")
+    queries = spark.createDataFrame([(0, [1.0, 0.0])], "query_id INT, embedding ARRAY<DOUBLE>")
+    for parts in (1, 7):
+        found = retrieval.search(queries, pool.repartition(parts), n=4).orderBy("rank").collect()
+        assert [r.vec_id for r in found] == [0, 3, 6, 9]
+    named = pool.select(F.col("vec_id").alias("id"), F.col("embedding").alias("x"))
+    near = nearest(named.where("id = 30"), named.repartition(5), 3, "id", "x", "x", skip_self=True, block=20)
+    assert [r.near_key for r in near.orderBy("rank").collect()] == [0, 3, 6]
+
+
 def test_empty_inputs(spark):
     empty = spark.createDataFrame([], "query_id INT, embedding ARRAY<DOUBLE>")
     corpus = spark.createDataFrame([(1, [1.0])], "vec_id INT, embedding ARRAY<DOUBLE>")

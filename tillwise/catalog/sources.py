@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tillwise import model
 from tillwise.catalog.base import query
-from tillwise.operators import analysis
+from tillwise.operators import analysis, star
 from tillwise.plans import batch
 from tillwise.plans.insights import insight_report
 from tillwise.session import materialise, new_path
@@ -58,6 +58,40 @@ def s03(t):
     )
 
 
+@query(
+    "s04_table_scan",
+    """SELECT CAST(strftime(t_dat, '%Y%m%d') AS BIGINT) AS date_key, article_id AS article_key, price::DOUBLE AS price,
+  CAST(sales_channel_id AS BIGINT) AS sales_channel_id FROM tx""",
+)
+def s04(t):
+    return _star(t).read("fact_transaction").select("date_key", "article_key", "price", "sales_channel_id")
+
+
+@query(
+    "s06_stored_master",
+    """SELECT customer_id, COUNT(*) AS n, SUM(price)::DOUBLE AS spend, COUNT(DISTINCT product_group_name) AS n_groups,
+  any_value(age_group) AS age_group FROM tx LEFT JOIN art USING (article_id) LEFT JOIN cust_clean USING (customer_id) GROUP BY 1""",
+)
+def s06(t):
+    """The stored fact joined with its dimensions, by customer key."""
+    warehouse = _star(t)
+    rows = star.warehouse_master(
+        warehouse.read("fact_transaction").drop("month_key"), warehouse.read("dim_customer"), warehouse.read("dim_article")
+    )
+    return rows.groupBy("customer_id").agg(
+        F.count("*").alias("n"),
+        F.sum("price").alias("spend"),
+        F.countDistinct("product_group_name").alias("n_groups"),
+        F.first("age_group").alias("age_group"),
+    )
+
+
+def _star(t) -> Warehouse:
+    warehouse = Warehouse(t.spark, new_path(t.spark, "warehouse"))
+    batch.load_star(warehouse, t.sales, t.customers, t.articles)
+    return warehouse
+
+
 @query(
     "s05_key_bounds",
     """SELECT MIN(CAST(strftime(t_dat, '%Y%m%d') AS BIGINT)) AS low, MAX(CAST(strftime(t_dat, '%Y%m%d') AS BIGINT)) AS high FROM tx""",

@@ -84,6 +84,36 @@ def st03(t):
     return rows.groupBy("batch_id").agg(F.count("*").alias("n"), F.count_if(unreadable).alias("n_unreadable"))
 
 
+@query(
+    "st04_interval_trigger",
+    f"SELECT COUNT(*) FILTER ({VALID}) AS n_valid, COUNT(*) FILTER (NOT {VALID}) AS n_rejected FROM events",
+)
+def st04(t):
+    """A stream on a processing-time trigger, stopped when it has taken all files."""
+    warehouse = Warehouse(t.spark, new_path(t.spark, "stream"))
+    folder, checkpoint = new_path(t.spark, "messages"), new_path(t.spark, "checkpoint")
+    t.raw_messages.write.parquet(folder)
+    running = ingest.start(file_messages(t.spark, folder), warehouse, checkpoint, interval="1 second")
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    ledger = warehouse.read_batches(ingest.LEDGER, ingest.ENTRY)
+    return ledger.agg(F.sum("n_valid").alias("n_valid"), F.sum("n_rejected").alias("n_rejected"))
+
+
+@query(
+    "st05_restart_ledger",
+    f"""SELECT CAST(CASE WHEN ts < '2024-01-11' THEN 0 WHEN ts < '2024-01-21' THEN 1 ELSE 2 END AS BIGINT) AS batch_id,
+  COUNT(*) FILTER ({VALID}) AS n_valid, COUNT(*) FILTER (NOT {VALID}) AS n_rejected, strftime(MAX(ts), '%Y-%m-%d %H:%M:%S') AS last_timestamp
+  FROM events GROUP BY 1""",
+)
+def st05(t):
+    """The ledger after three runs that each continued from the same checkpoint."""
+    ledger = _ingested(t).read_batches(ingest.LEDGER, ingest.ENTRY)
+    return ledger.withColumn("last_timestamp", F.date_format("last_timestamp", "yyyy-MM-dd HH:mm:ss"))
+
+
 @query("st07_replayed_batch", "SELECT COUNT(*) AS n, ROUND(SUM(price), 2) AS spend FROM goodev")
 def st07(t):
     """The same micro-batch written twice, as after a failure before its commit."""

@@ -277,16 +277,17 @@ def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
     """Counts in ``bins`` equal-width bins over the range; empty bins are listed with zero."""
     x = F.col(value).cast("double")
     limits = df.agg(F.struct(F.min(x).alias("low"), F.max(x).alias("high")).alias("l")).scalar()
-    low, high = limits["low"], limits["high"]
+    low, high = F.col("_l.low"), F.col("_l.high")
     width = (high - low) / bins
-    number = F.when(high == low, F.lit(1)).otherwise(F.least(F.floor((x - low) / width) + 1, F.lit(bins)))
-    placed = df.where(x.isNotNull()).select(number.cast("long").alias("bin"))
-    counts = placed.groupBy("bin").agg(F.count("*").alias("n"))
-    every = df.sparkSession.range(1, bins + 1).withColumnRenamed("id", "bin")
-    return (
-        every.join(counts, "bin", "left")
-        .na.fill(0, ["n"])
-        .withColumns({"low": low + (F.col("bin") - 1) * width, "high": low + F.col("bin") * width})
+    number = F.when(high == low, F.lit(1)).otherwise(F.least(F.floor((F.col("_x") - low) / width) + 1, F.lit(bins)))
+    placed = df.select(x.alias("_x")).where("_x IS NOT NULL").withColumn("_l", limits)
+    counts = placed.select(number.cast("long").alias("bin")).groupBy("bin").agg(F.count("*").alias("n"))
+    every = df.sparkSession.range(1, bins + 1).withColumnRenamed("id", "bin").withColumn("_l", limits)
+    return every.join(counts, "bin", "left").select(
+        "bin",
+        F.coalesce("n", F.lit(0)).alias("n"),
+        (low + (F.col("bin") - 1) * width).alias("low"),
+        (low + F.col("bin") * width).alias("high"),
     )
 
 

@@ -86,8 +86,9 @@ def with_segment(features: DataFrame, exact: bool = True, strict_edges: bool = F
         )
         repeated = F.raise_error(F.lit("quartile edges are not unique")).cast("double")
         quartiles = quartiles.withColumn("low", F.when(rising, F.col("low")).otherwise(repeated))
-    edge = quartiles.select(F.struct("low", "mid", "high").alias("t")).scalar()
-    return features.withColumn("value_segment", _segment(value, [edge["low"], edge["mid"], edge["high"]]))
+    edges = quartiles.select(F.struct("low", "mid", "high").alias("t")).scalar()
+    named = _segment(value, [F.col(f"_edges.{mark}") for mark in ("low", "mid", "high")])
+    return features.withColumn("_edges", edges).withColumn("value_segment", named).drop("_edges")
 
 
 def with_demographics(

@@ -23,6 +23,21 @@ def blocks_of(df: DataFrame, size: int) -> Iterator[list]:
         yield block
 
 
+def n_least(costs: np.ndarray, n: int) -> np.ndarray:
+    """Mask of the ``n`` least entries of every row; of equal ones, those further left.
+
+    Rounded, so that costs which differ only by the order of additions count as equal.
+    """
+    costs = np.round(costs, 9)
+    if n >= costs.shape[1]:
+        return np.ones(costs.shape, bool)
+    border = np.partition(costs, n - 1, axis=1)[:, n - 1 : n]
+    sure = costs < border
+    equal = costs == border
+    open_places = n - sure.sum(axis=1, keepdims=True)
+    return sure | (equal & (np.cumsum(equal, axis=1) <= open_places))
+
+
 def nearest(
     rows: DataFrame,
     pool: DataFrame,
@@ -47,6 +62,7 @@ def nearest(
     columns = list(dict.fromkeys([key, vector, payload]))
 
     def against(part: list) -> DataFrame:
+        part = sorted(part, key=lambda r: r[key])
         keys = np.array([r[key] for r in part], dtype=object)
         points = np.array([r[vector] for r in part], dtype="float64")
         extras = [r[payload] for r in part]
@@ -62,15 +78,13 @@ def nearest(
                     gaps = (mine**2).sum(axis=1)[:, None] + squares[None, :] - 2 * mine @ known.T
                     if skip_self:
                         gaps[piece[key].to_numpy(dtype=object)[:, None] == pool_keys[None, :]] = np.inf
-                    kept = min(n, len(known))
-                    near = np.argpartition(gaps, kept - 1, axis=1)[:, :kept]
-                    flat = near.ravel()
+                    at, near = np.nonzero(n_least(gaps, n))
                     found = pd.DataFrame(
                         {
-                            key: np.repeat(piece[key].to_numpy(), kept),
-                            "near_key": pool_keys[flat],
-                            "gap": np.maximum(np.take_along_axis(gaps, near, axis=1).ravel(), 0.0),
-                            f"near_{payload}": [extra[i] for i in flat],
+                            key: piece[key].to_numpy()[at],
+                            "near_key": pool_keys[near],
+                            "gap": np.round(np.maximum(gaps[at, near], 0.0), 9),
+                            f"near_{payload}": [extra[i] for i in near],
                         }
                     )
                     yield found[np.isfinite(found["gap"])]

@@ -47,10 +47,12 @@ def exact_quantiles(
         *groups, F.when(small, F.col("_whole")).otherwise(F.col("_near")).alias("_ends"), "_rows"
     )
 
-    def beside(frame: DataFrame, column: str) -> DataFrame:
-        if groups:
-            return frame.join(brackets.select(*groups, column), groups)
-        return frame.withColumn(column, brackets.select(column).scalar())
+    # the bracket ends and the group's size travel with the row, so both come from one pass
+    if groups:
+        bracketed = rows.join(brackets, groups)
+    else:
+        both = brackets.select(F.struct("_ends", "_rows").alias("_b")).scalar()
+        bracketed = rows.withColumn("_b", both).select("_v", "_b._ends", "_b._rows")
 
     def cell(i: int) -> Column:
         """(index, NULL) below the bracket, (index, value) inside it, NULL above it."""
@@ -59,17 +61,16 @@ def exact_quantiles(
         return F.when(F.col("_v") <= high, F.struct(F.lit(i).alias("i"), inside.alias("v")))
 
     cells = (
-        beside(rows, "_ends")
-        .select(*groups, F.explode(F.array(*[cell(i) for i in range(len(names))])).alias("_c"))
+        bracketed.select(*groups, "_rows", F.explode(F.array(*[cell(i) for i in range(len(names))])).alias("_c"))
         .where("_c IS NOT NULL")
-        .groupBy(*groups, F.col("_c.i").alias("_i"), F.col("_c.v").alias("_v"))
+        .groupBy(*groups, "_rows", F.col("_c.i").alias("_i"), F.col("_c.v").alias("_v"))
         .agg(F.count("*").alias("_n"))
     )
 
     upto = Window.partitionBy(*groups, "_i").orderBy(F.asc_nulls_first("_v")).rowsBetween(Window.unboundedPreceding, 0)
     probability = F.get(F.array(*[F.lit(float(q)) for q in quantiles.values()]), F.col("_i"))
     ranked = (
-        beside(cells.withColumn("_end", F.sum("_n").over(upto)), "_rows")
+        cells.withColumn("_end", F.sum("_n").over(upto))
         .withColumn("_at", probability * (F.col("_rows") - 1))
         .where(F.col("_v").isNotNull())
     )

@@ -41,14 +41,14 @@ def global_rank(df: DataFrame, *order: Column, name: str = "rank") -> DataFrame:
 def equal_count_tiles(df: DataFrame, tiles: int, *order: Column, name: str = "tile") -> DataFrame:
     """``ntile`` over the whole table: tiles 1..n whose sizes differ by one row at most."""
     ranked = global_rank(df, *order, name="_rank")
-    total = ranked.agg(F.count("*")).scalar()
-    small = F.floor(total / tiles)
-    extra = total % tiles
+    total = F.col("_total")
+    small, extra = F.floor(total / tiles), total % tiles
     in_large = extra * (small + 1)
     tile = F.when(
         F.col("_rank") < in_large, F.floor(F.col("_rank") / (small + 1))
     ).otherwise(extra + F.floor(F.try_divide(F.col("_rank") - in_large, small)))
-    return ranked.withColumn(name, (tile + 1).cast("int")).drop("_rank")
+    counted = ranked.withColumn("_total", ranked.agg(F.count("*")).scalar())
+    return counted.withColumn(name, (tile + 1).cast("int")).drop("_rank", "_total")
 
 
 def top_per_group(df: DataFrame, groups: list[str], n: int, *order: Column, name: str = "rn") -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tillwise.functions.columns import stripped
 from tillwise.functions.vectors import cosine, unit
-from tillwise.operators.neighbours import blocks_of
+from tillwise.operators.neighbours import blocks_of, n_least
 from tillwise.operators.ranking import top_per_group
 
 # Every line end that a text reader may meet, as one pattern.
@@ -98,21 +98,20 @@ def _block_candidates(corpus, shipped, n, query_key, corpus_key, vector, query_t
         for batch in batches:
             if not len(batch):
                 continue
-            rows = _unit_rows(np.stack([np.asarray(v, dtype="float64") for v in batch[vector]]))
+            batch = batch.sort_values(corpus_key)
+            rows = _unit_rows(np.stack(batch[vector].to_list()).astype("float64"))
             # rounded so that one query sees equal similarities as equal on every machine
-            scores = np.round(rows @ matrix.T, 12)
-            found = [
-                pd.DataFrame({query_key: q, corpus_key: batch[corpus_key], "similarity": scores[:, i]})
-                .sort_values(["similarity", corpus_key], ascending=[False, True])
-                .head(n)
-                for i, q in enumerate(query_keys)
-            ]
-            kept = pd.concat(([] if kept is None else [kept]) + found)
-            kept = (
-                kept.sort_values(["similarity", corpus_key], ascending=[False, True]).groupby(query_key).head(n)
+            scores = np.round(matrix @ rows.T, 12)
+            query, hit = np.nonzero(n_least(-scores, n))
+            found = pd.DataFrame(
+                {"at": query, corpus_key: batch[corpus_key].to_numpy()[hit], "similarity": scores[query, hit]}
             )
+            found = found if kept is None else pd.concat([kept, found])
+            found = found.sort_values(["at", "similarity", corpus_key], ascending=[True, False, True])
+            kept = found.groupby("at").head(n)
         if kept is not None:
-            yield kept
+            named = np.array(query_keys, dtype=object)[kept["at"].to_numpy()]
+            yield pd.DataFrame({query_key: named, corpus_key: kept[corpus_key], "similarity": kept["similarity"]})
 
     return corpus.select(corpus_key, vector).mapInPandas(best, schema)
 
