@@ -83,6 +83,16 @@ def test_split_is_exact_and_independent_of_partitioning(spark):
         assert r["count"] == int(sizes[r.g] * 0.2 + 0.5)
 
 
+@pytest.mark.parametrize("n", [10, 100, 2000, 9999])
+def test_sample_is_exact_and_fixed(spark, n):
+    frame = spark.createDataFrame(skewed())
+    ids = [r.id for r in ranking.sample_rows(frame, n, "id").collect()]
+    again = [r.id for r in ranking.sample_rows(frame.repartition(9), n, "id").collect()]
+    assert len(set(ids)) == min(n, 3000) and ids == again
+    # also when one key fills a third of the rows
+    assert ranking.sample_rows(frame, n, "g").count() == min(n, 3000)
+
+
 def test_cap_per_stratum(spark):
     capped = ranking.cap_per_stratum(spark.createDataFrame(skewed()), "g", "id", 100)
     assert {r["count"] for r in capped.groupBy("g").count().collect()} == {100}

@@ -22,8 +22,7 @@ def frequency(df: DataFrame, column: str, top: int | None = None, with_share: bo
     """Values of a column by count. The share refers to all rows, also when cut to ``top``."""
     counts = df.groupBy(column).agg(F.count("*").alias("n"))
     if with_share:
-        total = df.agg(F.count("*")).scalar()
-        counts = counts.withColumn("share_pct", share(F.col("n"), total))
+        counts = with_share_of_total(counts, "n")
     ordered = counts.orderBy(F.desc("n"), column)
     return ordered.limit(top) if top else ordered
 
@@ -34,7 +33,8 @@ def distinct_counts(df: DataFrame, columns: list[str], approximate: bool = False
 
 
 def with_share_of_total(grouped: DataFrame, measure: str, digits: int | None = None) -> DataFrame:
-    """Adds ``share_pct`` of a column to an already grouped table."""
+    """Adds ``share_pct`` of a column to a grouped table. The total comes from the same
+    shuffled groups, which Spark reuses, and not from a window over all of them."""
     total = grouped.agg(F.sum(measure)).scalar()
     return grouped.withColumn("share_pct", share(F.col(measure), total, digits))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillwise.functions.columns import sample_order
@@ -59,9 +61,24 @@ def top_per_group(df: DataFrame, groups: list[str], n: int, *order: Column, name
 
 
 def sample_rows(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
-    """Exactly ``n`` rows (or all, if fewer) in a fixed pseudo-random order."""
+    """Exactly ``n`` rows (or all, if fewer) in a fixed pseudo-random order.
+
+    Ordering all rows for a small sample would send ``n`` candidates of every partition to
+    one task. So only rows whose hash lies below a bound are ordered; the bound is set for a
+    few more than ``n`` rows, and raised in the unlikely case that fewer lie below it.
+    """
     order = sample_order(F.col(key), seed)
-    return df.orderBy(order, F.col(key)).limit(n)
+    place = F.conv(F.substring(order, 1, 13), 16, 10).cast("double") / float(16**13)
+    total = df.count()
+    bound = (n + 10 * math.sqrt(n) + 100) / total if total > 4 * n else 1.0
+    chosen = df
+    while bound < 1.0:
+        chosen = df.where(place < bound)
+        if chosen.count() >= n:
+            break
+        bound *= 4
+        chosen = df
+    return chosen.orderBy(order, F.col(key)).limit(n)
 
 
 def _ranked_in_strata(df: DataFrame, stratum: str, key: str, seed: int) -> DataFrame:

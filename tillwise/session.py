@@ -31,7 +31,7 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local master, where driver and executors share one disk, may fall back to a
     temporary folder of its own.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):

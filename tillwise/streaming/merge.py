@@ -74,7 +74,7 @@ def merge(warehouse: Warehouse, pipeline: str = PIPELINE) -> int | None:
 
     Returns the last merged batch. The upper bound is fixed before anything is read.
     """
-    _, after = last_merged(warehouse, pipeline)
+    before, after = last_merged(warehouse, pipeline)
     news = warehouse.read_batches(LEDGER, ENTRY, after=after)
     bound = news.agg(F.max("batch_id").alias("b"), F.max("last_timestamp").alias("t")).first()
     if bound.b is None:
@@ -108,5 +108,6 @@ def merge(warehouse: Warehouse, pipeline: str = PIPELINE) -> int | None:
     )
     warehouse.write_batches(f"{DIM_CUSTOMER}_increment", people)
 
-    set_merged(warehouse, pipeline, int(bound.b), bound.t)
+    latest = bound.t if bound.t is not None or after < 0 else before
+    set_merged(warehouse, pipeline, int(bound.b), latest)
     return int(bound.b)
