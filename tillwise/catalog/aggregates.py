@@ -51,13 +51,14 @@ def a04(t):
 
 @query(
     "a04_quartiles",
-    """SELECT product_group_name, quantile_cont(price::DOUBLE, 0.25) AS q1, quantile_cont(price::DOUBLE, 0.5) AS q2,
-  quantile_cont(price::DOUBLE, 0.75) AS q3 FROM tx JOIN art USING (article_id) GROUP BY 1""",
+    """SELECT product_group_name, round(quantile_cont(price::DOUBLE, 0.25), 4) AS q1, round(quantile_cont(price::DOUBLE, 0.5), 4) AS q2,
+  round(quantile_cont(price::DOUBLE, 0.75), 4) AS q3 FROM tx JOIN art USING (article_id) GROUP BY 1""",
 )
 def a04_quartiles(t):
     marks = {"q1": 0.25, "q2": 0.5, "q3": 0.75}
     stored = materialise(t.named_sales.select("product_group_name", "price"), "prices")
-    return quantiles.exact_quantiles(stored, "price", marks, by=["product_group_name"])
+    found = quantiles.exact_quantiles(stored, "price", marks, by=["product_group_name"])
+    return found.withColumns({c: F.round(c, 4) for c in marks})
 
 
 @query(
@@ -291,17 +292,18 @@ def a26(t):
 
 @query(
     "a27_box_summary",
-    """SELECT product_group_name, q1, median, q3, MIN(p) FILTER (p >= q1 - 1.5 * (q3 - q1) AND p <= q3 + 1.5 * (q3 - q1)) AS whisker_low,
+    """SELECT product_group_name, round(q1, 4) AS q1, round(median, 4) AS median, round(q3, 4) AS q3, MIN(p) FILTER (p >= q1 - 1.5 * (q3 - q1) AND p <= q3 + 1.5 * (q3 - q1)) AS whisker_low,
   MAX(p) FILTER (p >= q1 - 1.5 * (q3 - q1) AND p <= q3 + 1.5 * (q3 - q1)) AS whisker_high,
   COUNT(*) FILTER (p < q1 - 1.5 * (q3 - q1) OR p > q3 + 1.5 * (q3 - q1)) AS n_outliers, COUNT(*) AS n
   FROM (SELECT product_group_name, price::DOUBLE AS p FROM tx JOIN art USING (article_id))
   JOIN (SELECT product_group_name, quantile_cont(price::DOUBLE, 0.25) AS q1, quantile_cont(price::DOUBLE, 0.5) AS median,
     quantile_cont(price::DOUBLE, 0.75) AS q3 FROM tx JOIN art USING (article_id) GROUP BY 1) USING (product_group_name)
-  GROUP BY 1, 2, 3, 4""",
+  GROUP BY product_group_name, q1, median, q3""",
 )
 def a27(t):
     stored = materialise(t.named_sales.select("product_group_name", "price"), "prices")
-    return analysis.box_summary(stored, "price", "product_group_name")
+    boxes = analysis.box_summary(stored, "price", "product_group_name")
+    return boxes.withColumns({c: F.round(c, 4) for c in ("q1", "median", "q3")})
 
 
 @query(

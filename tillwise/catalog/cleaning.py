@@ -148,7 +148,8 @@ def c11(t):
    CASE WHEN event_id % 31 = 0 THEN 'article_id_missing' END,
    CASE WHEN event_id % 31 = 0 OR event_id % 17 = 0 OR (event_id % 19 <> 0 AND event_id % 23 <> 0 AND event_id % 41 = 0)
      THEN 'price_missing' END,
-   CASE WHEN event_id % 31 <> 0 AND event_id % 17 <> 0 AND (event_id % 19 = 0 OR event_id % 23 = 0) THEN 'price_not_positive' END,
+   CASE WHEN event_id % 31 <> 0 AND event_id % 17 <> 0
+     AND (event_id % 19 = 0 OR event_id % 23 = 0 OR (event_id % 41 <> 0 AND value <= 0)) THEN 'price_not_positive' END,
    CASE WHEN event_id % 31 = 0 THEN 't_dat_missing' END,
    CASE WHEN event_id % 31 <> 0 AND event_id % 37 = 0 THEN 't_dat_not_a_date' END], lambda x: x IS NOT NULL)) AS reason
   FROM events) GROUP BY reason""",
@@ -225,7 +226,7 @@ def c18(t):
 @query(
     "c19_describe_numeric",
     """SELECT column_name, COUNT(*) AS n, round(AVG(v), 4) AS mean, round(stddev_samp(v), 4) AS std, MIN(v) AS min, MAX(v) AS max,
-   quantile_cont(v, 0.25) AS q25, quantile_cont(v, 0.5) AS q50, quantile_cont(v, 0.75) AS q75 FROM (
+   round(quantile_cont(v, 0.25), 4) AS q25, round(quantile_cont(v, 0.5), 4) AS q50, round(quantile_cont(v, 0.75), 4) AS q75 FROM (
    SELECT 'price' AS column_name, CAST(price AS DOUBLE) AS v FROM tx UNION ALL
    SELECT 'article_id', CAST(article_id AS DOUBLE) FROM tx) GROUP BY 1""",
 )
@@ -233,8 +234,7 @@ def c19(t):
     stored = materialise(t.sales.select("price", "article_id"), "sales")
     return (
         profiling.describe_numeric(stored, ["price", "article_id"])
-        .withColumn("mean", F.round("mean", 4))
-        .withColumn("std", F.round("std", 4))
+        .withColumns({c: F.round(c, 4) for c in ("mean", "std", "q25", "q50", "q75")})
     )
 
 

@@ -51,7 +51,7 @@ def m02(t):
 def m03(t):
     vectors = _vectors(t).persist()
     try:
-        return cluster.sweep(vectors, range(2, 9), restarts=3)
+        return cluster.sweep(vectors, range(2, 11), restarts=3)
     finally:
         vectors.unpersist()
 
@@ -129,7 +129,7 @@ def m10(t):
 
 @query("m11_status_forest")
 def m11(t):
-    _, metrics = classify.train_status(_features(t), trees=50, depth=10)
+    _, metrics = classify.train_status(_features(t))
     return t.spark.createDataFrame([metrics])
 
 
@@ -137,8 +137,6 @@ def m11(t):
 def m12(t):
     train, test, _ = classify.prepare(_features(t))
     models = classify.balanced_models()
-    models["forest"] = models["forest"].setNumTrees(30).setMaxDepth(10)
-    models["tree"] = models["tree"].setMaxDepth(10)
     return classify.compare(train, test, models)
 
 
@@ -173,7 +171,7 @@ def m15(t):
 
 view(
     "trainsize",
-    """SELECT club_member_status, COUNT(*) - (COUNT(*) * 4 + 10) // 20 AS n FROM cust_clean GROUP BY 1""",
+    """SELECT club_member_status, COUNT(*) - (COUNT(*) * 4 + 10) // 20 AS n FROM feat GROUP BY 1""",
 )
 
 
@@ -283,7 +281,7 @@ def m20(t):
 
 @query("m21_spend_model")
 def m21(t):
-    _, metrics = regress.train_spend(_features(t), rounds=20, depth=5)
+    _, metrics = regress.train_spend(_features(t))
     return t.spark.createDataFrame([metrics])
 
 

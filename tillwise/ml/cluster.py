@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import math
+from multiprocessing.pool import ThreadPool
 from typing import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans, KMeansModel
@@ -29,11 +31,15 @@ def principal_components(vectors: DataFrame, k: int) -> tuple[DataFrame, list[fl
     return fitted.transform(vectors), [float(v) for v in fitted.explainedVariance]
 
 
-def fit_kmeans(vectors: DataFrame, k: int, restarts: int = 10, seed: int = 42) -> KMeansModel:
-    """Best of several starts by training cost."""
-    starts = [
-        KMeans(k=k, seed=seed + i, featuresCol=SCALED, predictionCol="cluster").fit(vectors) for i in range(restarts)
-    ]
+def fit_kmeans(
+    vectors: DataFrame, k: int, restarts: int = 10, seed: int = 42, parallelism: int = 4
+) -> KMeansModel:
+    """Best of several starts by training cost; a few of them run at the same time."""
+    def start(i: int) -> KMeansModel:
+        return KMeans(k=k, seed=seed + i, featuresCol=SCALED, predictionCol="cluster").fit(vectors)
+
+    with ThreadPool(min(parallelism, restarts)) as pool:
+        starts = pool.map(inheritable_thread_target(vectors.sparkSession)(start), range(restarts))
     return min(starts, key=lambda m: m.summary.trainingCost)
 
 

@@ -9,10 +9,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-# Limit per column and share of drifted columns that raises the alert.
+# Limit per column and share of drifted columns that raises the alert; quantile positions
+# and sketch accuracy of the numeric measure.
 COLUMN_LIMIT = 0.1
 SHARE_LIMIT = 0.5
 GRID = 200
+ACCURACY = 100_000
 
 
 def numeric_drift(reference: DataFrame, current: DataFrame, columns: list[str]) -> DataFrame:
@@ -26,7 +28,7 @@ def numeric_drift(reference: DataFrame, current: DataFrame, columns: list[str])
             values.where("v IS NOT NULL")
             .groupBy("column_name")
             .agg(
-                F.percentile_approx("v", positions, 10000).alias(f"_{side}"),
+                F.percentile_approx("v", positions, ACCURACY).alias(f"_{side}"),
                 F.stddev_samp("v").alias(f"_sd_{side}"),
             )
         )
