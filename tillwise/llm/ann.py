@@ -78,6 +78,8 @@ def nearest(vectors: DataFrame, id_col: str, vector_col: str, every: int, k: int
                 heap = heaps.setdefault(rep, [])
                 (heapq.heappush if len(heap) <= k else heapq.heappushpop)(heap, (score, -vec))
         ordered = {rep: sorted(heap, reverse=True) for rep, heap in heaps.items()}
+        if not ordered:
+            return
         yield pd.DataFrame(
             {
                 "rep": pd.Series(list(ordered), dtype="int64"),
