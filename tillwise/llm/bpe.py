@@ -11,7 +11,7 @@ import base64
 import hashlib
 import heapq
 from functools import cache
-from itertools import chain, islice
+from itertools import batched, chain, islice
 
 import pyarrow as pa
 import regex
@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillwise.llm import common
 
-#: Encoded pieces that a task keeps; beyond, it starts anew.
-KEPT = 400_000
+#: Encoded pieces that a process keeps, and as many older ones.
+KEPT = 300_000
 
 
 @cache
@@ -31,83 +31,98 @@ def ranks_of(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line.strip())}
 
 
-def replay(words: list[bytes], ranks: dict[bytes, int]) -> list[list[int]]:
+@cache
+def merges_of(path: str) -> dict[int, int]:
+    """The rank of what two tokens make, by both ranks (the first times 2**32): every way to cut each token into two."""
+    ranks = ranks_of(path)
+    cuts = ((token[:i], token[i:], rank) for token, rank in ranks.items() for i in range(1, len(token)))
+    return {ranks[a] << 32 | ranks[b]: rank for a, b, rank in cuts if a in ranks and b in ranks}
+
+
+def replay(words: list[bytes], singles: list[int], merges: dict[int, int]) -> list[list[int]]:
     """The ids of each word. Within a word the pair of the lowest rank goes first, of equal ones the leftmost."""
-    symbols: list[bytes | None] = []  # of all words in one row; None where a symbol has been joined to one before it
-    begins, word_of = [], []
-    for w, word in enumerate(words):
-        begins.append(len(symbols))
-        symbols += [word[i : i + 1] for i in range(len(word))]
-        word_of += [w] * len(word)
-    size = len(symbols)
-    after = list(range(1, size + 1))
-    before = list(range(-1, size - 1))
-    word_of.append(-1)  # a place after the last
-    index: dict[int, list[int]] = {}
-    for i in range(size - 1):
-        if word_of[i] == word_of[i + 1]:
-            rank = ranks.get(symbols[i] + symbols[i + 1])
-            if rank is not None:
-                index.setdefault(rank, []).append(i)
+    symbols = [singles[c] for word in words for c in word]  # of all words in a row; -1 once joined to the one before
+    after, before, ends = list(range(1, len(symbols) + 1)), list(range(-1, len(symbols) - 1)), []
+    end = 0
+    for word in words:
+        before[end] = -1
+        end += len(word)
+        after[end - 1] = -1
+        ends.append(end)
+    find = merges.get
+    index: dict[int, list[int]] = {}  # rank of a pair to where it begins
+    for i, j in enumerate(after):
+        if j >= 0 and (rank := find(symbols[i] << 32 | symbols[j])) is not None:
+            if rank in index:
+                index[rank].append(i)
+            else:
+                index[rank] = [i]
     queue = list(index)
     heapq.heapify(queue)
     while queue:
         rank = heapq.heappop(queue)
-        places = index.pop(rank, None)
-        if places is None:
-            continue
-        places.sort()
+        places = index.pop(rank, ())
+        if len(places) > 1:
+            places.sort()
         for n, i in enumerate(places):
-            left = symbols[i]
             j = after[i]
-            if left is None or j >= size or word_of[j] != word_of[i] or ranks.get(joined := left + symbols[j]) != rank:
+            if j < 0 or find(symbols[i] << 32 | symbols[j]) != rank:
                 continue  # a merge of a lower rank, or this one just before, took a part of it
-            symbols[i], symbols[j] = joined, None
-            after[i] = k = after[j]
-            if k < size:
-                before[k] = i
+            symbols[i], symbols[j] = rank, -1
+            k, h = after[j], before[i]
+            after[i] = k
             lower = False
-            for a, b in ((before[i], i), (i, k)):
-                if a >= 0 and b < size and word_of[a] == word_of[b]:
-                    new = ranks.get(symbols[a] + symbols[b])
-                    if new is not None:
-                        if new not in index:
-                            index[new] = []
-                            heapq.heappush(queue, new)
-                        index[new].append(a)
-                        lower |= new < rank
+            if k >= 0:
+                before[k] = i
+                new = find(rank << 32 | symbols[k])
+                if new is not None:
+                    lower = new < rank
+                    if new in index:
+                        index[new].append(i)
+                    else:
+                        index[new] = [i]
+                        heapq.heappush(queue, new)
+            if h >= 0:
+                new = find(symbols[h] << 32 | rank)
+                if new is not None:
+                    lower |= new < rank
+                    if new in index:
+                        index[new].append(h)
+                    else:
+                        index[new] = [h]
+                        heapq.heappush(queue, new)
             if lower:  # a pair of a lower rank has come up: it goes before what is left of this one
-                left_over = places[n + 1 :]
-                if left_over:
+                if n + 1 < len(places):
                     if rank not in index:
                         index[rank] = []
                         heapq.heappush(queue, rank)
-                    index[rank] += left_over
+                    index[rank] += places[n + 1 :]
                 break
-    ids: list[list[int]] = [[] for _ in words]
-    for i, symbol in enumerate(symbols):
-        if symbol is not None:
-            ids[word_of[i]].append(ranks[symbol])
-    return ids
+    return [[s for s in symbols[begin:end] if s >= 0] for begin, end in zip([0, *ends], ends)]
 
 
 class Codec:
-    """Encodes whole texts and decodes ids; one a task."""
+    """Encodes whole texts and decodes ids; one for each Python process."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.ranks, self.pattern = ranks, regex.compile(pattern)
+    def __init__(self, path: str, pattern: str):
+        ranks = ranks_of(path)
+        self.merges, self.pattern = merges_of(path), regex.compile(pattern)
+        self.singles = [ranks.get(bytes([c]), -1) for c in range(256)]
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.known: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def learn(self, pieces: set[str]) -> None:
-        """Encode the pieces that are new; what is kept stays below ``KEPT`` and these."""
+        """Encode the pieces that are new. Those that were not met since ``KEPT`` others are forgotten."""
         if len(self.known) > KEPT:
-            self.known.clear()
-        new = sorted(pieces - self.known.keys())
-        for start in range(0, len(new), 1 << 16):
-            part = new[start : start + (1 << 16)]
-            for piece, ids in zip(part, replay([p.encode() for p in part], self.ranks)):
-                self.known[piece] = tuple(ids)
+            self.known, self.older = {}, self.known
+        new = pieces - self.known.keys()
+        if again := new & self.older.keys():
+            self.known.update((p, self.older[p]) for p in again)
+            new -= again
+        for part in batched(sorted(new), 1 << 16):
+            found = replay([p.encode() for p in part], self.singles, self.merges)
+            self.known.update(zip(part, map(tuple, found)))
 
     def encode(self, texts: list[bytes]) -> list[list[int]]:
         if sum(map(len, texts)) > common.SLICE_BYTES:  # one very long text: its pieces are met part by part
@@ -136,7 +151,7 @@ def shipped(spark: SparkSession, path: str) -> str:
 @cache
 def codec(name: str, pattern: str) -> Codec:
     """The codec of this Python process; tasks that follow each other share it."""
-    return Codec(ranks_of(SparkFiles.get(name)), pattern)
+    return Codec(SparkFiles.get(name), pattern)
 
 
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
