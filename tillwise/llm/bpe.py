@@ -45,9 +45,10 @@ def replay(words: list[bytes], singles: list[int], merges: dict[int, int]) -> li
     after, before, ends = list(range(1, len(symbols) + 1)), list(range(-1, len(symbols) - 1)), []
     end = 0
     for word in words:
-        before[end] = -1
-        end += len(word)
-        after[end - 1] = -1
+        if word:
+            before[end] = -1
+            end += len(word)
+            after[end - 1] = -1
         ends.append(end)
     find = merges.get
     index: dict[int, list[int]] = {}  # rank of a pair to where it begins
