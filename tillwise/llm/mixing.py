@@ -48,8 +48,8 @@ def vocabulary(docs: DataFrame, labelled: DataFrame, domain: str) -> tuple[list[
     prior = [math.log((n + 1) / (total + len(sizes))) for _, n in sizes]
     found = sample.select("domain", F.explode(words_in(F.coalesce("text", F.lit("")))).alias("word")).where("word <> ''")
     each = [F.sum(F.when(F.col("domain") == d, 1).otherwise(0)).alias(f"n{i}") for i, d in enumerate(names)]
-    counted = found.groupBy("word").agg(F.count(F.lit(1)).alias("n"), *each)
-    known = materialise(counted.orderBy(F.desc("n"), "word").limit(VOCABULARY), "vocabulary")
+    counted = materialise(found.groupBy("word").agg(F.count(F.lit(1)).alias("n"), *each), "words")
+    known = materialise(common.largest(counted, F.col("n"), VOCABULARY), "vocabulary")
     sums = known.agg(*[F.sum(f"n{i}") for i in range(len(names))]).first() if names else ()
     likelihoods = [F.log((F.col(f"n{i}") + 1) / F.lit(float((s or 0) + VOCABULARY))).alias(f"l{i}") for i, s in enumerate(sums)]
     return names, prior, known.select("word", *likelihoods)

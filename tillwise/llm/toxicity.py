@@ -107,7 +107,7 @@ def fit(
     # how far each word's share of toxic texts lies from the share of all, in standard deviations
     share = positive / n
     told = F.abs(F.col("with") - F.col("n") * share) / F.sqrt(F.col("n") * share * (1 - share))
-    chosen = counted.orderBy(told.desc(), "word").limit(VOCABULARY).select("word").collect()
+    chosen = common.largest(materialise(counted, "features"), told, VOCABULARY).select("word").collect()
     names = sorted({bytes(r[0]) for r in chosen} | features_of(list(kinds_of(identities))))
     place, kinds = {w: i for i, w in enumerate(names)}, kinds_of(identities)
 
@@ -129,7 +129,7 @@ def fit(
 
         return of
 
-    got = common.over_texts(sample, held, "held array<int>, swaps array<array<int>>").select("label", "held", "swaps").toArrow()
+    got = common.over_texts(sample, held, "held array<int>, swaps array<array<int>>").toArrow().sort_by("doc_id")
     rows = [np.array(x, dtype=np.int64) for x in got.column("held").to_pylist()]
     swaps = [np.array(x, dtype=np.int64) for doc in got.column("swaps").to_pylist() for x in doc if x]
     weights, bias = descend(rows, got.column("label").to_numpy().astype(float), swaps, len(names), penalty, ridge)
