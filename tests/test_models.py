@@ -74,7 +74,7 @@ def test_silhouette_equals_brute_force(spark):
     frame = spark.createDataFrame(
         [(str(i), int(c), v.tolist()) for i, (c, v) in enumerate(zip(label, x))], "customer_id STRING, cluster INT, x ARRAY<DOUBLE>"
     ).withColumn("scaled", array_to_vector("x"))
-    gaps = np.linalg.norm(x[:, None] - x[None], axis=2)
+    gaps = (np.linalg.norm(x[:, None] - x[None], axis=2)) ** 2
     label = np.array(label)
     want = []
     for i in range(len(x)):
@@ -85,7 +85,7 @@ def test_silhouette_equals_brute_force(spark):
         inner = gaps[i][label == label[i]].sum() / (own - 1)
         outer = min(gaps[i][label == c].mean() for c in set(label) - {label[i]})
         want.append((outer - inner) / max(outer, inner))
-    assert cluster.sampled_silhouette(frame) == pytest.approx(np.mean(want), abs=1e-6)
+    assert cluster.silhouette(frame) == pytest.approx(np.mean(want), abs=1e-6)
 
 
 def test_elbow():
@@ -137,11 +137,14 @@ def test_oversampling_reaches_parity_inside_the_class(parts):
     assert made.agg(total).first()[0] == again.agg(total).first()[0]
 
 
-def test_oversampling_cuts_the_majority(parts):
-    train, _, _ = parts
-    made = classify.oversample(train, cap=400)
-    counts = {r["count"] for r in made.groupBy("label").count().collect()}
-    assert counts == {400}
+def test_oversampling_cuts_every_class_alike(spark):
+    rows = [(str(i), float(i % 34 // 20 + i % 34 // 32), [float(i), float(i * i % 97)]) for i in range(340)]  # 200, 120, 20
+    train = spark.createDataFrame(rows, "customer_id STRING, label DOUBLE, x ARRAY<DOUBLE>").withColumn("scaled", array_to_vector("x"))
+    made = classify.oversample(train, cap=50)
+    got = {(r.label, r.synthetic): r["count"] for r in made.groupBy("label", "synthetic").count().collect()}
+    assert got == {(0.0, False): 50, (1.0, False): 50, (2.0, False): 20, (2.0, True): 30}
+    whole = {r.label: r["count"] for r in classify.oversample(train).groupBy("label").count().collect()}
+    assert set(whole.values()) == {200}
 
 
 def test_too_small_class_is_an_error(spark):

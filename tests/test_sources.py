@@ -81,7 +81,7 @@ def test_csv_keeps_bad_rows(spark, tmp_path):
 def test_inferred_csv_respects_overrides(spark, tmp_path):
     path = tmp_path / "t.csv"
     path.write_text("id,day,n\n0012,2020-01-01,5\n0013,never,6\n")
-    frame = files.read_csv_inferred(spark, str(path), {"id": "string"}, dates=("day",), sampling_ratio=1.0)
+    frame = files.read_csv_inferred(spark, str(path), {"id": "string"}, dates=("day",))
     assert dict(frame.dtypes) == {"id": "string", "day": "date", "n": "int"}
     assert [r.id for r in frame.orderBy("id").collect()] == ["0012", "0013"]
     assert frame.where("day IS NULL").count() == 1
@@ -134,3 +134,13 @@ def test_partitioned_fact_prunes_by_month(spark, warehouse):
 
 def test_shared_folder_is_the_configured_one(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_types_hold_for_late_rows(spark, tmp_path):
+    from tillwise.sources import files
+
+    lines = ["id,price", *(f"{i},{i}" for i in range(5000)), *(f"{i},1.5" for i in range(5000, 5010))]
+    (tmp_path / "late.csv").write_text("\n".join(lines))
+    frame = files.read_csv_inferred(spark, str(tmp_path / "late.csv"), {})
+    assert dict(frame.dtypes)["price"] == "double"
+    assert frame.where("price IS NULL").count() == 0 and frame.where("price = 1.5").count() == 10

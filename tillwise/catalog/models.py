@@ -51,7 +51,7 @@ def m02(t):
 def m03(t):
     vectors = _vectors(t).persist()
     try:
-        return cluster.sweep(vectors, range(2, 11), restarts=3)
+        return cluster.sweep(vectors, range(2, 11))
     finally:
         vectors.unpersist()
 
@@ -60,8 +60,8 @@ def m03(t):
 def m04(t):
     vectors = _vectors(t).persist()
     try:
-        swept = cluster.sweep(vectors, range(2, 11), restarts=1)
-        chosen = cluster.choose_k(swept, cluster.mixture_criteria(vectors, range(2, 7)))
+        swept = cluster.sweep(vectors, range(2, 11))
+        chosen = cluster.choose_k(swept, cluster.mixture_criteria(vectors, range(2, 11)))
     finally:
         vectors.unpersist()
     return t.spark.createDataFrame(list(chosen.items()), "criterion STRING, k INT")
@@ -71,19 +71,19 @@ def m04(t):
 def m05(t):
     vectors = _vectors(t).persist()
     try:
-        return cluster.mixture_criteria(vectors, range(2, 7))
+        return cluster.mixture_criteria(vectors, range(2, 11))
     finally:
         vectors.unpersist()
 
 
 def _clustered(t, k=6):
     vectors = _vectors(t)
-    return cluster.fit_kmeans(vectors, k, restarts=2).transform(vectors)
+    return cluster.fit_kmeans(vectors, k).transform(vectors)
 
 
 @query("m06_cluster_by_segment")
 def m06(t):
-    return cluster.cross_segments(_clustered(t, 4))
+    return cluster.cross_segments(_clustered(t))
 
 
 _Z = ", ".join(
@@ -114,7 +114,7 @@ def m08(t):
 
 @query("m09_segmentation")
 def m09(t):
-    fitted, metrics = cluster.train_segmentation(_features(t), restarts=3)
+    fitted, metrics = cluster.train_segmentation(_features(t))
     return t.spark.createDataFrame(
         [(float(metrics["silhouette_score"]), metrics["inertia"], metrics["k"], metrics["n_samples"])],
         "silhouette_score DOUBLE, inertia DOUBLE, k INT, n_samples BIGINT",
@@ -157,7 +157,7 @@ def m15(t):
     train, test, _ = classify.prepare(_features(t))
     estimator = classify.balanced_models()["tree"]
     fitted, chosen, best = classify.grid_search(
-        train, estimator, {"maxDepth": [5, 10, 15], "minInstancesPerNode": [1, 5, 10]}
+        train, estimator, {"maxDepth": [5, 10, 15, 30], "minInstancesPerNode": [1, 5, 10]}
     )
     scores = classify.evaluate_on(test, "tuned tree", fitted.transform(test))
     return scores.withColumns(
@@ -202,8 +202,8 @@ def m16(t):
 @query("m17_boosted_status")
 def m17(t):
     train, test, _ = classify.prepare(_features(t))
-    weighted = classify.boosted_model(True, rounds=5, depth=4).fit(train)
-    raised = classify.boosted_model(False, rounds=5, depth=4).fit(classify.oversample(train))
+    weighted = classify.boosted_model(True).fit(train)
+    raised = classify.boosted_model(False).fit(classify.oversample(train))
     both = classify.evaluate_on(test, "weighted", weighted.transform(test)).unionByName(
         classify.evaluate_on(test, "oversampled", raised.transform(test))
     )
@@ -322,9 +322,9 @@ def m23_qq(t):
 
 
 def _models(rows):
-    status, _ = classify.train_status(rows, trees=20, depth=8)
-    segment, _ = cluster.train_segmentation(rows, restarts=1)
-    spend, _ = regress.train_spend(rows, rounds=10, depth=4)
+    status, _ = classify.train_status(rows)
+    segment, _ = cluster.train_segmentation(rows)
+    spend, _ = regress.train_spend(rows)
     return status, segment, spend
 
 
@@ -367,14 +367,14 @@ def m25(t):
 def m25_scored(t):
     rows = _features(t)
     good, _ = score.split_profiles(_profiles(t), model.BEHAVIOUR)
-    fitted, _ = classify.train_status(rows, trees=20, depth=8)
+    fitted, _ = classify.train_status(rows)
     return score.predict_status(fitted, good).groupBy("predicted_status").agg(F.count("*").alias("n"))
 
 
 @query("m26_probabilities", "SELECT COUNT(*) AS n, COUNT(*) AS n_summing_to_one, CAST(3 AS BIGINT) AS n_classes FROM feat")
 def m26(t):
     rows = _features(t)
-    fitted, _ = classify.train_status(rows, trees=20, depth=8)
+    fitted, _ = classify.train_status(rows)
     total = F.aggregate(F.map_values("probabilities"), F.lit(0.0), lambda a, x: a + x)
     return score.predict_status(fitted, rows).agg(
         F.count("*").alias("n"),
@@ -446,7 +446,7 @@ def w08(t):
 @query("m28_saved_model", "SELECT COUNT(*) AS n, COUNT(*) AS n_equal FROM feat")
 def m28(t):
     rows = _features(t)
-    fitted, _ = cluster.train_segmentation(rows, restarts=1)
+    fitted, _ = cluster.train_segmentation(rows)
     path = new_path(t.spark, "model")
     score.save(fitted, path)
     before = score.predict_segment(fitted, rows).select("customer_id", F.col("cluster").alias("a"))

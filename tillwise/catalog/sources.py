@@ -40,7 +40,7 @@ def s01(t):
 )
 def s02(t):
     overrides = {"customer_id": "string", "article_id": "bigint"}
-    return files.read_csv_inferred(t.spark, _sales_file(t), overrides, dates=("t_dat",), sampling_ratio=0.2)
+    return files.read_csv_inferred(t.spark, _sales_file(t), overrides, dates=("t_dat",))
 
 
 @query(

@@ -283,15 +283,16 @@ view("halves", "SELECT *, first_purchase < DATE '1995-06-01' AS early FROM feat"
 
 
 DRIFT_NUMERIC = ["n_transactions", "tenure_days", "recency_days", "n_distinct_categories"]
-_Q = "quantile_disc({0}::DOUBLE, list_transform(range(200), lambda i: (i + 0.5) / 200)) FILTER ({1})"
+_W = """SELECT '{0}' AS column_name, 'wasserstein' AS measure, SUM(abs(p - q) * width) / (SELECT stddev_samp({0}) FROM {1}) AS distance FROM (
+   SELECT SUM(a) OVER (ORDER BY v) / SUM(a) OVER () AS p, SUM(b) OVER (ORDER BY v) / SUM(b) OVER () AS q, coalesce(LEAD(v) OVER (ORDER BY v) - v, 0) AS width FROM (
+     SELECT v, SUM(a) AS a, SUM(b) AS b FROM (SELECT {0}::DOUBLE AS v, 1 AS a, 0 AS b FROM {1} UNION ALL SELECT {2}::DOUBLE, 0, 1 FROM {3}) WHERE v IS NOT NULL GROUP BY v))"""
 
 
 @query(
     "t08_drift",
     """SELECT column_name, measure, round(distance, 6) AS distance, distance >= 0.1 AS drifted FROM ("""
     + " UNION ALL ".join(
-        f"""SELECT '{c}' AS column_name, 'wasserstein' AS measure, list_sum(list_transform(list_zip(a, b), lambda z: abs(z[1] - z[2]))) / 200 / sd AS distance
-   FROM (SELECT {_Q.format(c, "early")} AS a, {_Q.format(c, "NOT early")} AS b, stddev_samp({c}) FILTER (early) AS sd FROM halves)"""
+        _W.format(c, "(SELECT * FROM halves WHERE early)", c, "(SELECT * FROM halves WHERE NOT early)")
         for c in DRIFT_NUMERIC
     )
     + """ UNION ALL SELECT column_name, 'jensen_shannon', sqrt(greatest(SUM((CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END

@@ -59,13 +59,6 @@ def student_p(t: Column, df: Column) -> Column:
     return tail(t, df)
 
 
-def f_p(value: Column, df1: int, df2: Column) -> Column:
-    """P(F >= value) for one numerator degree of freedom, through the t distribution."""
-    if df1 != 1:
-        raise ValueError("only tests with one numerator degree of freedom are used")
-    return student_p(F.sqrt(value), df2)
-
-
 def chi2_two_p(value: Column) -> Column:
     """P(X >= value) for a chi-square with two degrees of freedom."""
     return F.exp(-value / 2)

@@ -21,12 +21,11 @@ from tillwise.ml.evaluate import F1Macro, classification_metrics, confusion
 from tillwise.ml.prepare import SCALED, fit_behaviour
 from tillwise.operators.cleaning import require
 from tillwise.operators.neighbours import nearest
-from tillwise.operators.ranking import global_rank, sample_rows, stratified_split
+from tillwise.operators.ranking import cap_per_stratum, global_rank, sample_rows, stratified_split
 from tillwise.session import materialise
 
 TARGET = "club_member_status"
 NEIGHBOUR_CAP = 50_000
-OVERSAMPLE_CAP = 100_000
 
 
 def prepare(features: DataFrame, key: str = "customer_id", seed: int = 42) -> tuple[DataFrame, DataFrame, PipelineModel]:
@@ -104,7 +103,7 @@ def compare(train: DataFrame, test: DataFrame, estimators: dict) -> DataFrame:
 def balanced_models(seed: int = 42) -> dict:
     common = {"featuresCol": SCALED, "labelCol": "label", "weightCol": "weight"}
     return {
-        "logistic": LogisticRegression(maxIter=100, **common),
+        "logistic": LogisticRegression(maxIter=1000, **common),
         "tree": DecisionTreeClassifier(maxDepth=20, seed=seed, **common),
         "forest": RandomForestClassifier(numTrees=100, maxDepth=20, seed=seed, **common),
     }
@@ -112,7 +111,7 @@ def balanced_models(seed: int = 42) -> dict:
 
 def margin_model() -> OneVsRest:
     """Linear large-margin classifier per class against the rest, on weighted rows."""
-    machine = LinearSVC(featuresCol=SCALED, labelCol="label", weightCol="weight", maxIter=50, regParam=0.001)
+    machine = LinearSVC(featuresCol=SCALED, labelCol="label", weightCol="weight", maxIter=1000, regParam=0.001)
     return OneVsRest(classifier=machine, featuresCol=SCALED, labelCol="label", weightCol="weight")
 
 
@@ -120,6 +119,7 @@ def boosted_model(weighted: bool, rounds: int = 100, depth: int = 6, seed: int =
     """Boosted trees per class against the rest."""
     trees = GBTClassifier(featuresCol=SCALED, labelCol="label", maxIter=rounds, maxDepth=depth, seed=seed)
     machine = OneVsRest(classifier=trees, featuresCol=SCALED, labelCol="label")
+    machine = machine.setParallelism(4)
     return machine.setWeightCol("weight") if weighted else machine
 
 
@@ -169,24 +169,22 @@ def grid_search(
 
 
 def oversample(
-    train: DataFrame, key: str = "customer_id", k: int = 4, cap: int = OVERSAMPLE_CAP, seed: int = 42
+    train: DataFrame, key: str = "customer_id", k: int = 4, cap: int | None = None, seed: int = 42
 ) -> DataFrame:
     """Raise every class to the size of the largest with points between near neighbours.
 
-    The largest class is first cut to ``cap`` rows; that is part of the method. A new point
-    lies at a random place between a row and one of its ``k`` nearest rows of the same
-    class. Result: label, scaled, synthetic.
+    With ``cap``, every class is first cut to that many rows at most, in a fixed pseudo-random
+    order. A new point lies at a random place between a row and one of its ``k`` nearest rows
+    of the same class. Result: label, scaled, synthetic.
     """
     rows = train.select(key, "label", vector_to_array(SCALED).alias("x"))
     sizes = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     for label, n in sizes.items():
         if n <= k:
             raise ValueError(f"class {label} has {n} rows; {k + 1} are needed")
-    majority = max(sizes, key=lambda label: (sizes[label], -label))
-    if sizes[majority] > cap:
-        cut = sample_rows(rows.where(F.col("label") == majority), cap, key, seed)
-        rows = rows.where(F.col("label") != majority).unionByName(cut)
-        sizes[majority] = cap
+    if cap is not None and max(sizes.values()) > cap:
+        rows = cap_per_stratum(rows, "label", key, cap, seed)
+        sizes = {label: min(n, cap) for label, n in sizes.items()}
     rows = materialise(rows, "classes")
     largest = max(sizes.values())
     result = rows.select("label", array_to_vector("x").alias(SCALED), F.lit(False).alias("synthetic"))

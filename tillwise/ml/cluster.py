@@ -4,25 +4,19 @@ from __future__ import annotations
 
 import math
 from multiprocessing.pool import ThreadPool
-from typing import Iterator
 
 import numpy as np
-import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tillwise import model
 from tillwise.ml.evaluate import confusion
 from tillwise.ml.prepare import SCALED, fit_behaviour
-from tillwise.operators.ranking import sample_rows
-
-SAMPLE = 5000
 
 
 def principal_components(vectors: DataFrame, k: int) -> tuple[DataFrame, list[float]]:
@@ -36,57 +30,17 @@ def fit_kmeans(
 ) -> KMeansModel:
     """Best of several starts by training cost; a few of them run at the same time."""
     def start(i: int) -> KMeansModel:
-        return KMeans(k=k, seed=seed + i, featuresCol=SCALED, predictionCol="cluster").fit(vectors)
+        return KMeans(k=k, seed=seed + i, maxIter=300, featuresCol=SCALED, predictionCol="cluster").fit(vectors)
 
     with ThreadPool(min(parallelism, restarts)) as pool:
         starts = pool.map(inheritable_thread_target(vectors.sparkSession)(start), range(restarts))
     return min(starts, key=lambda m: m.summary.trainingCost)
 
 
-def sampled_silhouette(clustered: DataFrame, key: str = "customer_id", sample: int = SAMPLE, seed: int = 42) -> float:
-    """Mean silhouette with Euclidean distance on a fixed sample of at most 5000 rows.
-
-    The sample is small by definition; it is shipped to all tasks, and each computes the
-    distances of its share of the sample with one matrix product.
-    """
-    size = min(sample, SAMPLE)
-    chosen = sample_rows(clustered.select(key, "cluster", vector_to_array(SCALED).alias("x")), size, key, seed)
-    rows = chosen.collect()
-    labels = np.array([r["cluster"] for r in rows])
-    points = np.array([r["x"] for r in rows])
-    names, codes = np.unique(labels, return_inverse=True)
-    if len(names) < 2:
-        return float("nan")
-    members = np.eye(len(names))[codes]
-    spark = clustered.sparkSession
-    shared = spark.sparkContext.broadcast((points, codes, members))
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        everything, code, member = shared.value
-        counts = member.sum(axis=0)
-        squares = (everything**2).sum(axis=1)
-        for batch in batches:
-            at = batch["id"].to_numpy()
-            mine = everything[at]
-            gaps = squares[at][:, None] + squares[None, :] - 2 * mine @ everything.T
-            distance = np.sqrt(np.maximum(gaps, 0.0))
-            distance[np.arange(len(at)), at] = 0.0
-            sums = distance @ member
-            own = code[at]
-            row = np.arange(len(at))
-            inner = sums[row, own] / np.maximum(counts[own] - 1, 1)
-            means = sums / counts
-            means[row, own] = np.inf
-            outer = means.min(axis=1)
-            value = np.where(counts[own] > 1, (outer - inner) / np.maximum(np.maximum(outer, inner), 1e-300), 0.0)
-            yield pd.DataFrame({"s": value})
-
-    scored = spark.range(0, len(rows), numPartitions=16).mapInPandas(score, "s double")
-    return float(scored.agg(F.avg("s")).first()[0])
-
-
-def squared_silhouette(clustered: DataFrame) -> float:
-    """Silhouette with squared distance over all rows, in linear time."""
+def silhouette(clustered: DataFrame) -> float:
+    """Mean silhouette with squared distance over all rows, in linear time; NaN for one cluster."""
+    if clustered.select("cluster").distinct().limit(2).count() < 2:
+        return math.nan
     return float(
         ClusteringEvaluator(featuresCol=SCALED, predictionCol="cluster", distanceMeasure="squaredEuclidean").evaluate(
             clustered
@@ -94,12 +48,12 @@ def squared_silhouette(clustered: DataFrame) -> float:
     )
 
 
-def sweep(vectors: DataFrame, ks: range, restarts: int = 10, key: str = "customer_id") -> DataFrame:
-    """Inertia and sampled silhouette for every k."""
+def sweep(vectors: DataFrame, ks: range, restarts: int = 10) -> DataFrame:
+    """Inertia and silhouette for every k."""
     rows = []
     for k in ks:
         fitted = fit_kmeans(vectors, k, restarts)
-        rows.append((k, float(fitted.summary.trainingCost), sampled_silhouette(fitted.transform(vectors), key)))
+        rows.append((k, float(fitted.summary.trainingCost), silhouette(fitted.transform(vectors))))
     return vectors.sparkSession.createDataFrame(rows, "k INT, inertia DOUBLE, silhouette DOUBLE")
 
 
@@ -197,7 +151,7 @@ def fit_bisecting(vectors: DataFrame, k: int = 6, seed: int = 42):
 
 
 def train_segmentation(
-    features: DataFrame, k: int = 6, restarts: int = 10, key: str = "customer_id"
+    features: DataFrame, k: int = 6, restarts: int = 10
 ) -> tuple[PipelineModel, dict[str, float]]:
     """The segmentation model with its preprocessing, and its metrics."""
     scaler = fit_behaviour(features)
@@ -205,7 +159,7 @@ def train_segmentation(
     try:
         fitted = fit_kmeans(vectors, k, restarts)
         metrics = {
-            "silhouette_score": sampled_silhouette(fitted.transform(vectors), key),
+            "silhouette_score": silhouette(fitted.transform(vectors)),
             "inertia": float(fitted.summary.trainingCost),
             "k": k,
             "n_samples": vectors.count(),

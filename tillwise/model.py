@@ -43,17 +43,8 @@ AGE_LABELS = [label for _, label in AGE_BUCKETS] + [AGE_LAST]
 SEGMENTS = ["Q1 low", "Q2 mid-low", "Q3 mid-high", "Q4 VIP"]
 VIP = SEGMENTS[-1]
 
-# Channel codes, default sale periods (closed ranges), end of the history.
+# Channel codes.
 CHANNELS = {1: "store", 2: "online"}
-SALE_PERIODS = [
-    ("2018-11-20", "2018-12-02"),
-    ("2018-12-27", "2019-01-15"),
-    ("2019-06-25", "2019-07-15"),
-    ("2019-11-20", "2019-12-02"),
-    ("2019-12-27", "2020-01-15"),
-    ("2020-06-25", "2020-07-15"),
-]
-HISTORY_END = "2020-09-22"
 
 DEMOGRAPHICS = ["age", "age_group", "club_member_status", "fashion_news_frequency", "postal_code"]
 ENRICHMENT_COLUMNS = {"temp_mean", "precipitation", "is_holiday"}

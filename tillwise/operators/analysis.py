@@ -13,6 +13,7 @@ from tillwise import model
 from tillwise.functions.columns import labelled, month_label, ratio, share, week_ending
 from tillwise.operators.quantiles import exact_quantiles
 from tillwise.operators.ranking import top_per_group
+from tillwise.session import small_side
 
 
 # --- frequency tables and shares -------------------------------------------------------
@@ -212,7 +213,7 @@ def against_segment(features: DataFrame, summary: DataFrame) -> DataFrame:
     means = summary.select("value_segment", "avg_spend", "avg_purchases", "revenue_share_pct")
     spend = F.col("total_spend").cast("double")
     delta = F.coalesce(F.try_divide((spend - F.col("avg_spend")) * 100, F.col("avg_spend")), F.lit(0.0))
-    return features.join(means, "value_segment", "left").select(
+    return features.join(small_side(means), "value_segment", "left").select(
         "customer_id",
         "value_segment",
         "total_spend",
@@ -304,7 +305,7 @@ def box_summary(df: DataFrame, value: str, group: str) -> DataFrame:
     inside = x.between(F.col("_low"), F.col("_high"))
     return (
         df.where(x.isNotNull())
-        .join(fences, group)
+        .join(small_side(fences), group)
         .groupBy(group, "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, x)).alias("whisker_low"),

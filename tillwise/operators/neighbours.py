@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from typing import Iterator
+import math
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -10,17 +11,33 @@ from pyspark.sql import DataFrame, functions as F
 
 from tillwise.operators.ranking import top_per_group
 
+# Rows of a tile on either side.
+ROW_BLOCK, POOL_BLOCK = 4096, 16_384
 
-def blocks_of(df: DataFrame, size: int) -> Iterator[list]:
-    """Rows of ``df`` in lists of at most ``size``; one list at a time is in memory."""
-    block: list = []
-    for row in df.toLocalIterator(prefetchPartitions=True):
-        block.append(row)
-        if len(block) == size:
-            yield block
-            block = []
-    if block:
-        yield block
+
+def over_tiles(
+    rows: DataFrame,
+    pool: DataFrame,
+    row_key: str,
+    pool_key: str,
+    match: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame],
+    schema: str,
+    row_block: int = ROW_BLOCK,
+    pool_block: int = POOL_BLOCK,
+) -> DataFrame:
+    """``match`` of every block of rows with every block of the pool; the blocks hold about
+    ``row_block`` and ``pool_block`` rows, dealt by a hash of their keys."""
+    down = max(1, math.ceil(rows.count() / row_block))
+    across = max(1, math.ceil(pool.count() / pool_block))
+
+    def dealt(df: DataFrame, key: str, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
+        copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_other - 1).cast("bigint")))
+        return df.withColumns({own: F.pmod(F.xxhash64(key), F.lit(n_own)), other: copies})
+
+    tile = ["_row_block", "_pool_block"]
+    left = dealt(rows, row_key, "_row_block", down, "_pool_block", across).groupBy(*tile)
+    right = dealt(pool, pool_key, "_pool_block", across, "_row_block", down).groupBy(*tile)
+    return left.cogroup(right).applyInPandas(match, schema)
 
 
 def n_least(costs: np.ndarray, n: int) -> np.ndarray:
@@ -46,14 +63,14 @@ def nearest(
     vector: str,
     payload: str,
     skip_self: bool = False,
-    block: int = 50_000,
+    block: int = POOL_BLOCK,
 ) -> DataFrame:
     """The ``n`` pool rows nearest to every row: key, near_key, gap (squared Euclidean
     distance), near_<payload> and rank.
 
-    The pool is shipped in blocks of at most ``block`` rows. A task multiplies its rows with
-    a block and keeps ``n`` per row, so no pair table exists anywhere; more than one block
-    needs one merge by row.
+    Rows and pool are dealt into blocks by a hash of their keys. A task multiplies one block of
+    rows with one of the pool and keeps ``n`` per row, so no pair table exists anywhere, and
+    neither side passes through the driver; the blocks' results are merged by row.
     """
     key_type = rows.schema[key].dataType.simpleString()
     pool_key_type = pool.schema[key].dataType.simpleString()
@@ -61,40 +78,31 @@ def nearest(
     schema = f"{key} {key_type}, near_key {pool_key_type}, gap double, near_{payload} {payload_type}"
     columns = list(dict.fromkeys([key, vector, payload]))
 
-    def against(part: list) -> DataFrame:
-        part = sorted(part, key=lambda r: r[key])
-        keys = np.array([r[key] for r in part], dtype=object)
-        points = np.array([r[vector] for r in part], dtype="float64")
-        extras = [r[payload] for r in part]
-        shared = rows.sparkSession.sparkContext.broadcast((keys, points, extras))
-
-        def match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            pool_keys, known, extra = shared.value
+    def match(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        found = [pd.DataFrame({name: [] for name in (key, "near_key", "gap", f"near_{payload}")})]
+        if len(left) and len(right):
+            right = right.sort_values(key)
+            pool_keys = right[key].to_numpy(dtype=object)
+            known = np.stack(right[vector].to_list()).astype("float64")
+            extra = right[payload].to_list()
             squares = (known**2).sum(axis=1)
-            for batch in batches:
-                for start in range(0, len(batch), 256):
-                    piece = batch.iloc[start : start + 256]
-                    mine = np.stack(piece[vector].to_list()).astype("float64")
-                    gaps = (mine**2).sum(axis=1)[:, None] + squares[None, :] - 2 * mine @ known.T
-                    if skip_self:
-                        gaps[piece[key].to_numpy(dtype=object)[:, None] == pool_keys[None, :]] = np.inf
-                    at, near = np.nonzero(n_least(gaps, n))
-                    found = pd.DataFrame(
-                        {
-                            key: piece[key].to_numpy()[at],
-                            "near_key": pool_keys[near],
-                            "gap": np.round(np.maximum(gaps[at, near], 0.0), 9),
-                            f"near_{payload}": [extra[i] for i in near],
-                        }
-                    )
-                    yield found[np.isfinite(found["gap"])]
-
-        return rows.select(key, vector).mapInPandas(match, schema)
-
-    result = None
-    for part in blocks_of(pool.select(columns), block):
-        found = against(part)
-        result = found if result is None else result.unionByName(found)
-    if result is None:
-        result = rows.sparkSession.createDataFrame([], schema)
+            for start in range(0, len(left), 256):
+                piece = left.iloc[start : start + 256]
+                mine = np.stack(piece[vector].to_list()).astype("float64")
+                gaps = (mine**2).sum(axis=1)[:, None] + squares[None, :] - 2 * mine @ known.T
+                if skip_self:
+                    gaps[piece[key].to_numpy(dtype=object)[:, None] == pool_keys[None, :]] = np.inf
+                at, near = np.nonzero(n_least(gaps, n))
+                some = pd.DataFrame(
+                    {
+                        key: piece[key].to_numpy()[at],
+                        "near_key": pool_keys[near],
+                        "gap": np.round(np.maximum(gaps[at, near], 0.0), 9),
+                        f"near_{payload}": [extra[i] for i in near],
+                    }
+                )
+                found.append(some[np.isfinite(some["gap"])])
+        return pd.concat(found[1:] or found)
+
+    result = over_tiles(rows.select(key, vector), pool.select(columns), key, key, match, schema, pool_block=block)
     return top_per_group(result, [key], n, F.asc("gap"), F.asc("near_key"), name="rank")

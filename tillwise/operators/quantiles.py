@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tillwise.session import small_side
+
 # The sketch is off by n / ACCURACY ranks at most; brackets reach MARGIN times as far. Groups
 # so small that this reach is only a few ranks are bracketed by their extremes instead.
 ACCURACY = 50_000
@@ -49,7 +51,7 @@ def exact_quantiles(
 
     # the bracket ends and the group's size travel with the row, so both come from one pass
     if groups:
-        bracketed = rows.join(brackets, groups)
+        bracketed = rows.join(small_side(brackets), groups)
     else:
         both = brackets.select(F.struct("_ends", "_rows").alias("_b")).scalar()
         bracketed = rows.withColumn("_b", both).select("_v", "_b._ends", "_b._rows")

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillwise.functions.columns import sample_order
-from tillwise.session import materialise
+from tillwise.session import materialise, small_side
 
 _SLICE_BITS = 33
 
@@ -85,7 +85,7 @@ def _ranked_in_strata(df: DataFrame, stratum: str, key: str, seed: int) -> DataF
     order = sample_order(F.col(key), seed)
     ranked = global_rank(df.where(F.col(stratum).isNotNull()), F.col(stratum), order, F.col(key), name="_rank")
     strata = ranked.groupBy(stratum).agg(F.min("_rank").alias("_first"), F.count("*").alias("_rows"))
-    return ranked.join(strata, stratum).withColumn("_rank", F.col("_rank") - F.col("_first")).drop("_first")
+    return ranked.join(small_side(strata), stratum).withColumn("_rank", F.col("_rank") - F.col("_first")).drop("_first")
 
 
 def stratified_split(

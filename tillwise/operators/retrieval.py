@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from typing import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.ml.feature import BucketedRandomProjectionLSH
@@ -12,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tillwise.functions.columns import stripped
 from tillwise.functions.vectors import cosine, unit
-from tillwise.operators.neighbours import blocks_of, n_least
+from tillwise.operators.neighbours import POOL_BLOCK, n_least, over_tiles
 from tillwise.operators.ranking import top_per_group
 
 # Every line end that a text reader may meet, as one pattern.
@@ -58,62 +56,36 @@ def search(
     query_key: str = "query_id",
     corpus_key: str = "vec_id",
     vector: str = "embedding",
-    block: int = 2000,
+    block: int = POOL_BLOCK,
 ) -> DataFrame:
     """Best ``n`` corpus vectors of every query, then those with similarity >= ``threshold``.
 
-    Exact. The queries come in blocks of at most ``block`` rows, each shipped to all tasks;
-    a task multiplies its share of the corpus with the block and keeps ``n`` rows per query,
-    so only (tasks x queries x n) candidates are ever shuffled. Equal similarities go to the
-    smaller key.
+    Exact. Queries and corpus meet block by block; a task multiplies two blocks and keeps ``n``
+    rows per query, so only (corpus blocks x queries x n) candidates are merged. Equal
+    similarities go to the smaller key.
     """
-    spark = queries.sparkSession
-    candidates = None
-    for rows in blocks_of(queries.select(query_key, vector), block):
-        keys = [row[0] for row in rows]
-        matrix = _unit_rows(np.array([row[1] for row in rows], dtype="float64"))
-        shipped = spark.sparkContext.broadcast((keys, matrix))
-        part = _block_candidates(corpus, shipped, n, query_key, corpus_key, vector, queries.schema[query_key].dataType)
-        candidates = part if candidates is None else candidates.unionByName(part)
-    if candidates is None:
-        return spark.createDataFrame([], _candidate_schema(queries, corpus, query_key, corpus_key)).withColumn(
-            "rank", F.lit(0)
-        )
-    best = top_per_group(candidates, [query_key], n, F.desc("similarity"), F.asc(corpus_key), name="rank")
-    return best.where(F.col("similarity") >= threshold)
-
-
-def _candidate_schema(queries: DataFrame, corpus: DataFrame, query_key: str, corpus_key: str) -> str:
     kinds = queries.schema[query_key].dataType.simpleString(), corpus.schema[corpus_key].dataType.simpleString()
-    return f"{query_key} {kinds[0]}, {corpus_key} {kinds[1]}, similarity double"
-
-
-def _block_candidates(corpus, shipped, n, query_key, corpus_key, vector, query_type) -> DataFrame:
-    kind = corpus.schema[corpus_key].dataType.simpleString()
-    schema = f"{query_key} {query_type.simpleString()}, {corpus_key} {kind}, similarity double"
-
-    def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        query_keys, matrix = shipped.value
-        kept = None
-        for batch in batches:
-            if not len(batch):
-                continue
-            batch = batch.sort_values(corpus_key)
-            rows = _unit_rows(np.stack(batch[vector].to_list()).astype("float64"))
+    schema = f"{query_key} {kinds[0]}, {corpus_key} {kinds[1]}, similarity double"
+
+    def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if not len(left) or not len(right):
+            return pd.DataFrame({query_key: [], corpus_key: [], "similarity": []})
+        right = right.sort_values(corpus_key)
+        known, keys = _unit_rows(np.stack(right[vector].to_list()).astype("float64")), right[corpus_key].to_numpy()
+        found = []
+        for start in range(0, len(left), 256):
+            piece = left.iloc[start : start + 256]
             # rounded so that one query sees equal similarities as equal on every machine
-            scores = np.round(matrix @ rows.T, 12)
-            query, hit = np.nonzero(n_least(-scores, n))
-            found = pd.DataFrame(
-                {"at": query, corpus_key: batch[corpus_key].to_numpy()[hit], "similarity": scores[query, hit]}
-            )
-            found = found if kept is None else pd.concat([kept, found])
-            found = found.sort_values(["at", "similarity", corpus_key], ascending=[True, False, True])
-            kept = found.groupby("at").head(n)
-        if kept is not None:
-            named = np.array(query_keys, dtype=object)[kept["at"].to_numpy()]
-            yield pd.DataFrame({query_key: named, corpus_key: kept[corpus_key], "similarity": kept["similarity"]})
-
-    return corpus.select(corpus_key, vector).mapInPandas(best, schema)
+            scores = np.round(_unit_rows(np.stack(piece[vector].to_list()).astype("float64")) @ known.T, 12)
+            at, hit = np.nonzero(n_least(-scores, n))
+            found.append(pd.DataFrame({query_key: piece[query_key].to_numpy()[at], corpus_key: keys[hit], "similarity": scores[at, hit]}))
+        return pd.concat(found)
+
+    candidates = over_tiles(
+        queries.select(query_key, vector), corpus.select(corpus_key, vector), query_key, corpus_key, best, schema, pool_block=block
+    )
+    best_of = top_per_group(candidates, [query_key], n, F.desc("similarity"), F.asc(corpus_key), name="rank")
+    return best_of.where(F.col("similarity") >= threshold)
 
 
 def _unit_vector(column: str) -> Column:

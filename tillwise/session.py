@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -54,3 +54,13 @@ def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def small_side(df: DataFrame, rows: int = 20_000) -> DataFrame:
+    """``df``, stored once, with a broadcast hint if it has at most ``rows`` rows.
+
+    For the summary that every row of a large table is joined with: without the hint both sides
+    would be shuffled by a key of few values.
+    """
+    stored = materialise(df, "small")
+    return F.broadcast(stored) if stored.count() <= rows else stored

@@ -26,19 +26,13 @@ def read_csv_inferred(
     path: str,
     overrides: dict[str, str],
     dates: tuple[str, ...] = (),
-    sampling_ratio: float = 0.01,
 ) -> DataFrame:
-    """CSV with types taken from a sample, except for ``overrides`` and parsed ``dates``.
+    """CSV with types that hold for all rows, except for ``overrides`` and parsed ``dates``.
 
-    Overridden and date columns are read as text and converted, so the sample never decides
-    about them.
+    All rows are read once to find the types, so no field of another column can fail to fit.
+    Overridden and date columns are read as text and converted; what does not convert is NULL.
     """
-    sampled = (
-        spark.read.option("header", True)
-        .option("inferSchema", True)
-        .option("samplingRatio", sampling_ratio)
-        .csv(path)
-    )
+    sampled = spark.read.option("header", True).option("inferSchema", True).csv(path)
     fixed = set(overrides) | set(dates)
     schema = StructType()
     for field in sampled.schema:

@@ -7,6 +7,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
 
+#: The one error that means that nothing has been written yet.
+MISSING = "PATH_NOT_FOUND"
+
 
 class Warehouse:
     """Named tables: replaced as a whole, or grown by numbered batches.
@@ -23,7 +26,9 @@ class Warehouse:
     def _records(self, name: str) -> DataFrame | None:
         try:
             return self.spark.read.schema("version STRING, at TIMESTAMP").json(f"{self.root}/{name}/versions")
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() != MISSING:
+                raise
             return None
 
     def path(self, name: str) -> str | None:
@@ -69,7 +74,9 @@ class Warehouse:
         """Rows of the batches in (after, upto]; no batch yet gives an empty frame."""
         try:
             frame = self.spark.read.schema(f"{schema}, batch_id BIGINT").parquet(f"{self.root}/{name}/batches")
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() != MISSING:
+                raise
             return self.spark.createDataFrame([], f"{schema}, batch_id BIGINT")
         if after is not None:
             frame = frame.where(F.col("batch_id") > after)

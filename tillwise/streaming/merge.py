@@ -60,13 +60,19 @@ def merged_fact(warehouse: Warehouse) -> DataFrame:
 
 
 def merged_dim_date(warehouse: Warehouse) -> DataFrame:
-    return warehouse.read(DIM_DATE).unionByName(_merged_batches(warehouse, f"{DIM_DATE}_increment", DATE_COLUMNS))
+    loaded = warehouse.read(DIM_DATE)
+    added = _merged_batches(warehouse, f"{DIM_DATE}_increment", DATE_COLUMNS)
+    return loaded.unionByName(added.join(loaded.select("date_key"), "date_key", "left_anti"))
 
 
 def merged_dim_customer(warehouse: Warehouse) -> DataFrame:
-    """Loaded customers, and the ids first met in the stream, with unknown attributes."""
+    """Loaded customers, and the ids first met in the stream, with unknown attributes.
+
+    An id that a later load brings takes the place of the one met in the stream.
+    """
+    loaded = warehouse.read(DIM_CUSTOMER)
     added = _merged_batches(warehouse, f"{DIM_CUSTOMER}_increment", CUSTOMER_COLUMNS)
-    return warehouse.read(DIM_CUSTOMER).unionByName(added, allowMissingColumns=True)
+    return loaded.unionByName(added.join(loaded.select("customer_id"), "customer_id", "left_anti"), allowMissingColumns=True)
 
 
 def merge(warehouse: Warehouse, pipeline: str = PIPELINE) -> int | None:
