@@ -34,6 +34,8 @@ def over_tiles(
         copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_other - 1).cast("bigint")))
         return df.withColumns({own: F.pmod(F.xxhash64(key), F.lit(n_own)), other: copies})
 
+    # both sides may come from one table: names of its own keep their columns apart
+    pool = pool.select([F.col(c).alias(c) for c in pool.columns])
     tile = ["_row_block", "_pool_block"]
     left = dealt(rows, row_key, "_row_block", down, "_pool_block", across).groupBy(*tile)
     right = dealt(pool, pool_key, "_pool_block", across, "_row_block", down).groupBy(*tile)

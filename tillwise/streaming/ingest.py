@@ -12,6 +12,7 @@ from tillwise.streaming.messages import parse_messages
 INGESTED = "stream_transactions_ingested"
 REJECTED = "stream_transactions_rejected"
 LEDGER = "stream_ledger"
+ENRICHED = "stream_transactions_enriched"
 SALE = "customer_id STRING, article_id BIGINT, t_dat DATE, price DOUBLE, sales_channel_id INT, kafka_timestamp TIMESTAMP"
 REJECT = (
     "t_dat STRING, customer_id STRING, article_id BIGINT, price DOUBLE, sales_channel_id INT, "
@@ -25,9 +26,13 @@ def enrich(sales: DataFrame, customers: DataFrame, articles: DataFrame) -> DataF
     return sales.join(customers, "customer_id", "left").join(articles, "article_id", "left")
 
 
-def write_batch(warehouse: Warehouse, raw: DataFrame, batch_id: int) -> None:
+def write_batch(
+    warehouse: Warehouse, raw: DataFrame, batch_id: int, dims: tuple[DataFrame, DataFrame] | None = None
+) -> None:
     """Store one micro-batch: valid rows, rejected rows, then its ledger entry.
 
+    With ``dims`` (customers, articles) the valid rows are also stored with their attributes.
+
     Each part replaces the folder of this batch, so a replayed batch leaves no duplicates.
     The ledger entry comes last; without it the merge does not look at the batch.
     """
@@ -37,6 +42,8 @@ def write_batch(warehouse: Warehouse, raw: DataFrame, batch_id: int) -> None:
         sale_columns = [c.split()[0] for c in SALE.split(", ")]
         warehouse.write_batch(INGESTED, valid.select(sale_columns), batch_id)
         warehouse.write_batch(REJECTED, rejected, batch_id)
+        if dims:
+            warehouse.write_batch(ENRICHED, enrich(valid.select(sale_columns), *dims), batch_id)
         n_valid = warehouse.read_batches(INGESTED, SALE, batch_id - 1, batch_id).agg(F.count("*")).scalar()
         entry = parsed.agg(F.count("*").alias("n"), F.max("kafka_timestamp").alias("last_timestamp")).select(
             n_valid.alias("n_valid"), (F.col("n") - n_valid).alias("n_rejected"), "last_timestamp"
@@ -52,16 +59,18 @@ def start(
     checkpoint: str,
     interval: str | None = "30 seconds",
     console: bool = False,
+    dims: tuple[DataFrame, DataFrame] | None = None,
 ) -> StreamingQuery:
     """Run the ingestion. ``interval=None`` takes what is there and stops.
 
-    One query reads the source once and writes both tables; ``console`` starts a second
-    one that prints parsed messages, and reads the source again for that.
+    One query reads the source once and writes all tables; ``console`` starts a second one,
+    ``sale_messages_console``, that prints parsed messages, and reads the source again for that.
     """
     if console:
-        parse_messages(messages).writeStream.format("console").option("truncate", False).start()
+        printed = parse_messages(messages).writeStream.format("console").option("truncate", False)
+        printed.queryName("sale_messages_console").start()
     writer = (
-        messages.writeStream.foreachBatch(lambda batch, number: write_batch(warehouse, batch, number))
+        messages.writeStream.foreachBatch(lambda batch, number: write_batch(warehouse, batch, number, dims))
         .option("checkpointLocation", checkpoint)
         .queryName("sale_messages")
     )
