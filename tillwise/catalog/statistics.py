@@ -311,7 +311,18 @@ def t08(t):
     return report.withColumn("distance", F.round("distance", 6))
 
 
-@query("t08_drift_summary")
+_SHIFTED = {"age": "age + 4", "purchase_frequency_per_month": "purchase_frequency_per_month * 0.7", "recency_days": "recency_days * 1.4"}
+
+
+@query(
+    "t08_drift_summary",
+    # the categorical columns are the same in both windows: at distance zero they count, and haven't drifted
+    f"""SELECT CAST(COUNT(*) + {len(model.SPEND_CATEGORICAL)} AS BIGINT) AS n_columns, CAST(COUNT(*) FILTER (distance >= 0.1) AS BIGINT) AS n_drifted,
+  COUNT(*) FILTER (distance >= 0.1) / (COUNT(*) + {len(model.SPEND_CATEGORICAL)})::DOUBLE AS share,
+  COUNT(*) FILTER (distance >= 0.1) / (COUNT(*) + {len(model.SPEND_CATEGORICAL)})::DOUBLE >= 0.5 AS alert FROM ("""
+    + " UNION ALL ".join(_W.format(c, "feat", _SHIFTED.get(c, c), "feat") for c in model.BEHAVIOUR)
+    + ")",
+)
 def t08_summary(t):
     frame = t.features
     shifted = frame.withColumns(
