@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -21,6 +23,36 @@ def _vectors(t):
     return prepare.fit_behaviour(rows).transform(rows)
 
 
+# Fits draw at random, so these queries return what holds of every right fit.
+view(
+    "trainsize",
+    """SELECT club_member_status, COUNT(*) - (COUNT(*) * 4 + 10) // 20 AS n, (COUNT(*) * 4 + 10) // 20 AS n_test
+  FROM feat WHERE club_member_status IS NOT NULL GROUP BY 1""",
+)
+view(
+    "sizes",
+    """SELECT COUNT(*) AS n, (SELECT CAST(SUM(n) AS BIGINT) FROM trainsize) AS n_train,
+  (SELECT CAST(SUM(n_test) AS BIGINT) FROM trainsize) AS n_test FROM feat""",
+)
+
+
+def _shares(*columns):
+    """All of them lie between 0 and 1."""
+    whole = F.lit(True)
+    for c in columns:
+        whole = whole & F.col(c).between(0, 1)
+    return whole
+
+
+def _scored(rows):
+    return rows.select("model", "n", _shares("accuracy", "f1_macro", "f1_weighted").alias("scores_are_shares"))
+
+
+def _scored_sql(*names):
+    listed = ", ".join(f"('{n}')" for n in names)
+    return f"SELECT model, n_test AS n, true AS scores_are_shares FROM sizes, (VALUES {listed}) m(model)"
+
+
 @query(
     "m01_standardised",
     "SELECT customer_id, "
@@ -32,31 +64,48 @@ def m01(t):
     return values.select("customer_id", *[F.round(F.col("v")[i], 6).alias(c) for i, c in enumerate(model.BEHAVIOUR)])
 
 
-@query("m02_components")
+@query(
+    "m02_components",
+    "SELECT n, true AS uncorrelated, true AS shares_are_variances, true AS three_hold_more FROM sizes",
+)
 def m02(t):
     vectors = _vectors(t)
     two, shares_2 = cluster.principal_components(vectors, 2)
     _, shares_3 = cluster.principal_components(vectors, 3)
     v = vector_to_array("components")
-    return two.select(
-        "customer_id",
-        v[0].alias("first"),
-        v[1].alias("second"),
-        F.lit(sum(shares_2)).alias("share_of_2"),
-        F.lit(sum(shares_3)).alias("share_of_3"),
+    projected = two.select(v[0].alias("a"), v[1].alias("b"))
+    of_all = [F.var_pop(c) / len(model.BEHAVIOUR) for c in ("a", "b")]  # standardised columns have variance 1
+    return projected.agg(
+        F.count("*").alias("n"),
+        (F.abs(F.corr("a", "b")) < 1e-6).alias("uncorrelated"),
+        ((F.abs(of_all[0] - shares_2[0]) < 1e-6) & (F.abs(of_all[1] - shares_2[1]) < 1e-6)).alias("shares_are_variances"),
+        F.lit(sum(shares_2) <= sum(shares_3) <= 1 + 1e-9).alias("three_hold_more"),
     )
 
 
-@query("m03_kmeans_sweep")
+@query(
+    "m03_kmeans_sweep",
+    "SELECT k, true AS less_than_one_cluster, true AS silhouette_in_range FROM range(2, 11) r(k)",
+)
 def m03(t):
     vectors = _vectors(t).persist()
     try:
-        return cluster.sweep(vectors, range(2, 11))
+        # around one centre, standardised columns have a sum of squares of 1 per row and column
+        whole = vectors.count() * len(model.BEHAVIOUR)
+        swept = cluster.sweep(vectors, range(2, 11))
     finally:
         vectors.unpersist()
+    return swept.select(
+        "k",
+        F.col("inertia").between(0, whole).alias("less_than_one_cluster"),
+        F.col("silhouette").between(-1, 1).alias("silhouette_in_range"),
+    )
 
 
-@query("m04_choice_of_k")
+@query(
+    "m04_choice_of_k",
+    "SELECT unnest(['elbow', 'silhouette', 'bic', 'aic']) AS criterion, true AS among_candidates",
+)
 def m04(t):
     vectors = _vectors(t).persist()
     try:
@@ -64,16 +113,25 @@ def m04(t):
         chosen = cluster.choose_k(swept, cluster.mixture_criteria(vectors, range(2, 11)))
     finally:
         vectors.unpersist()
-    return t.spark.createDataFrame(list(chosen.items()), "criterion STRING, k INT")
+    rows = t.spark.createDataFrame(list(chosen.items()), "criterion STRING, k INT")
+    return rows.select("criterion", F.coalesce(F.col("k").between(2, 10), F.col("criterion") == "elbow").alias("among_candidates"))
 
 
-@query("m05_mixture_criteria")
+@query(
+    "m05_mixture_criteria",
+    # weights, means and covariances of k components in 7 columns
+    "SELECT k, k - 1 + k * 7 + k * 28 AS n_parameters FROM range(2, 11) r(k)",
+)
 def m05(t):
+    """The two criteria differ by (ln n - 2) per free parameter."""
     vectors = _vectors(t).persist()
     try:
-        return cluster.mixture_criteria(vectors, range(2, 11))
+        n = vectors.count()
+        criteria = cluster.mixture_criteria(vectors, range(2, 11))
     finally:
         vectors.unpersist()
+    free = F.round((F.col("bic") - F.col("aic")) / (math.log(n) - 2)).cast("bigint")
+    return criteria.select("k", free.alias("n_parameters"))
 
 
 def _clustered(t, k=6):
@@ -81,9 +139,16 @@ def _clustered(t, k=6):
     return cluster.fit_kmeans(vectors, k).transform(vectors)
 
 
-@query("m06_cluster_by_segment")
+@query(
+    "m06_cluster_by_segment",
+    "SELECT CAST(6 AS BIGINT) AS n_clusters, "
+    + ", ".join(f"COUNT(*) FILTER (value_segment = '{s}') AS \"{s}\"" for s in model.SEGMENTS)
+    + " FROM feat",
+)
 def m06(t):
-    return cluster.cross_segments(_clustered(t))
+    """Over all clusters, the counts are those of the segments."""
+    crossed = cluster.cross_segments(_clustered(t))
+    return crossed.agg(F.count("*").alias("n_clusters"), *[F.sum(f"`{s}`").alias(s) for s in model.SEGMENTS])
 
 
 _Z = ", ".join(
@@ -106,73 +171,139 @@ def m07(t):
     )
 
 
-@query("m08_cluster_rules")
+@query(
+    "m08_cluster_rules",
+    "SELECT true AS above_largest_cluster, true AS names_columns",
+)
 def m08(t):
-    text, fidelity = cluster.cluster_rules(_clustered(t))
-    return t.spark.createDataFrame([(text, fidelity)], "rules STRING, fidelity_pct DOUBLE")
+    """The rules retell at least the share of the largest cluster, in the names of the raw columns."""
+    clustered = _clustered(t).persist()
+    try:
+        text, fidelity = cluster.cluster_rules(clustered)
+        largest = clustered.groupBy("cluster").count().agg(F.max("count") / F.sum("count")).first()[0]
+    finally:
+        clustered.unpersist()
+    named = "feature " not in text and any(c in text for c in model.BEHAVIOUR)
+    return t.spark.createDataFrame(
+        [(100 * largest - 1e-9 <= fidelity <= 100, named)], "above_largest_cluster BOOLEAN, names_columns BOOLEAN"
+    )
 
 
-@query("m09_segmentation")
+@query(
+    "m09_segmentation",
+    "SELECT CAST(6 AS BIGINT) AS k, n AS n_samples, true AS silhouette_in_range, true AS less_than_one_cluster FROM sizes",
+)
 def m09(t):
-    fitted, metrics = cluster.train_segmentation(_features(t))
+    _, metrics = cluster.train_segmentation(_features(t))
+    n = metrics["n_samples"]
+    row = (metrics["k"], n, -1 <= metrics["silhouette_score"] <= 1, 0 < metrics["inertia"] < n * len(model.BEHAVIOUR))
     return t.spark.createDataFrame(
-        [(float(metrics["silhouette_score"]), metrics["inertia"], metrics["k"], metrics["n_samples"])],
-        "silhouette_score DOUBLE, inertia DOUBLE, k INT, n_samples BIGINT",
+        [row], "k INT, n_samples BIGINT, silhouette_in_range BOOLEAN, less_than_one_cluster BOOLEAN"
     )
 
 
-@query("m10_segment_tree")
+@query(
+    "m10_segment_tree",
+    """SELECT m.model, CAST(6 AS BIGINT) AS n_clusters, n, true AS silhouette_in_range
+  FROM sizes, (VALUES ('k-means'), ('mixture'), ('tree')) m(model)""",
+)
 def m10(t):
-    vectors = _vectors(t)
-    return cluster.fit_bisecting(vectors).transform(vectors).groupBy("cluster").agg(F.count("*").alias("n"))
+    vectors = _vectors(t).persist()
+    try:
+        compared = cluster.compare_segmentations(vectors)
+    finally:
+        vectors.unpersist()
+    return compared.select("model", "n_clusters", "n", F.col("silhouette").between(-1, 1).alias("silhouette_in_range"))
 
 
-@query("m11_status_forest")
+@query(
+    "m11_status_forest",
+    "SELECT n_train, n_test, true AS scores_are_shares FROM sizes",
+)
 def m11(t):
     _, metrics = classify.train_status(_features(t))
-    return t.spark.createDataFrame([metrics])
+    return t.spark.createDataFrame([metrics]).select(
+        "n_train", "n_test", _shares("accuracy", "f1_macro").alias("scores_are_shares")
+    )
 
 
-@query("m12_status_models")
+@query("m12_status_models", _scored_sql("logistic", "tree", "forest"))
 def m12(t):
     train, test, _ = classify.prepare(_features(t))
     models = classify.balanced_models()
-    return classify.compare(train, test, models)
+    return _scored(classify.compare(train, test, models))
+
+
+view(
+    "parted",
+    """SELECT *, row_number() OVER (PARTITION BY club_member_status ORDER BY md5(customer_id || '|42'), customer_id) - 1
+   < (COUNT(*) OVER (PARTITION BY club_member_status) * 4 + 10) // 20 AS held_out FROM feat WHERE club_member_status IS NOT NULL""",
+)
+_X = [f"coalesce({c}::DOUBLE, 0)" for c in model.BEHAVIOUR]
+view(
+    "scaledrows",
+    "SELECT customer_id, club_member_status AS label, held_out, ["
+    + ", ".join(f"({x} - AVG({x}) FILTER (NOT held_out) OVER ()) / stddev_pop({x}) FILTER (NOT held_out) OVER ()" for x in _X)
+    + "] AS x FROM parted",
+)
+view(
+    "nearrows",
+    """SELECT a.customer_id, a.label, b.label AS near_label,
+  row_number() OVER (PARTITION BY a.customer_id ORDER BY round(pow(list_distance(a.x, b.x), 2), 9), b.customer_id) AS place
+  FROM scaledrows a, scaledrows b WHERE a.held_out AND NOT b.held_out""",
+)
+view(
+    "voted",
+    """SELECT customer_id, label, arg_min(near_label, (-n, near_label)) AS predicted FROM (
+  SELECT customer_id, label, near_label, COUNT(*) AS n FROM nearrows WHERE place <= 5 GROUP BY ALL) GROUP BY ALL""",
+)
+view(
+    "votedclass",
+    """SELECT coalesce(hit, 0) AS hit, coalesce(support, 0) AS support, coalesce(claimed, 0) AS claimed FROM (
+  SELECT label, COUNT(*) AS support, COUNT(*) FILTER (label = predicted) AS hit FROM voted GROUP BY 1)
+  FULL JOIN (SELECT predicted AS label, COUNT(*) AS claimed FROM voted GROUP BY 1) USING (label)""",
+)
 
 
-@query("m13_neighbour_votes")
+@query(
+    "m13_neighbour_votes",
+    """SELECT 'neighbours' AS model, round(SUM(hit)::DOUBLE / SUM(support), 9) AS accuracy, round(AVG(2 * hit::DOUBLE / (claimed + support)), 9) AS f1_macro,
+  round(SUM(2 * hit::DOUBLE / (claimed + support) * support) / SUM(support), 9) AS f1_weighted, CAST(SUM(support) AS BIGINT) AS n FROM votedclass""",
+)
 def m13(t):
     train, test, _ = classify.prepare(_features(t))
-    return classify.evaluate_on(test, "neighbours", classify.neighbour_votes(train, test))
+    scores = classify.evaluate_on(test, "neighbours", classify.neighbour_votes(train, test))
+    return scores.select("model", *[F.round(c, 9).alias(c) for c in ("accuracy", "f1_macro", "f1_weighted")], "n")
 
 
-@query("m14_margin_model")
+@query("m14_margin_model", _scored_sql("margin"))
 def m14(t):
     train, test, _ = classify.prepare(_features(t))
-    return classify.compare(train, test, {"margin": classify.margin_model()})
+    return _scored(classify.compare(train, test, {"margin": classify.margin_model()}))
 
 
-@query("m15_grid_search")
-def m15(t):
+def _searched(t, name, grid):
+    """Test scores of the best setting, whether it is one of the grid, and its validated score."""
     train, test, _ = classify.prepare(_features(t))
-    estimator = classify.balanced_models()["tree"]
-    fitted, chosen, best = classify.grid_search(
-        train, estimator, {"maxDepth": [5, 10, 15, 30], "minInstancesPerNode": [1, 5, 10]}
-    )
-    scores = classify.evaluate_on(test, "tuned tree", fitted.transform(test))
+    fitted, chosen, best = classify.grid_search(train, classify.balanced_models()[name], grid)
+    scores = _scored(classify.evaluate_on(test, f"tuned {name}", fitted.transform(test)))
     return scores.withColumns(
         {
-            "max_depth": F.lit(chosen["maxDepth"]),
-            "min_leaf": F.lit(chosen["minInstancesPerNode"]),
-            "cv_f1_macro": F.lit(float(best)),
+            "of_grid": F.lit(all(chosen[c] in values for c, values in grid.items())),
+            "cv_is_share": F.lit(0 <= float(best) <= 1),
         }
     )
 
 
-view(
-    "trainsize",
-    """SELECT club_member_status, COUNT(*) - (COUNT(*) * 4 + 10) // 20 AS n FROM feat GROUP BY 1""",
-)
+# depth 30 is the deepest tree that Spark grows: the setting without a limit
+@query("m15_grid_search", "SELECT *, true AS of_grid, true AS cv_is_share FROM (" + _scored_sql("tuned tree") + ")")
+def m15(t):
+    return _searched(t, "tree", {"maxDepth": [5, 10, 15, 30], "minInstancesPerNode": [1, 5, 10]})
+
+
+@query("m15_forest_search", "SELECT *, true AS of_grid, true AS cv_is_share FROM (" + _scored_sql("tuned forest") + ")")
+def m15_forest(t):
+    return _searched(t, "forest", {"numTrees": [100, 200], "maxDepth": [10, 20, 30], "minInstancesPerNode": [1, 5]})
 
 
 @query(
@@ -199,7 +330,7 @@ def m16(t):
     ).select(F.get(names, F.col("label").cast("int")).alias("club_member_status"), "n_real", "n_after", "inside_hull")
 
 
-@query("m17_boosted_status")
+@query("m17_boosted_status", _scored_sql("weighted", "oversampled"))
 def m17(t):
     train, test, _ = classify.prepare(_features(t))
     weighted = classify.boosted_model(True).fit(train)
@@ -207,9 +338,7 @@ def m17(t):
     both = classify.evaluate_on(test, "weighted", weighted.transform(test)).unionByName(
         classify.evaluate_on(test, "oversampled", raised.transform(test))
     )
-    return both.withColumn("family", F.lit("boosted trees")).groupBy("family").pivot("model", ["weighted", "oversampled"]).agg(
-        F.max("f1_macro")
-    )
+    return _scored(both)
 
 
 # rule-based predictions, the same in both engines: status by number of purchases
@@ -272,17 +401,51 @@ def m19(t):
     )
 
 
-@query("m20_linear_models")
+@query(
+    "m20_linear_models",
+    """SELECT unnest(['least squares', 'lasso', 'ridge', 'elastic net']) AS model, true AS rmse_not_below_mae, true AS r2_at_most_one""",
+)
 def m20(t):
     train, test = regress.split(_features(t))
     inputs, _ = regress.fit_inputs(train)
-    return regress.compare(inputs.transform(train), inputs.transform(test), regress.linear_models(train))
+    compared = regress.compare(inputs.transform(train), inputs.transform(test), regress.linear_models(train))
+    return compared.select(
+        "model",
+        (F.col("rmse") >= F.col("mae")).alias("rmse_not_below_mae"),
+        ((F.col("r2_log_target") <= 1) & (F.col("cv_r2") <= 1)).alias("r2_at_most_one"),
+    )
 
 
-@query("m21_spend_model")
+@query(
+    "m20_normal_equations",
+    "SELECT n - CAST(round(n * 0.2) AS BIGINT) AS n_train, true AS orthogonal FROM sizes",
+)
+def m20_equations(t):
+    """The residuals of least squares are orthogonal to every input on the training rows."""
+    train, _ = regress.split(_features(t))
+    inputs, chosen = regress.fit_inputs(train)
+    rows = inputs.transform(train)
+    fitted = regress.linear_models(train)["least squares"].fit(rows).transform(rows)
+    scored = fitted.select((F.col("log_spend") - F.col("prediction")).alias("gap"), vector_to_array("scaled").alias("x"))
+    orthogonal = F.abs(F.avg("gap")) < 1e-6
+    for i in range(len(chosen)):
+        orthogonal = orthogonal & (F.abs(F.avg(F.col("gap") * F.col("x")[i])) < 1e-6)
+    return scored.agg(F.count("*").alias("n_train"), orthogonal.alias("orthogonal"))
+
+
+@query(
+    "m21_spend_model",
+    """SELECT n - CAST(round(n * 0.2) AS BIGINT) AS n_train, CAST(round(n * 0.2) AS BIGINT) AS n_test,
+  true AS rmse_not_below_mae, true AS r2_at_most_one FROM sizes""",
+)
 def m21(t):
     _, metrics = regress.train_spend(_features(t))
-    return t.spark.createDataFrame([metrics])
+    return t.spark.createDataFrame([metrics]).select(
+        "n_train",
+        "n_test",
+        (F.col("rmse") >= F.col("mae")).alias("rmse_not_below_mae"),
+        (F.col("r2_log_target") <= 1).alias("r2_at_most_one"),
+    )
 
 
 @query(
@@ -311,14 +474,42 @@ def _linear_predictions(t):
     return fitted.transform(inputs.transform(test))
 
 
-@query("m23_residual_histogram")
+@query(
+    "m23_residual_histogram",
+    "SELECT CAST(50 AS BIGINT) AS n_bins, CAST(round(n * 0.2) AS BIGINT) AS n, true AS ends_are_filled FROM sizes",
+)
 def m23(t):
-    return evaluate.residual_histogram(_linear_predictions(t))
+    bins = evaluate.residual_histogram(_linear_predictions(t))
+    return bins.agg(
+        F.count("*").alias("n_bins"),
+        F.sum("n").alias("n"),
+        ((F.min_by("n", "bin") > 0) & (F.max_by("n", "bin") > 0)).alias("ends_are_filled"),
+    )
 
 
-@query("m23_residual_qq")
+@query(
+    "m23_residual_qq",
+    "SELECT CAST(round(n * 0.2) AS BIGINT) AS n, true AS rising, true AS symmetric FROM sizes",
+)
 def m23_qq(t):
-    return evaluate.residual_qq(_linear_predictions(t))
+    points = evaluate.residual_qq(_linear_predictions(t))
+    return points.agg(
+        F.count("*").alias("n"),
+        (F.corr("theoretical", "sample") > 0).alias("rising"),
+        (F.abs(F.sum("theoretical")) < 1e-6).alias("symmetric"),
+    )
+
+
+@query(
+    "m23_residuals",
+    "SELECT CAST(round(n * 0.2) AS BIGINT) AS n, true AS adds_up FROM sizes",
+)
+def m23_points(t):
+    """Residual beside prediction, per test row: the two give the label."""
+    scored = _linear_predictions(t)
+    points = evaluate.residuals(scored).join(scored.select("customer_id", "log_spend"), "customer_id")
+    gap = F.abs(F.col("predicted") + F.col("residual") - F.col("log_spend"))
+    return points.agg(F.count("*").alias("n"), (F.max(gap) < 1e-9).alias("adds_up"))
 
 
 def _models(rows):
@@ -328,11 +519,26 @@ def _models(rows):
     return status, segment, spend
 
 
-@query("m24_batch_scoring")
+@query(
+    "m24_batch_scoring",
+    """SELECT n AS n_customers_scored, n AS n_with_status, n AS n_with_segment, 'customers_features_train' AS source_table,
+  'classification=1,clustering=1,regression=1' AS model_versions FROM sizes""",
+)
 def m24(t):
     rows = _features(t)
     scored = score.score_customers(rows, *_models(rows))
-    return score.summarise(scored, {"classification": "1", "clustering": "1", "regression": "1"})
+    summary = score.summarise(scored, {"classification": "1", "clustering": "1", "regression": "1"})
+
+    def total(column):
+        return F.aggregate(F.map_values(column), F.lit(0).cast("bigint"), lambda a, x: a + x)
+
+    return summary.select(
+        "n_customers_scored",
+        total("club_status_distribution").alias("n_with_status"),
+        total("segment_distribution").alias("n_with_segment"),
+        "source_table",
+        "model_versions",
+    )
 
 
 view(
@@ -363,12 +569,16 @@ def m25(t):
     return bad.select("customer_id", "missing", "out_of_range")
 
 
-@query("m25_scored_profiles")
+@query(
+    "m25_scored_profiles",
+    "SELECT COUNT(*) AS n, true AS known_status FROM profs WHERE age >= 0 AND tenure_days IS NOT NULL",
+)
 def m25_scored(t):
     rows = _features(t)
     good, _ = score.split_profiles(_profiles(t), model.BEHAVIOUR)
     fitted, _ = classify.train_status(rows)
-    return score.predict_status(fitted, good).groupBy("predicted_status").agg(F.count("*").alias("n"))
+    known = F.col("predicted_status").isin(fitted.stages[-1].getLabels())
+    return score.predict_status(fitted, good).agg(F.count("*").alias("n"), F.every(known).alias("known_status"))
 
 
 @query("m26_probabilities", "SELECT COUNT(*) AS n, COUNT(*) AS n_summing_to_one, CAST(3 AS BIGINT) AS n_classes FROM feat")

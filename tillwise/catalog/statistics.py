@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from tillwise import model
@@ -13,7 +14,10 @@ from tillwise.functions.columns import (
     surrogate_key,
     week_ending,
 )
-from tillwise.operators import analysis, drift, features, stat_tests
+from tillwise.functions.probability import AS_241
+from tillwise.ml import prepare
+from tillwise.operators import analysis, drift, stat_tests
+from tillwise.session import materialise
 from tillwise.sources.binding import AS_OF
 from tillwise.streaming.messages import parse_messages
 
@@ -207,9 +211,49 @@ def t02(t):
     )
 
 
-@query("t03_qq_points")
+def _ratio(part: str, x: str) -> str:
+    def polynomial(terms):
+        text = f"{terms[-1]!r}::DOUBLE"
+        for term in reversed(terms[:-1]):
+            text = f"({text} * {x} + {term!r}::DOUBLE)"
+        return text
+
+    top, bottom = AS_241[part]
+    return f"{polynomial(top)} / {polynomial(bottom)}"
+
+
+# places as medians of order statistics, and their normal quantiles
+view(
+    "placed",
+    """SELECT customer_id, age AS sample, row_number() OVER (ORDER BY age, customer_id) AS rank, COUNT(*) OVER () AS n
+  FROM cust WHERE age IS NOT NULL""",
+)
+view(
+    "placed_p",
+    """SELECT *, p - 0.5::DOUBLE AS q, sqrt(-ln(least(p, 1 - p))) AS s FROM (SELECT sample, rank, n, CASE WHEN rank = n THEN pow(0.5::DOUBLE, 1 / n::DOUBLE) WHEN rank = 1 THEN 1 - pow(0.5::DOUBLE, 1 / n::DOUBLE)
+  ELSE (rank - 0.3175::DOUBLE) / (n + 0.365::DOUBLE) END AS p FROM placed)""",
+)
+view(
+    "qq",
+    f"""SELECT rank, sample, CASE WHEN abs(q) <= 0.425 THEN q * {_ratio("middle", "(0.180625::DOUBLE - q * q)")}
+  ELSE sign(q) * CASE WHEN s <= 5 THEN {_ratio("tail", "(s - 1.6::DOUBLE)")} ELSE {_ratio("far", "(s - 5)")} END END AS theoretical FROM placed_p""",
+)
+
+
+@query("t03_qq_points", "SELECT rank, round(theoretical, 9) AS theoretical, sample FROM qq")
 def t03(t):
-    return stat_tests.qq_points(t.customers, "age")
+    points = stat_tests.qq_points(t.customers, "age", "customer_id")
+    return points.select("rank", F.round("theoretical", 9).alias("theoretical"), "sample")
+
+
+@query(
+    "t03_qq_line",
+    """SELECT COUNT(*) AS n, round(regr_slope(sample, theoretical), 6) AS slope, round(regr_intercept(sample, theoretical), 6) AS intercept,
+  round(corr(sample, theoretical), 6) AS r FROM qq""",
+)
+def t03_line(t):
+    line = stat_tests.qq_line(stat_tests.qq_points(t.customers, "age", "customer_id"))
+    return line.select("n", *[F.round(c, 6).alias(c) for c in ("slope", "intercept", "r")])
 
 
 # two-sided t tail by Simpson's rule: p = 1 - 2 * integral of the density over [0, |t|]
@@ -271,12 +315,41 @@ def t06(t):
     return scores.select("feature", F.round("r", 9).alias("r"), F.round("f_score", 3).alias("f_score"))
 
 
+def _eliminated(t):
+    rows = prepare.with_log_spend(materialise(t.features, "features"))
+    stages, columns = prepare.fit_spend_columns(rows)
+    encoded = PipelineModel(stages).transform(rows)
+    return encoded, stat_tests.backward_elimination(encoded, columns, "log_spend")
+
+
 @query("t07_backward_elimination")
 def t07(t):
-    base = features.with_behaviour(features.rfm_base(t.named_sales), AS_OF)
-    frame = base.withColumn("log_spend", F.log1p(F.col("total_spend").cast("double")))
-    inputs = [c for c in model.SPEND_NUMERIC if c != "age"]
-    return stat_tests.backward_elimination(frame, inputs, "log_spend")
+    return _eliminated(t)[1]
+
+
+@query(
+    "t07_normal_equations",
+    "SELECT COUNT(*) AS n, true AS all_significant, true AS orthogonal, true AS r_squared_holds FROM feat",
+)
+def t07_equations(t):
+    """What holds of the final model by definition, found from its residuals on all rows."""
+    encoded, fitted = _eliminated(t)
+    terms = {r.term: r for r in fitted.collect()}
+    inputs = [c for c in terms if c != "const"]
+    value = F.lit(terms["const"].coefficient)
+    for c in inputs:
+        value = value + F.col(f"`{c}`") * terms[c].coefficient
+    rows = encoded.withColumn("_gap", F.col("log_spend") - value)
+    orthogonal = F.abs(F.avg("_gap")) < 1e-8
+    for c in inputs:
+        orthogonal = orthogonal & (F.abs(F.corr("_gap", F.col(f"`{c}`"))) < 1e-8)
+    r_squared = 1 - F.var_pop("_gap") / F.var_pop("log_spend")
+    return rows.agg(
+        F.count("*").alias("n"),
+        F.lit(len(inputs) == 1 or all(terms[c].p_value <= 0.05 for c in inputs)).alias("all_significant"),
+        orthogonal.alias("orthogonal"),
+        (F.abs(r_squared - terms["const"].r_squared) < 1e-9).alias("r_squared_holds"),
+    )
 
 
 view("halves", "SELECT *, first_purchase < DATE '1995-06-01' AS early FROM feat")

@@ -14,7 +14,8 @@ from tillwise.sources.streams import file_messages
 from tillwise.sources.warehouse import Warehouse
 from tillwise.streaming import ingest, merge, messages
 
-PARTS = [("2024-01-01", "2024-01-11"), ("2024-01-11", "2024-01-21"), ("2024-01-21", "2024-02-01")]
+# the first and the last part have no outer end
+PARTS = [("0001-01-01", "2024-01-11"), ("2024-01-11", "2024-01-21"), ("2024-01-21", "9999-12-31")]
 
 view(
     "goodev",

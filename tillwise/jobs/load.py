@@ -19,6 +19,7 @@ def main(args: list[str] | None = None) -> None:
     parser.add_argument("--input", help="folder with the three CSV files")
     parser.add_argument("--warehouse", required=True)
     parser.add_argument("--as-of", required=True, help="reference day, YYYY-MM-DD")
+    parser.add_argument("--keep-merged", action="store_true", help="the files hold none of the merged sales")
     given = parser.parse_args(args)
     if given.source == "csv" and not given.input:
         parser.error("--input is needed for --source csv")
@@ -26,7 +27,7 @@ def main(args: list[str] | None = None) -> None:
     warehouse = Warehouse(spark, given.warehouse)
     if given.source == "csv":
         files = read_sales_files(spark, given.input)
-        batch.load(warehouse, files["transactions"], files["customers"], files["articles"], given.as_of)
+        batch.load(warehouse, files["transactions"], files["customers"], files["articles"], given.as_of, given.keep_merged)
     else:
         batch.recompute(warehouse, given.as_of)
 

@@ -1,4 +1,7 @@
-"""Merge ingested batches and rebuild the marts: ``spark-submit merge.py --warehouse FOLDER --as-of DAY``."""
+"""Merge ingested batches and rebuild the marts: ``spark-submit merge.py --warehouse FOLDER --as-of DAY``.
+
+``--compact`` then writes the star schema anew with all merged batches inside.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +10,7 @@ import argparse
 from tillwise.plans import batch
 from tillwise.session import build_session
 from tillwise.sources.warehouse import Warehouse
-from tillwise.streaming.merge import merge
+from tillwise.streaming.merge import compact, merge
 
 
 def main(args: list[str] | None = None) -> int | None:
@@ -15,11 +18,14 @@ def main(args: list[str] | None = None) -> int | None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--warehouse", required=True)
     parser.add_argument("--as-of", required=True, help="reference day, YYYY-MM-DD")
+    parser.add_argument("--compact", action="store_true")
     given = parser.parse_args(args)
     warehouse = Warehouse(build_session("merge"), given.warehouse)
     merged = merge(warehouse)
     if merged is not None:
         batch.recompute(warehouse, given.as_of)
+    if given.compact:
+        compact(warehouse)
     return merged
 
 

@@ -69,6 +69,22 @@ def mixture_criteria(vectors: DataFrame, ks: range, seed: int = 42) -> DataFrame
     return vectors.sparkSession.createDataFrame(rows, "k INT, bic DOUBLE, aic DOUBLE")
 
 
+def compare_segmentations(vectors: DataFrame, k: int = 6, seed: int = 42) -> DataFrame:
+    """K-means, Gaussian mixture and top-down tree with ``k`` segments each: model, labels given,
+    rows labelled and silhouette over all rows."""
+    fitted = {
+        "k-means": fit_kmeans(vectors, k, seed=seed),
+        "mixture": GaussianMixture(k=k, seed=seed, featuresCol=SCALED, predictionCol="cluster").fit(vectors),
+        "tree": fit_bisecting(vectors, k, seed),
+    }
+    rows = []
+    for name, one in fitted.items():
+        labelled = one.transform(vectors)
+        sizes = labelled.groupBy("cluster").count().agg(F.count("*"), F.sum("count")).first()
+        rows.append((name, sizes[0], sizes[1], silhouette(labelled)))
+    return vectors.sparkSession.createDataFrame(rows, "model STRING, n_clusters BIGINT, n BIGINT, silhouette DOUBLE")
+
+
 def elbow(ks: list[int], inertias: list[float], sensitivity: float = 1.0) -> int | None:
     """Knee of a convex falling curve: where it lies furthest below its chord.
 

@@ -71,9 +71,12 @@ def regression_metrics(predictions: DataFrame, label: str = "log_spend", predict
     )
 
 
-def residuals(predictions: DataFrame, label: str = "log_spend", predicted: str = "prediction") -> DataFrame:
+def residuals(
+    predictions: DataFrame, label: str = "log_spend", predicted: str = "prediction", key: str = "customer_id"
+) -> DataFrame:
+    """Residual beside prediction, per row."""
     return predictions.select(
-        F.col(predicted).alias("predicted"), (F.col(label) - F.col(predicted)).alias("residual")
+        key, F.col(predicted).alias("predicted"), (F.col(label) - F.col(predicted)).alias("residual")
     )
 
 
@@ -81,8 +84,8 @@ def residual_histogram(predictions: DataFrame, bins: int = 50, **columns: str) -
     return histogram(residuals(predictions, **columns), "residual", bins)
 
 
-def residual_qq(predictions: DataFrame, points: int = 99, **columns: str) -> DataFrame:
-    return qq_points(residuals(predictions, **columns), "residual", points)
+def residual_qq(predictions: DataFrame, key: str = "customer_id", **columns: str) -> DataFrame:
+    return qq_points(residuals(predictions, key=key, **columns), "residual", key)
 
 
 class F1Macro(Evaluator):

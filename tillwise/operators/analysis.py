@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillwise import model
 from tillwise.functions.columns import labelled, month_label, ratio, share, week_ending
-from tillwise.operators.quantiles import exact_quantiles
+from tillwise.operators.quantiles import exact_quantiles, same_groups
 from tillwise.operators.ranking import top_per_group
 from tillwise.session import small_side
 
@@ -296,7 +296,7 @@ def box_summary(df: DataFrame, value: str, group: str) -> DataFrame:
     """Quartiles, whiskers at 1.5 interquartile ranges and outliers, per group. ``df`` is read
     three times: hand in a stored table."""
     marks = {"q1": 0.25, "median": 0.5, "q3": 0.75}
-    quartiles = exact_quantiles(df, value, marks, by=[group])
+    quartiles = exact_quantiles(df, value, marks, by=[group]).withColumnRenamed(group, f"{group}_of")
     spread = F.col("q3") - F.col("q1")
     fences = quartiles.withColumns(
         {"_low": F.col("q1") - 1.5 * spread, "_high": F.col("q3") + 1.5 * spread}
@@ -305,7 +305,7 @@ def box_summary(df: DataFrame, value: str, group: str) -> DataFrame:
     inside = x.between(F.col("_low"), F.col("_high"))
     return (
         df.where(x.isNotNull())
-        .join(small_side(fences), group)
+        .join(small_side(fences), same_groups([group], "_of"))
         .groupBy(group, "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, x)).alias("whisker_low"),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tillwise.functions.probability import (
     chi2_two_p,
@@ -11,6 +11,7 @@ from tillwise.functions.probability import (
     student_p,
     student_two_sided,
 )
+from tillwise.operators.ranking import global_rank
 
 
 def shape(df: DataFrame, value: str) -> DataFrame:
@@ -52,17 +53,26 @@ def normality(df: DataFrame, value: str) -> DataFrame:
     ).withColumn("p_value", chi2_two_p(F.col("k2")))
 
 
-def qq_points(df: DataFrame, value: str, points: int = 99) -> DataFrame:
-    """Sample quantiles against normal quantiles at ``points`` evenly spaced positions."""
-    positions = [(i + 0.5) / points for i in range(points)]
-    pairs = F.array(
-        *[F.struct(F.lit(p).alias("position"), F.lit(normal_quantile(p)).alias("theoretical")) for p in positions]
-    )
-    sample = F.percentile_approx(F.col(value).cast("double"), positions, 10000)
-    return (
-        df.agg(sample.alias("_s"))
-        .select(F.explode(F.arrays_zip(pairs.alias("p"), F.col("_s").alias("sample"))).alias("z"))
-        .select("z.p.position", "z.p.theoretical", "z.sample")
+def qq_points(df: DataFrame, value: str, key: str) -> DataFrame:
+    """Every known value, in order, against the normal quantile of its place: rank (from 1),
+    theoretical, sample. Places are the medians of order statistics, as Filliben gives them; ``key``
+    orders equal values."""
+    rows = df.select(F.col(key).alias("_key"), F.col(value).cast("double").alias("sample")).where("sample IS NOT NULL")
+    ranked = global_rank(rows, F.col("sample"), F.col("_key"), name="_rank")
+    rank, n = F.col("_rank") + 1, F.col("_n")
+    last = F.pow(F.lit(0.5), 1 / n)
+    place = F.when(rank == n, last).when(rank == 1, 1 - last).otherwise((rank - 0.3175) / (n + 0.365))
+    counted = ranked.withColumn("_n", ranked.agg(F.count("*")).scalar())
+    return counted.select(rank.alias("rank"), normal_quantile(place).alias("theoretical"), "sample")
+
+
+def qq_line(points: DataFrame) -> DataFrame:
+    """Least-squares line through the points: n, slope, intercept, r."""
+    return points.agg(
+        F.count("*").alias("n"),
+        F.regr_slope("sample", "theoretical").alias("slope"),
+        F.regr_intercept("sample", "theoretical").alias("intercept"),
+        F.corr("sample", "theoretical").alias("r"),
     )
 
 
@@ -127,9 +137,9 @@ def best_features(df: DataFrame, features: list[str], target: str, k: int = 12)
     return [row.feature for row in f_scores(df, features, target).limit(k).collect()]
 
 
-def gramian(df: DataFrame, columns: list[str]) -> np.ndarray:
+def gramian(df: DataFrame, columns: list[Column]) -> np.ndarray:
     """Sums of products of all column pairs, in one pass; d columns give a d x d matrix."""
-    x = [F.col(c).cast("double") for c in columns]
+    x = [c.cast("double") for c in columns]
     pairs = [(i, j) for i in range(len(x)) for j in range(i, len(x))]
     sums = df.agg(*[F.sum(x[i] * x[j]).alias(f"s{i}_{j}") for i, j in pairs]).first()
     matrix = np.zeros((len(x), len(x)))
@@ -142,28 +152,41 @@ def backward_elimination(df: DataFrame, features: list[str], target: str, limit:
     """Least squares with a constant, dropping the worst other column while its p exceeds
     ``limit`` and more than two columns, the constant among them, remain.
 
-    The data are read once, for the Gramian; each step works on that small matrix.
-    Result: term, coefficient, t, p_value and r_squared of the final model.
+    The data are read twice: for means and deviations, and for the products of the columns so
+    standardised, which do not cancel; each step works on that small matrix. Columns without
+    deviation are left out. Result: term, coefficient, t, p_value and r_squared of the final model.
     """
-    complete = df.select(F.lit(1.0).alias("const"), *features, target).na.drop()
-    names = ["const", *features]
-    matrix = gramian(complete, [*names, target])
-    n, yy, sum_y = matrix[0, 0], matrix[-1, -1], matrix[0, -1]
-    kept = list(range(len(names)))
+    complete = df.select(*[F.col(f"`{c}`").cast("double").alias(f"_{i}") for i, c in enumerate([*features, target])]).na.drop()
+    names = complete.columns
+    moments = complete.agg(F.count("*"), *[F.avg(c) for c in names], *[F.stddev_pop(c) for c in names]).first()
+    n, means, sds = moments[0], moments[1 : len(names) + 1], moments[len(names) + 1 :]
+    used = [i for i in range(len(features)) if sds[i]]
+    if not used or not sds[-1]:
+        raise ValueError("neither the target nor all of the features may be constant")
+    matrix = gramian(complete, [(F.col(names[i]) - means[i]) / sds[i] for i in [*used, len(features)]])
+    kept = list(range(len(used)))
     while True:
-        inverse = np.linalg.pinv(matrix[np.ix_(kept, kept)])
-        xy = matrix[kept, -1]
-        beta = inverse @ xy
-        rss = yy - beta @ xy
-        freedom = n - len(kept)
-        t = beta / np.sqrt(np.diag(inverse) * rss / freedom)
-        p = np.array([student_two_sided(float(v), float(freedom)) for v in t])
-        worst = 1 + int(np.argmax(p[1:]))  # never the constant
-        if len(kept) <= 2 or not p[worst] > limit:
+        inner = matrix[np.ix_(kept, kept)]
+        inverse = np.linalg.pinv(inner, hermitian=True)
+        beta = inverse @ matrix[kept, -1]
+        rss = n - beta @ matrix[kept, -1]
+        freedom = n - 1 - np.linalg.matrix_rank(inner, hermitian=True)
+        variance = rss / freedom
+        t = beta / np.sqrt(np.diag(inverse) * variance)
+        p = [student_two_sided(float(v), float(freedom)) for v in t]
+        worst = int(np.argmax(p))
+        if len(kept) <= 1 or not p[worst] > limit:
             break
         kept.pop(worst)
-    r_squared = float(1 - rss / (yy - sum_y**2 / n))
-    rows = [(names[k], float(b), float(s), float(q), r_squared) for k, b, s, q in zip(kept, beta, t, p)]
+    columns = [used[k] for k in kept]
+    slopes = [float(b) * sds[-1] / sds[i] for b, i in zip(beta, columns)]
+    # the constant is the mean of the target less what the means of the columns give
+    const = means[-1] - sum(b * means[i] for b, i in zip(slopes, columns))
+    centres = np.array([means[i] / sds[i] for i in columns])
+    t_const = const / (sds[-1] * float(np.sqrt(variance * (1 / n + centres @ inverse @ centres))))
+    r_squared = float(1 - rss / n)
+    rows = [("const", const, t_const, student_two_sided(t_const, float(freedom)), r_squared)]
+    rows += [(features[i], b, float(s), q, r_squared) for i, b, s, q in zip(columns, slopes, t, p)]
     return df.sparkSession.createDataFrame(
         rows, "term STRING, coefficient DOUBLE, t DOUBLE, p_value DOUBLE, r_squared DOUBLE"
     )

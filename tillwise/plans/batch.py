@@ -6,29 +6,41 @@ from pyspark.sql import DataFrame, functions as F
 
 from tillwise.operators import cleaning, features, marts, star
 from tillwise.sources.warehouse import Warehouse
-from tillwise.streaming.merge import DIM_CUSTOMER, DIM_DATE, FACT, merged_dim_customer, merged_fact
+from tillwise.streaming.merge import DIM_CUSTOMER, DIM_DATE, FACT, last_merged, merged_dim_customer, merged_fact
 
 MARTS = ["customers_features_train", "products_performance", "daily_sales", "customer_segments_summary"]
 TABLES = ["dim_customer", "dim_article", "dim_date", "fact_transaction", *MARTS]
 
 
 def load(
-    warehouse: Warehouse, transactions: DataFrame, customers: DataFrame, articles: DataFrame, as_of: str
+    warehouse: Warehouse,
+    transactions: DataFrame,
+    customers: DataFrame,
+    articles: DataFrame,
+    as_of: str,
+    keep_merged: bool = False,
 ) -> None:
-    """Initial load of all eight tables."""
-    load_star(warehouse, transactions, customers, articles)
+    """Load of all eight tables."""
+    load_star(warehouse, transactions, customers, articles, keep_merged)
     recompute(warehouse, as_of)
 
 
-def load_star(warehouse: Warehouse, transactions: DataFrame, customers: DataFrame, articles: DataFrame) -> None:
+def load_star(
+    warehouse: Warehouse, transactions: DataFrame, customers: DataFrame, articles: DataFrame, keep_merged: bool = False
+) -> None:
     """Dimensions and fact. The raw sales are scanned once, for the fact; everything after
-    that reads the stored, columnar tables."""
+    that reads the stored, columnar tables.
+
+    A load replaces the fact with all that was merged into it. ``keep_merged``: the files hold
+    none of the merged sales, which stay beside the new fact.
+    """
     clean = cleaning.clean_customers(customers)
     sales = cleaning.clean_transactions(transactions) if dict(transactions.dtypes)["t_dat"] == "string" else transactions
     listed = cleaning.clean_articles(articles)
     warehouse.overwrite(DIM_CUSTOMER, star.dim_customer(clean))
     warehouse.overwrite("dim_article", star.dim_article(listed))
-    warehouse.overwrite(FACT, star.with_month(star.fact_transaction(sales)), partition_by="month_key")
+    upto = warehouse.holds_upto(FACT) if keep_merged else last_merged(warehouse)[1]
+    warehouse.overwrite(FACT, star.with_month(star.fact_transaction(sales)), partition_by="month_key", holds_upto=upto)
     days = warehouse.read(FACT).select(star.key_date(F.col("date_key")).alias("t_dat"))
     warehouse.overwrite(DIM_DATE, star.dim_date(days))
 

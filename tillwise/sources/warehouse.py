@@ -25,7 +25,8 @@ class Warehouse:
 
     def _records(self, name: str) -> DataFrame | None:
         try:
-            return self.spark.read.schema("version STRING, at TIMESTAMP").json(f"{self.root}/{name}/versions")
+            reader = self.spark.read.schema("version STRING, at TIMESTAMP, holds_upto BIGINT").option("mode", "FAILFAST")
+            return reader.json(f"{self.root}/{name}/versions")
         except AnalysisException as error:
             if error.getCondition() != MISSING:
                 raise
@@ -36,6 +37,12 @@ class Warehouse:
         newest = records and records.agg(F.max_by("version", F.struct("at", "version"))).first()[0]
         return f"{self.root}/{name}/{newest}" if newest else None
 
+    def holds_upto(self, name: str) -> int:
+        """The last batch that the newest version of the table accounts for; -1 if it knows none."""
+        records = self._records(name)
+        newest = records and records.agg(F.max_by(F.coalesce("holds_upto", F.lit(-1)), F.struct("at", "version"))).first()[0]
+        return -1 if newest is None else newest
+
     def exists(self, name: str) -> bool:
         return self.path(name) is not None
 
@@ -45,7 +52,9 @@ class Warehouse:
             raise LookupError(f"no table {name} under {self.root}")
         return self.spark.read.parquet(path)
 
-    def overwrite(self, name: str, df: DataFrame, partition_by: str | None = None) -> None:
+    def overwrite(self, name: str, df: DataFrame, partition_by: str | None = None, holds_upto: int = -1) -> None:
+        """Replace the table. ``holds_upto`` is recorded in the same step: the last batch that the
+        new version accounts for, so that readers add later batches only."""
         version = f"v-{uuid.uuid4().hex}"
         if partition_by:
             # One shuffle that AQE sizes: a hot partition value is split over several tasks.
@@ -54,7 +63,11 @@ class Warehouse:
             )
         else:
             df.write.parquet(f"{self.root}/{name}/{version}")
-        record = self.spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("at"))
+        record = self.spark.range(1).select(
+            F.lit(version).alias("version"),
+            F.current_timestamp().alias("at"),
+            F.lit(holds_upto).cast("bigint").alias("holds_upto"),
+        )
         record.write.mode("append").json(f"{self.root}/{name}/versions")
 
     def write_batch(self, name: str, df: DataFrame, batch_id: int) -> None:

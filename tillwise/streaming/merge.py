@@ -10,6 +10,7 @@ next one overwrites what it left.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import DecimalType
 
 from tillwise import model
 from tillwise.functions.columns import date_key, surrogate_key
@@ -23,6 +24,8 @@ FACT, DIM_DATE, DIM_CUSTOMER = "fact_transaction", "dim_date", "dim_customer"
 FACT_COLUMNS = "customer_key BIGINT, article_key BIGINT, date_key INT, price DOUBLE, sales_channel_id INT"
 DATE_COLUMNS = "date DATE, date_key INT, month INT, year INT"
 CUSTOMER_COLUMNS = "customer_id STRING, customer_key BIGINT"
+# Loaded prices may be decimals, streamed ones are doubles: 18 digits behind the point keep both.
+WIDE = "decimal(38,18)"
 
 
 def ensure_control(warehouse: Warehouse) -> None:
@@ -47,18 +50,32 @@ def set_merged(warehouse: Warehouse, pipeline: str, batch_id: int, last_timestam
 
 def _merged_batches(warehouse: Warehouse, name: str, schema: str) -> DataFrame:
     upto = last_merged(warehouse)[1]
-    return warehouse.read_batches(name, schema, upto=upto).drop("batch_id")
+    return warehouse.read_batches(name, schema, after=warehouse.holds_upto(FACT), upto=upto).drop("batch_id")
 
 
 def merged_fact(warehouse: Warehouse) -> DataFrame:
-    """Loaded fact and merged increments."""
+    """Loaded fact and the increments merged since; prices in a type that holds both exactly."""
     loaded = warehouse.read(FACT).drop("month_key")
     added = _merged_batches(warehouse, f"{FACT}_increment", FACT_COLUMNS)
-    kinds = dict(loaded.dtypes)
-    added = added.select(*[F.col(c).cast(kinds[c]) for c in added.columns])
+    if isinstance(loaded.schema["price"].dataType, DecimalType):
+        loaded, added = (side.withColumn("price", F.col("price").cast(WIDE)) for side in (loaded, added))
     return cleaning.union_all(loaded, added)
 
 
+def compact(warehouse: Warehouse) -> int:
+    """Write fact, days and customers anew with all merged increments inside; the last batch in them.
+
+    The version of the fact records that batch, so its increments are not added again. Days and
+    customers go first: a row that is in both a table and an increment counts once. A job for
+    quiet hours: it rewrites the fact.
+    """
+    upto = last_merged(warehouse)[1]
+    warehouse.overwrite(DIM_CUSTOMER, merged_dim_customer(warehouse))
+    warehouse.overwrite(DIM_DATE, merged_dim_date(warehouse))
+    warehouse.overwrite(FACT, star.with_month(merged_fact(warehouse)), partition_by="month_key", holds_upto=upto)
+    return upto
+
+
 def merged_dim_date(warehouse: Warehouse) -> DataFrame:
     loaded = warehouse.read(DIM_DATE)
     added = _merged_batches(warehouse, f"{DIM_DATE}_increment", DATE_COLUMNS)
