@@ -235,12 +235,54 @@ def test_leaked_columns_stop_the_job(spark):
 
 
 def test_p_values_match_published_tables():
-    from tillwise.functions.probability import beta_share, normal_quantile, student_two_sided
+    from tillwise.functions.probability import beta_share, student_two_sided
 
     for t, df, p in [(12.706, 1, 0.05), (2.228, 10, 0.05), (2.750, 30, 0.01), (1.96, 1e6, 0.05), (0.0, 5, 1.0)]:
         assert student_two_sided(t, df) == pytest.approx(p, abs=2e-4)
     assert beta_share(2, 3, 0.5) == pytest.approx(0.6875)
-    assert normal_quantile(0.975) == pytest.approx(1.959964, abs=1e-6)
+
+
+def test_normal_quantiles_equal_the_library(spark):
+    from statistics import NormalDist
+
+    from tillwise.functions.probability import normal_quantile
+
+    shares = [1e-300, 1e-20, 1e-9, 0.001, 0.074, 0.076, 0.3, 0.5, 0.7, 0.975, 0.9999999]
+    rows = spark.createDataFrame([(p,) for p in [*shares, 0.0, 1.0, None]], "p DOUBLE")
+    got = {r.p: r.z for r in rows.select("p", normal_quantile(F.col("p")).alias("z")).collect()}
+    assert got[0.0] is None and got[1.0] is None and got[None] is None
+    for p in shares:
+        assert got[p] == pytest.approx(NormalDist().inv_cdf(p), rel=1e-12, abs=1e-12)
+
+
+def test_qq_points_cover_every_value(spark):
+    rows = spark.createDataFrame([(i, float(i % 3)) for i in range(9)] + [(9, None)], "k INT, v DOUBLE")
+    points = stat_tests.qq_points(rows, "v", "k").orderBy("rank").collect()
+    assert [p.rank for p in points] == list(range(1, 10))
+    assert [p.sample for p in points] == [0.0] * 3 + [1.0] * 3 + [2.0] * 3
+    assert points[4].theoretical == pytest.approx(0) and points[0].theoretical == pytest.approx(-points[8].theoretical)
+    line = stat_tests.qq_line(stat_tests.qq_points(rows, "v", "k")).first()
+    assert line.n == 9 and line.intercept == pytest.approx(1) and 0.9 < line.r <= 1
+    assert stat_tests.qq_points(rows.limit(0), "v", "k").count() == 0
+
+
+def test_elimination_holds_for_columns_far_from_zero(spark):
+    import numpy as np
+
+    rows = spark.range(500).select(
+        (F.lit(2.0e9) + F.col("id") % 7).alias("day"), (F.col("id") * 13 % 11).cast("double").alias("b"), F.lit(5.0).alias("same")
+    ).withColumn("y", 1e-3 * F.col("day") + F.col("b") + F.sin(F.col("day") * 3) + F.sin(F.col("b") * 5))
+    got = {r.term: r for r in stat_tests.backward_elimination(rows, ["day", "b", "same"], "y", limit=1.0).collect()}
+    assert set(got) == {"const", "day", "b"}
+    frame = rows.toPandas()
+    x = np.column_stack([np.ones(500), frame["day"] - 2.0e9, frame["b"]])
+    beta = np.linalg.lstsq(x, frame["y"], rcond=None)[0]
+    gap = frame["y"] - x @ beta
+    errors = np.sqrt(np.diag(np.linalg.inv(x.T @ x)) * (gap @ gap) / 497)
+    for i, term in [(1, "day"), (2, "b")]:
+        assert got[term].coefficient == pytest.approx(beta[i], rel=1e-6)
+        assert got[term].t == pytest.approx(beta[i] / errors[i], rel=1e-6)
+    assert got["const"].r_squared == pytest.approx(1 - (gap @ gap) / (500 * frame["y"].var(ddof=0)), abs=1e-9)
 
 
 def test_backward_elimination_drops_noise(spark):

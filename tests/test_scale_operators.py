@@ -44,6 +44,52 @@ def test_quantiles_of_few_values(spark, values):
     assert [row[n] for n in MARKS] == pytest.approx([np.quantile(known, q) for q in MARKS.values()])
 
 
+@pytest.mark.parametrize("by", [None, ["g"]])
+def test_quantiles_slice_by_slice(spark, by):
+    """Brackets of more values than a window may hold: slices give the same result."""
+    pdf = skewed(4000, seed=2)
+    frame = spark.createDataFrame(pdf).repartition(5)
+    plain = exact_quantiles(frame, "v", MARKS, by=by).collect()
+    sliced = exact_quantiles(frame, "v", MARKS, by=by, window_rows=0).collect()
+    assert sorted(map(str, sliced)) == sorted(map(str, plain)) and plain
+
+
+def test_a_slice_holds_few_of_the_distinct_values(spark):
+    from tillwise.operators.quantiles import _summed_upto
+
+    cells = spark.range(1_000_000).select(
+        F.lit(0).alias("_i"), (F.col("id") * 7919 % 1_000_003).cast("double").alias("_v"), F.lit(1).alias("_n")
+    )
+    summed = _summed_upto(cells, ["_i"], True)
+    at = summed.where("_v IN (0.0, 7919.0)").collect()
+    values = np.sort(np.arange(1_000_000) * 7919 % 1_000_003)
+    assert {r["_v"]: r["_end"] for r in at} == {float(v): int(np.searchsorted(values, v) + 1) for v in (0, 7919)}
+    largest = summed.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert largest < 600_000
+
+
+def test_no_group_is_a_group(spark):
+    rows = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 5.0), ("a", None)], "g STRING, v DOUBLE")
+    got = {r.g: r.m for r in exact_quantiles(rows, "v", {"m": 0.5}, by=["g"]).collect()}
+    assert got == {None: 2.0, "a": 5.0}
+    boxes = {r.g: (r.n, r.median) for r in analysis.box_summary(rows, "v", "g").collect()}
+    assert boxes == {None: (2, 2.0), "a": (1, 5.0)}
+
+
+def test_rows_are_not_shuffled_by_a_key_of_few_values(spark):
+    """With thresholds as small as they are beside large inputs, the summary is still broadcast."""
+    frame = spark.createDataFrame(skewed(500))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        train, _ = ranking.stratified_split(frame, "g", "id")
+        for planned in (analysis.box_summary(frame, "v", "g"), exact_quantiles(frame, "v", {"m": 0.5}, by=["g"]), train):
+            plan = planned._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_quantiles_with_a_coarse_sketch(spark, monkeypatch):
     """Brackets much wider than one value still give the exact result."""
     import tillwise.operators.quantiles as module

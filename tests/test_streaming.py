@@ -180,3 +180,94 @@ def test_messages_round_trip(spark):
     encoded = streams.encode_messages(sales).withColumn("timestamp", F.lit(AT))
     row = parse_messages(encoded).first()
     assert (row.t_dat, row.customer_id, row.article_id, row.price, row.sales_channel_id) == ("2024-01-01", "c", 1, 2.5, 1)
+
+
+def test_reload_replaces_what_was_merged_before(spark, star_schema, folders):
+    folder, checkpoint = folders
+    arrive(spark, folder, [message("c1"), message("new")])
+    run(spark, folder, star_schema, checkpoint)
+    merge.merge(star_schema)
+    assert merge.merged_fact(star_schema).count() == 4
+    # the next files hold the streamed sales and the new customer
+    sales = spark.createDataFrame(
+        [("c1", dt.date(2023, 12, 31), 1, 9.0, 1), ("c1", dt.date(2024, 1, 1), 1, 2.5, 1), ("new", dt.date(2024, 1, 1), 1, 2.5, 1)],
+        "customer_id STRING, t_dat DATE, article_id BIGINT, price DOUBLE, sales_channel_id INT",
+    )
+    customers = spark.createDataFrame(
+        [(c, None, None, "ACTIVE", "NONE", 30.0, "p") for c in ("c1", "new")],
+        "customer_id STRING, FN STRING, Active STRING, club_member_status STRING, fashion_news_frequency STRING, age DOUBLE, postal_code STRING",
+    )
+    articles = star_schema.read("dim_article").withColumns({c: F.lit("x") for c in ("colour_group_name", "section_name")})
+    batch.load_star(star_schema, sales, customers, articles)
+    assert merge.merged_fact(star_schema).count() == 3
+    assert sorted(r.customer_id for r in merge.merged_dim_customer(star_schema).collect()) == ["c1", "new"]
+    # later batches come on top
+    arrive(spark, folder, [message("c1"), message("newer", day="2024-01-03")])
+    run(spark, folder, star_schema, checkpoint)
+    merge.merge(star_schema)
+    assert merge.merged_fact(star_schema).count() == 5
+    assert sorted(r.customer_id for r in merge.merged_dim_customer(star_schema).collect()) == ["c1", "new", "newer"]
+    # files without the streamed sales keep them beside the new fact
+    batch.load_star(star_schema, sales, customers, articles, keep_merged=True)
+    assert merge.merged_fact(star_schema).count() == 5
+
+
+def test_compaction_changes_no_row(spark, star_schema, folders):
+    folder, checkpoint = folders
+
+    def contents():
+        tables = (merge.merged_fact(star_schema), merge.merged_dim_date(star_schema), merge.merged_dim_customer(star_schema))
+        return [sorted(map(str, t.select(sorted(t.columns)).collect())) for t in tables]
+
+    for customer in ("c1", "new"):
+        arrive(spark, folder, [message(customer, day="2024-01-02")])
+        run(spark, folder, star_schema, checkpoint)
+        merge.merge(star_schema)
+    before = contents()
+    assert merge.compact(star_schema) == 1
+    assert contents() == before
+    assert star_schema.read("fact_transaction").count() == 4 and star_schema.holds_upto("fact_transaction") == 1
+    arrive(spark, folder, [message("c2")])
+    run(spark, folder, star_schema, checkpoint)
+    merge.merge(star_schema)
+    assert merge.merged_fact(star_schema).count() == 5
+
+
+def test_crash_inside_compaction_is_invisible(spark, star_schema, folders, monkeypatch):
+    folder, checkpoint = folders
+    arrive(spark, folder, [message("new", day="2024-01-02")])
+    run(spark, folder, star_schema, checkpoint)
+    merge.merge(star_schema)
+
+    def crash(*_):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(star, "with_month", crash)
+        with pytest.raises(RuntimeError):
+            merge.compact(star_schema)
+    assert merge.merged_fact(star_schema).count() == 3
+    assert merge.merged_dim_customer(star_schema).count() == 3
+    assert merge.merged_dim_date(star_schema).count() == 2
+
+
+def test_streamed_prices_keep_all_digits(spark, star_schema, folders):
+    folder, checkpoint = folders
+    fact = star_schema.read("fact_transaction").withColumn("price", F.col("price").cast("decimal(18,2)"))
+    star_schema.overwrite("fact_transaction", fact, partition_by="month_key")
+    arrive(spark, folder, [message("c1", price=0.0508)])
+    run(spark, folder, star_schema, checkpoint)
+    merge.merge(star_schema)
+    assert 0.0508 in {float(r.price) for r in merge.merged_fact(star_schema).collect()}
+
+
+def test_broken_version_log_is_an_error(spark, warehouse, tmp_path):
+    """A log that can't be read isn't the same as no table: the merge must not start anew."""
+    merge.ensure_control(warehouse)
+    log = tmp_path / "warehouse" / merge.CONTROL / "versions"
+    for checksum in log.glob(".*.crc"):
+        checksum.write_bytes(b"")
+    for part in log.glob("*.json"):
+        part.write_text("{broken\n")
+    with pytest.raises(Exception):
+        merge.last_merged(warehouse)
