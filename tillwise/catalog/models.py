@@ -301,11 +301,6 @@ def m15(t):
     return _searched(t, "tree", {"maxDepth": [5, 10, 15, 30], "minInstancesPerNode": [1, 5, 10]})
 
 
-@query("m15_forest_search", "SELECT *, true AS of_grid, true AS cv_is_share FROM (" + _scored_sql("tuned forest") + ")")
-def m15_forest(t):
-    return _searched(t, "forest", {"numTrees": [100, 200], "maxDepth": [10, 20, 30], "minInstancesPerNode": [1, 5]})
-
-
 @query(
     "m16_oversampled_classes",
     """SELECT club_member_status, CAST(n AS BIGINT) AS n_real, CAST((SELECT MAX(n) FROM trainsize) AS BIGINT) AS n_after,
