@@ -637,3 +637,54 @@ def test_bounded_sample_of_labels(spark):
     ids = common.labelled_ids(labels, "toxic", bound=100)
     assert 50 < ids.count() < 150
     assert all(zlib.crc32(str(r["doc_id"]).encode()) % 4 != 2 for r in ids.collect())
+
+
+# near copies of the pipeline
+
+
+def edited(r, words, share):
+    return [r.choice(VOCABULARY) if r.random() < share else w for w in words]
+
+
+VOCABULARY = [f"w{i}" for i in range(3000)]
+
+
+def jaccard(a, b):
+    grams = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (a.lower().split(), b.lower().split())]
+    return len(grams[0] & grams[1]) / len(grams[0] | grams[1])
+
+
+def plain_copies(texts):
+    """Of texts by id, those that stay: the smallest id of each group that pairs of 0.8 and more connect."""
+    label = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if label[i] != label[j] and jaccard(texts[i], texts[j]) >= 0.8:
+                low, high = sorted((label[i], label[j]))
+                label = [low if x == high else x for x in label]
+    return sorted(set(label))
+
+
+def test_deduplicate_finds_copies_of_similarity_08(spark):
+    """Copies with 1 % and 2 % of the words changed differ in more than 3 bits; halves of a text are no copies."""
+    r = random.Random(8)
+    texts = []
+    for _ in range(25):
+        words = r.choices(VOCABULARY, k=250)
+        texts += [" ".join(x) for x in (words, edited(r, words, 0.01), edited(r, words, 0.02), words[:125] + r.choices(VOCABULARY, k=125))]
+    between = [jaccard(texts[i], texts[i + k]) for i in range(0, len(texts), 4) for k in (1, 2)]
+    wide = [(brute_fingerprint(texts[i]) ^ brute_fingerprint(texts[i + k])).bit_count() > 3 for i in range(0, len(texts), 4) for k in (1, 2)]
+    assert sum(0.8 <= j < 0.95 and w for j, w in zip(between, wide)) >= 15
+    got = simhash.deduplicate(frame(spark, texts)).where(F.col("doc_id") < len(texts)).collect()
+    assert sorted(x["doc_id"] for x in got) == plain_copies(texts)
+
+
+def test_deduplicate_of_a_crowded_bucket(spark, monkeypatch):
+    """A large group, most of whose texts are alike only to some others, still leaves no two that are alike."""
+    monkeypatch.setattr(simhash.shingles, "CROWD", 3)
+    r = random.Random(9)
+    words = r.choices(VOCABULARY, k=250)
+    texts = [" ".join(edited(r, words, r.choice((0.005, 0.02, 0.04)))) for _ in range(60)]
+    got = sorted(x["doc_id"] for x in simhash.deduplicate(frame(spark, texts)).where(F.col("doc_id") < len(texts)).collect())
+    assert not any(jaccard(texts[i], texts[j]) >= 0.8 for i in got for j in got if i < j)
+    assert set(plain_copies(texts)) <= set(got)

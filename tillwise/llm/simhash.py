@@ -15,10 +15,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwise.llm import common
+from tillwise.llm import common, shingles
 from tillwise.session import materialise
 
 SHINGLE, SEED, MOST_BITS = 3, 42, 3
@@ -241,22 +241,78 @@ def groups(docs: DataFrame) -> DataFrame:
     )
 
 
+def near_copies(distinct: DataFrame, texts: DataFrame) -> DataFrame:
+    """key and root (shared by linked texts) of every row of ``distinct``: key, least (doc_id), fp and bands.
+
+    Fingerprints within ``MOST_BITS`` and shared bands name the candidates, and only pairs of which five-word shingles
+    agree to 0.8 are links. Of crowded buckets only neighbours are compared at first; what then still stands for a group
+    of its own is compared again, until nothing new is found, and at last pair by pair. So no two texts that
+    stay in the end are alike and share a bucket.
+    """
+    of = distinct.groupBy("fp").agg(F.min("key").alias("key"))
+    near = links(of)
+    for side in ("a", "b"):
+        near = near.join(of.select(F.col("fp").alias(side), F.col("key").alias(f"key_{side}")), side)
+    close = near.select(F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b"))
+    buckets = distinct.select("key", F.explode(F.concat("bands", F.array("fp"))).alias("band"))
+    found = materialise(shingles.verified(shingles.candidates(buckets).unionByName(close), texts), "alike")
+    whole = False
+    while True:
+        roots = materialise(
+            distinct.join(components(found), F.col("key") == F.col("node"), "left").select(
+                "key", "least", F.coalesce("root", "key").alias("root")
+            ),
+            "roots",
+        )
+        if whole:
+            return roots
+        sole = roots.groupBy("root").agg(F.min_by("key", F.struct(F.col("least").isNull(), "least", "key")).alias("key"))
+        standing = buckets.join(sole.select("key"), "key", "left_semi")
+        crowded = buckets.groupBy("band").count().where(F.col("count") > shingles.CROWD).select("band")
+        buckets = materialise(standing.join(crowded, "band", "left_semi").select("key", "band"), "crowded")
+        if buckets.isEmpty():
+            return roots
+        new = materialise(shingles.verified(shingles.candidates(buckets), texts), "alike")
+        if new.isEmpty():  # the order in a bucket is fixed: neighbours say nothing more, so all pairs are compared
+            new, whole = materialise(shingles.verified(shingles.candidates(buckets, whole=True), texts), "alike"), True
+        found = found.unionByName(new)
+
+
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """The documents of which each group keeps one, the one with the smallest doc_id; of repeated rows of it, one.
+    """The documents of which each group of near copies keeps one, the one with the smallest doc_id; of repeated rows of it, one.
 
-    Rows without id can't be told apart and all stay. All columns stay.
+    Near copies share 0.8 of their five-word shingles. Rows without id can't be told apart and all stay. All columns stay.
     """
-    judged = materialise(groups(docs).select("doc_id", "component_id").where(F.col("doc_id").isNotNull()), "groups")
-    ids = judged.groupBy("doc_id").agg(F.min("component_id").alias("least"), F.count(F.lit(1)).alias("n"))
-    name, place = common.fresh(docs, "judged_id"), common.fresh(docs, "place")
-    gone = ids.where(F.col("least") != F.col("doc_id")).select(F.col("doc_id").alias(name))
-    key = F.col("doc_id").cast("long")
-    kept = docs.join(gone.hint("shuffle_hash"), key == F.col(name), "left_anti")
-    again = ids.where((F.col("n") > 1) & (F.col("least") == F.col("doc_id"))).select(F.col("doc_id").alias(name))
-    again = materialise(again, "repeated")
+
+    def make():
+        def of(texts: list[bytes]) -> list:
+            fp = np.array([fingerprint(t) for t in texts], dtype=np.uint64).view(np.int64)
+            return [fp, pa.array([shingles.bands(t) for t in texts], pa.list_(pa.int64()))]
+
+        return of
+
+    texts = common.documents(docs).withColumn("key", F.xxhash64("text"))
+    stored = materialise(common.over_texts(texts, make, "fp long, bands array<long>"), "marks")
+    distinct = stored.groupBy("key").agg(F.min("doc_id").alias("least"), F.any_value("fp").alias("fp"), F.any_value("bands").alias("bands"))
+    roots = near_copies(materialise(distinct, "distinct"), texts.select("key", "text"))
+    smallest = roots.groupBy("root").agg(F.min("least").alias("component_id"))
+    known = roots.select("key", "root").join(smallest, "root")
+    rows = stored.where(F.col("doc_id").isNotNull()).groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("n"))
+    judged = materialise(rows.join(known, "key"), "judged")
+
+    own, text = (common.fresh(docs, c) for c in ("judged_id", "judged_text"))
+    named = [F.col("doc_id").alias(own), F.col("key").alias(text)]
+    gone = judged.where(F.col("component_id") != F.col("doc_id")).select(named)
+    id_, hashed = F.col("doc_id").cast("long"), F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    same = (id_ == F.col(own)) & (hashed == F.col(text))
+    kept = docs.join(gone.hint("shuffle_hash"), same, "left_anti")
+    several = judged.where(F.col("component_id") == F.col("doc_id")).groupBy("doc_id").agg(F.sum("n").alias("rows"))
+    several = several.where(F.col("rows") > 1).select("doc_id")
+    again = materialise(judged.join(several, "doc_id", "left_semi").select(*named), "repeated")
     if again.isEmpty():
         return kept
-    # only rows that share an id are gathered, by id and in the order of their content, and one of each id stays
-    single, rows = (kept.join(again, key == F.col(name), how) for how in ("left_anti", "left_semi"))
-    order = Window.partitionBy(key).orderBy(*[F.col(f"`{c}`") for c in docs.columns])
-    return single.unionByName(rows.withColumn(place, F.row_number().over(order)).where(F.col(place) == 1).drop(place))
+    # only rows that share an id are gathered, and the first of each in the order of their content stays
+    single = kept.join(again, same, "left_anti")
+    content = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    first = kept.join(again, same).groupBy(own).agg(F.min(content).alias("row"))
+    return single.unionByName(first.select("row.*"))
