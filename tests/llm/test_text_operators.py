@@ -688,3 +688,10 @@ def test_deduplicate_of_a_crowded_bucket(spark, monkeypatch):
     got = sorted(x["doc_id"] for x in simhash.deduplicate(frame(spark, texts)).where(F.col("doc_id") < len(texts)).collect())
     assert not any(jaccard(texts[i], texts[j]) >= 0.8 for i in got for j in got if i < j)
     assert set(plain_copies(texts)) <= set(got)
+
+
+def test_deduplicate_judges_rows_that_share_an_id_by_their_texts(spark):
+    a, b, c, d, e = (" ".join(random.Random(i).choices(VOCABULARY, k=40)) for i in range(5))
+    rows = [(3, a), (7, b), (7, a), (8, c), (8, d), (9, e), (9, e), (9, a)]
+    got = simhash.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((x["doc_id"], x["text"]) for x in got) == sorted([(3, a), (7, b), (8, c), (8, d), (9, e)])

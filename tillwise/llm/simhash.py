@@ -281,7 +281,8 @@ def near_copies(distinct: DataFrame, texts: DataFrame) -> DataFrame:
 def deduplicate(docs: DataFrame) -> DataFrame:
     """The documents of which each group of near copies keeps one, the one with the smallest doc_id; of repeated rows of it, one.
 
-    Near copies share 0.8 of their five-word shingles. Rows without id can't be told apart and all stay. All columns stay.
+    Near copies share 0.8 of their five-word shingles. Rows are judged by id and text: rows that share an id but no group
+    are kept or dropped each by its own group. Rows without id can't be told apart and all stay. All columns stay.
     """
 
     def make():
@@ -300,19 +301,19 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     rows = stored.where(F.col("doc_id").isNotNull()).groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("n"))
     judged = materialise(rows.join(known, "key"), "judged")
 
-    own, text = (common.fresh(docs, c) for c in ("judged_id", "judged_text"))
+    own, text, place = (common.fresh(docs, c) for c in ("judged_id", "judged_text", "judged_root"))
     named = [F.col("doc_id").alias(own), F.col("key").alias(text)]
     gone = judged.where(F.col("component_id") != F.col("doc_id")).select(named)
     id_, hashed = F.col("doc_id").cast("long"), F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
     same = (id_ == F.col(own)) & (hashed == F.col(text))
     kept = docs.join(gone.hint("shuffle_hash"), same, "left_anti")
-    several = judged.where(F.col("component_id") == F.col("doc_id")).groupBy("doc_id").agg(F.sum("n").alias("rows"))
-    several = several.where(F.col("rows") > 1).select("doc_id")
-    again = materialise(judged.join(several, "doc_id", "left_semi").select(*named), "repeated")
+    several = judged.where(F.col("component_id") == F.col("doc_id")).groupBy("doc_id", "root").agg(F.sum("n").alias("rows"))
+    several = several.where(F.col("rows") > 1).select("doc_id", "root")
+    again = materialise(judged.join(several, ["doc_id", "root"], "left_semi").select(*named, F.col("root").alias(place)), "repeated")
     if again.isEmpty():
         return kept
-    # only rows that share an id are gathered, and the first of each in the order of their content stays
+    # only rows that share an id and a group are gathered, and the first of each in the order of their content stays
     single = kept.join(again, same, "left_anti")
     content = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    first = kept.join(again, same).groupBy(own).agg(F.min(content).alias("row"))
+    first = kept.join(again, same).groupBy(own, place).agg(F.min(content).alias("row"))
     return single.unionByName(first.select("row.*"))
