@@ -226,6 +226,27 @@ def test_literals_that_reach_sensitive_names(text, found):
     assert [text[a:b] for _, a, b in secrets.lexed_spans(text)] == found
 
 
+@pytest.mark.parametrize(
+    "text, found",
+    [
+        ("# settings\ndb_pwd=LetMeInPlease\nuser: somebody\n", ["LetMeInPlease"]),
+        ("  db_pwd: LetMeInPlease # note\n", ["LetMeInPlease"]),
+        ("f(pwd=somevariable, n=2)", []),
+        ('db_pwd = """Zx81hhQpL0"""\n', ["Zx81hhQpL0"]),
+        ("db_pwd = '''Zx81\nhhQpL0'''\n", ["Zx81\nhhQpL0"]),
+        ("const dbPassword = `Zx81hhQpL0`;", ["Zx81hhQpL0"]),
+        ('password = DEFAULT_PW\nDEFAULT_PW = "Zx81hhQpL0"\n', ["Zx81hhQpL0"]),
+        ('password = a\na = b\nc = 1\nb = "Zx81hhQpL0"\nb = a', ["Zx81hhQpL0"]),
+        ('v1 = "Zx81hhQpL0"\npassword = v1\n', ["Zx81hhQpL0"]),
+        ('passphrase = "correct horse battery staple"', ["correct horse battery staple"]),
+        ('title = "correct horse battery staple"', []),
+        ("password_" + "x" * 300 + ' = "Zx81hhQpL0"', ["Zx81hhQpL0"]),
+    ],
+)
+def test_literals_of_configuration_and_later_constants(text, found):
+    assert [text[a:b] for _, a, b in secrets.lexed_spans(text)] == found
+
+
 def test_masking_takes_the_value_and_leaves_the_rest(spark):
     assert secrets.mask("x token=abcdef123 y") == "x token=[secret] y"
     assert secrets.mask("no secrets here: none") == "no secrets here: none"

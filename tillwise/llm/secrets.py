@@ -1,7 +1,7 @@
 """Secrets in texts: fixed patterns, and literals that reach a sensitive name through assignments.
 
 The lexer reads ``name = literal`` and ``name: literal`` pairs of source and configuration syntax, follows names that
-are assigned to other names, and scores every literal by the names that it reaches.
+are assigned to other names, before or after, and scores every literal by the names that it reaches.
 """
 
 from __future__ import annotations
@@ -9,7 +9,8 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from collections import Counter
+from bisect import bisect_left
+from collections import Counter, defaultdict
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,13 +35,18 @@ PLACEHOLDERS = re.compile(r"(?i)^(none|null|true|false|changeme|example|placehol
 THRESHOLD = 0.5
 
 _OPERATOR = re.compile(r":=|=>|[:=]")
-_NAME_BEFORE = re.compile(r"""([A-Za-z_$][\w$.\-]*)["']?\]?["']?[ \t]*$""")
-_QUOTED = re.compile(r"""[ \t]*[rbuf]?(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)')""")
+_QUOTED = re.compile(
+    r'''[ \t]*[rbufRBUF]{0,2}(?:"""((?:[^\\]|\\.)*?)"""|\'\'\'((?:[^\\]|\\.)*?)\'\'\'|`((?:[^`\\]|\\.)*)`'''
+    r'''|"((?:[^"\\\n]|\\.)*)"|\'((?:[^\'\\\n]|\\.)*)\')''',
+    re.DOTALL,
+)
 _BARE = re.compile(r"[ \t]*([^\s\"'`,;(){}\[\]#]+)")
 _IDENTIFIER = re.compile(r"[A-Za-z_$][\w$.]*")
 _PART = re.compile(r"[A-Z]?[a-zà-ÿ]+|[A-Z]+(?![a-zà-ÿ])")
-#: A name is looked for in so many characters before its operator, as in any lexer with bounded identifiers.
-_REACH = 256
+#: What stands before and behind a pair that fills its line, as in configuration files.
+_LINE_BEFORE = re.compile(r"""(?:^|\n)[ \t]*(?:(?:export|set|ENV)[ \t]+|-[ \t]+)?["']?$""")
+_LINE_BEHIND = re.compile(r"[ \t]*[,;]?[ \t]*(?:#[^\n]*)?(?:\r?\n|$)")
+_INDENT = 128
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -62,15 +68,33 @@ def name_score(name: str) -> float:
 
 def literal_score(value: str) -> float:
     """0 to 1: how much a literal looks like a secret by its length and the variety of its signs."""
-    if len(value) < 6 or PLACEHOLDERS.match(value) or value.count(" ") > 2:
+    if len(value) < 6 or PLACEHOLDERS.match(value):
         return 0.0
     n = len(value)
     bits = -sum(c / n * math.log2(c / n) for c in Counter(value).values())
     return min(1.0, bits / 2.5)
 
 
-def pairs(text: str) -> list[tuple[str, str, int, int, bool]]:
-    """(name, value, start, end, literal) of every assignment; a value that isn't a literal is the name it copies."""
+def name_before(text: str, end: int, floor: int) -> tuple[str, int]:
+    """The whole name that ends before ``end``, without quotes and brackets around it, and its start."""
+    while end > floor and text[end - 1] in "+ \t":
+        end -= 1
+    for signs in ("\"'", "]", "\"'"):
+        if end > floor and text[end - 1] in signs:
+            end -= 1
+    start = end
+    while start > floor and (text[start - 1].isalnum() or text[start - 1] in "_$.-"):
+        start -= 1
+    while start < end and not (text[start].isalpha() or text[start] in "_$"):
+        start += 1
+    return text[start:end], start
+
+
+def pairs(text: str) -> list[tuple[str, str, int, int, bool | None]]:
+    """(name, value, start, end, literal) of every assignment; a value that isn't a literal is the name it copies.
+
+    ``literal`` is None for a bare word that fills its line with its name: a name if the text assigns it, else a literal.
+    """
     out, last = [], 0
     for op in _OPERATOR.finditer(text):
         begin, end = op.span()
@@ -78,46 +102,62 @@ def pairs(text: str) -> list[tuple[str, str, int, int, bool]]:
             continue  # within the last literal, a comparison, an address
         if op[0] == "=" and text[begin - 1 : begin] in tuple("!<>=") and begin:
             continue
-        line = max(last, text.rfind("\n", max(0, begin - _REACH), begin) + 1, begin - _REACH)
-        name = _NAME_BEFORE.search(text[line:begin].rstrip("+ \t"))
+        name, at = name_before(text, begin, last)
         if not name:
             continue
         quoted = _QUOTED.match(text, op.end())
         if quoted:
-            group = 1 if quoted[1] is not None else 2
-            out.append((name[1], quoted[group], *quoted.span(group), True))
+            group = quoted.lastindex
+            out.append((name, quoted[group], *quoted.span(group), True))
             last = quoted.end()
         elif bare := _BARE.match(text, op.end()):
             value = bare[1].rstrip(".")
+            span = (bare.start(1), bare.start(1) + len(value))
             if _IDENTIFIER.fullmatch(value) and not any(c.isdigit() for c in value):
-                out.append((name[1], value, bare.start(1), bare.start(1) + len(value), False))
+                before = text[max(0, at - _INDENT) : at]
+                filled = _LINE_BEHIND.match(text, bare.end()) and (at <= _INDENT or "\n" in before) and _LINE_BEFORE.search(before)
+                out.append((name, value, *span, None if filled else False))
             else:
-                out.append((name[1], value, bare.start(1), bare.start(1) + len(value), True))
-                last = bare.start(1) + len(value)
+                # a name with digits copies what it names, if the text assigns it
+                out.append((name, value, *span, True if not _IDENTIFIER.fullmatch(value) else None))
+                last = span[1]
     return out
 
 
 def lexed_spans(text: str) -> list[tuple[str, int, int]]:
-    """Spans of the literals whose score reaches ``THRESHOLD`` under the most telling name that they reach."""
+    """Spans of the literals whose score reaches ``THRESHOLD`` under the most telling name that they reach.
+
+    A bare name stands for its last assignment before, or, where there is none, for all that follow.
+    """
     if ":" not in text and "=" not in text:
         return []
-    holds: dict[str, int] = {}  # the literal that a name stands for at this point
-    best: list[float] = []
-    where: list[tuple[str, int, int]] = []
-    for name, value, start, end, literal in pairs(text):
-        if literal:
-            holds[name] = len(where)
-            where.append((value, start, end))
-            best.append(name_score(name))
-        elif value in holds:
-            holds[name] = holds[value]
-            best[holds[value]] = max(best[holds[value]], name_score(name))
-        else:
-            holds.pop(name, None)
+    found = pairs(text)
+    scores = [name_score(p[0]) for p in found]
+    if not any(scores):
+        return []
+    places: defaultdict[str, list[int]] = defaultdict(list)
+    for i, (name, *_) in enumerate(found):
+        places[name].append(i)
+    stands: dict[int | str, list] = {}  # for an assignment: what its value names; for a name: all its assignments
+    for i, (name, value, _, _, literal) in enumerate(found):
+        if not literal and value in places:
+            before = bisect_left(places[value], i)
+            if before:
+                stands[i] = [places[value][before - 1]]
+            elif value != name:
+                stands[i], stands[value] = [value], places[value]
+    best: dict[int | str, float] = {}
+    for i in sorted(range(len(found)), key=lambda i: -scores[i]):  # the highest score that reaches a place comes first
+        reached = [i]
+        while reached:
+            x = reached.pop()
+            if x not in best:
+                best[x] = scores[i]
+                reached += stands.get(x, ())
     return [
         ("literal", start, end)
-        for (value, start, end), score in zip(where, best)
-        if score and score * literal_score(value) >= THRESHOLD
+        for i, (_, value, start, end, literal) in enumerate(found)
+        if (literal or literal is None and i not in stands) and best[i] * literal_score(value) >= THRESHOLD
     ]
 
 
