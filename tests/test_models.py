@@ -156,6 +156,18 @@ def test_too_small_class_is_an_error(spark):
         classify.oversample(train)
 
 
+def test_neighbour_votes_ask_all_training_rows(spark):
+    """More rows than any sample of 50 000: the nearest is always the row beside."""
+    rows = spark.range(60_000).select(
+        F.col("id").cast("string").alias("customer_id"), (F.col("id") % 3).cast("double").alias("label"), F.array(F.col("id").cast("double")).alias("x")
+    )
+    train = rows.withColumn("scaled", array_to_vector("x"))
+    test = train.where("CAST(customer_id AS long) % 300 = 7")
+    assert classify.neighbour_votes(train, test, k=1).where("label = prediction").count() == 200
+    some = classify.neighbour_votes(train, test, k=1, cap=100)
+    assert some.count() == 200 and some.where("label = prediction").count() < 200
+
+
 def test_neighbour_votes_find_separate_groups(spark):
     rows = [(str(i), float(i % 2), [100.0 * (i % 2) + i * 0.01, 0.0]) for i in range(60)]
     frame = spark.createDataFrame(rows, "customer_id STRING, label DOUBLE, x ARRAY<DOUBLE>").withColumn(

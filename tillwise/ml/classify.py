@@ -124,14 +124,15 @@ def boosted_model(weighted: bool, rounds: int = 100, depth: int = 6, seed: int =
 
 
 def neighbour_votes(
-    train: DataFrame, test: DataFrame, k: int = 5, key: str = "customer_id", cap: int = NEIGHBOUR_CAP, seed: int = 42
+    train: DataFrame, test: DataFrame, k: int = 5, key: str = "customer_id", cap: int | None = None, seed: int = 42
 ) -> DataFrame:
     """Majority class of the ``k`` nearest training rows; the smaller label on a tie.
 
-    The training side is a fixed sample of at most 50 000 rows, as the method is defined
-    here, and fits in every task; the test side is spread over tasks.
+    All training rows take part, tile by tile; with ``cap``, a fixed sample of so many.
     """
-    pool = sample_rows(train.select(key, "label", vector_to_array(SCALED).alias("x")), cap, key, seed)
+    pool = train.select(key, "label", vector_to_array(SCALED).alias("x"))
+    if cap is not None:
+        pool = sample_rows(pool, cap, key, seed)
     rows = test.select(key, "label", vector_to_array(SCALED).alias("x"))
     near = nearest(rows, pool, k, key, "x", "label")
     counts = near.groupBy(key, "near_label").agg(F.count("*").alias("n"))
