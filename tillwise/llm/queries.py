@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tillwise.llm import ann, bpe, common, language, mixing, quality, sampling, secrets, simhash, toxicity, urls
+from tillwise.llm import ann, bpe, common, language, lexical, mixing, quality, sampling, secrets, simhash, tokens, toxicity, trie, urls
 from tillwise.llm.common import read
 
 TOXIC, GOOD = 0.3, 0.7
@@ -58,6 +58,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(quality.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")), GOOD)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.grafted_nodes(read(spark, sf_dir, "conversations"))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.counts(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(lexical.index(read(spark, sf_dir, "documents")), read(spark, sf_dir, "benchmark"))
+
+
 def judged(scores: DataFrame, threshold: float) -> DataFrame:
     """doc_id, held_out, score and predicted."""
     return scores.select(
@@ -76,7 +88,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_block_neighbours, op2_toxicity, op3_secrets, op4_simhash, op5_url_filter,
-        op6_mixing, op7_byte_bpe, op8_language_model, op9_weighted_sampling, op10_quality, pipeline,
+        op6_mixing, op7_byte_bpe, op8_language_model, op9_weighted_sampling, op10_quality,
+        op11_prefix_trie, op12_token_counts, op13_lexical_search, pipeline,
     )
 }
 
@@ -84,6 +97,7 @@ _PATTERN_CASES = "\n".join(
     f"      WHEN regexp_matches(low, '{urls.regex_of(p)}', 's') THEN '{p}'" for p in urls.PATTERNS
 )
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 CHECKS: dict[str, str] = {
     "op1_block_neighbours": """
@@ -119,6 +133,54 @@ SELECT page_id, host, path, rule,
   CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
        WHEN pattern IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict, pattern
 FROM l""",
+    "op11_prefix_trie": """
+WITH o AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+h AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS stem, xor(4294967295, list_reduce(
+    list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda crc, b: list_reduce(list_prepend(xor(crc, b), [CAST(0 AS BIGINT), 0, 0, 0, 0, 0, 0, 0]), lambda a, z: xor(a >> 1, 3988292384 * (a & 1))))) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM o)),
+g AS (
+  SELECT h.conv_id, 0 AS part, o.pos, o.role, o.text FROM h JOIN o ON o.conv_id = h.stem AND o.pos <= h.h
+  UNION ALL SELECT h.conv_id, 1, o.pos, o.role, o.text FROM h JOIN o ON o.conv_id = h.conv_id AND o.pos > h.h),
+p AS (
+  SELECT h.conv_id, coalesce(list({'role': role, 'text': text} ORDER BY part, pos) FILTER (WHERE pos IS NOT NULL), []) AS path
+  FROM h LEFT JOIN g USING (conv_id) GROUP BY ALL),
+m AS (SELECT conv_id, len(path) AS turns, d AS depth, path[1:d] AS path FROM (SELECT *, unnest(range(len(path) + 1)) AS d FROM p)),
+n AS (
+  SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    CASE WHEN depth > 0 THEN (count(*) - 1) * length(path[depth].text) ELSE 0 END AS saved,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE turns = depth), '')) AS ends_sha256
+  FROM m GROUP BY path, depth),
+c AS (SELECT path[1:depth - 1] AS path, depth - 1 AS depth, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+v AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN c USING (path, depth)),
+s AS (
+  SELECT path[1:d] AS path, d AS depth, CAST(count(*) FILTER (WHERE n_children = 0) AS BIGINT) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens
+  FROM (SELECT *, unnest(range(depth + 1)) AS d FROM v) GROUP BY ALL)
+SELECT v.conv_id, v.depth, u.conv_id AS parent_conv_id, v.n_convs, v.n_children, n_leaves, saved_tokens, v.ends_sha256
+FROM v JOIN s USING (path, depth) LEFT JOIN n u ON u.depth = v.depth - 1 AND u.path = v.path[1:v.depth - 1]""",
+    "op13_lexical_search": f"""
+WITH t AS (
+  SELECT rowid_, doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), {_AZ}),
+    '{_TERM}')) AS term FROM (SELECT row_number() OVER () AS rowid_, doc_id, text FROM documents)),
+p AS (SELECT rowid_, doc_id, term, count(*) AS tf FROM t GROUP BY ALL),
+d AS (SELECT rowid_, CAST(sum(tf) AS BIGINT) AS n FROM p GROUP BY ALL),
+s AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM d),
+f AS (SELECT term, count(*) AS df FROM p GROUP BY ALL),
+q AS (
+  SELECT item, item_id, term, count(*) AS times FROM (
+    SELECT item, item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), {_AZ}),
+      '{_TERM}')) AS term FROM (SELECT row_number() OVER () AS item, item_id, text FROM benchmark)) GROUP BY ALL),
+w AS (SELECT q.*, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w FROM q JOIN f USING (term), s),
+r AS (
+  SELECT item, item_id, rowid_, doc_id,
+    CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // terms)))) AS BIGINT) AS score
+  FROM w JOIN p USING (term) JOIN d USING (rowid_), s GROUP BY ALL HAVING score > 0),
+k AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank FROM r)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM k WHERE rank <= 20""",
 }
 if corpus_pipeline.ORACLE_SQL is not None:
     CHECKS["pipeline"] = corpus_pipeline.ORACLE_SQL
