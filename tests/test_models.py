@@ -264,3 +264,65 @@ def test_backward_elimination_and_drift_run_on_features(features):
     assert same.n_drifted == 0 and not same.alert and same.n_columns == 10
     moved = features.withColumns({c: F.col(c) * 2 + 5 for c in model.BEHAVIOUR})
     assert drift.drift_summary(drift.drift_report(features, moved, model.BEHAVIOUR, [])).first().alert
+
+
+def scaled_rows(spark, rows):
+    arrays = [(i, [float(v) for v in x]) for i, x in enumerate(rows)]
+    return spark.createDataFrame(arrays, "id INT, v ARRAY<DOUBLE>").select("id", array_to_vector("v").alias("scaled"))
+
+
+def plain_ward(rows, k):
+    groups = [[tuple(r)] for r in rows]
+
+    def spread(group):
+        at = np.array(group)
+        return ((at - at.mean(axis=0)) ** 2).sum()
+
+    costs = []
+    while len(groups) > 1:
+        best = min(
+            (spread(a + b) - spread(a) - spread(b), i, j)
+            for i, a in enumerate(groups)
+            for j, b in enumerate(groups)
+            if i < j
+        )
+        costs.append(best[0])
+        groups[best[1]] += groups.pop(best[2])
+        if len(groups) == k:
+            found = [sorted(g) for g in groups]
+    return sorted(found), costs
+
+
+def test_ward_equals_brute_force(spark):
+    r = np.random.default_rng(4)
+    rows = np.concatenate([r.normal(c, 0.4, (12, 3)) for c in (-2, 0, 1.5)])
+    rows = np.concatenate([rows, rows[:5]])  # repeated rows weigh twice
+    df = scaled_rows(spark, rows)
+    labelled, costs = cluster.ward_segments(df, 5)
+    got = {}
+    for row in labelled.collect():
+        got.setdefault(row["cluster"], []).append(tuple(row["scaled"]))
+    want, plain = plain_ward(rows.tolist(), 5)
+    assert sorted(sorted(g) for g in got.values()) == want
+    assert costs == sorted(costs) and np.allclose(costs, [c for c in plain if c > 1e-12][-len(costs) :])
+
+
+def test_ward_over_few_sums_of_many_rows(spark):
+    r = np.random.default_rng(5)
+    centres = np.array([(-4, 0), (4, 0), (0, 5)])
+    rows = np.concatenate([r.normal(c, 0.3, (500, 2)) for c in centres])
+    df = scaled_rows(spark, rows)
+    cells, _ = cluster.cluster_features(df, 40)
+    assert cells.count() <= 40 and cells.agg(F.sum("n")).first()[0] == 1500
+    labelled, _ = cluster.ward_segments(df, 3, 40)
+    pairs = labelled.select((F.col("id") / 500).cast("int").alias("of"), "cluster").distinct()
+    assert pairs.count() == 3 and pairs.select("cluster").distinct().count() == 3
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 8])
+def test_tree_splits_centred_columns(spark, partitions):
+    r = np.random.default_rng(6)
+    rows = r.normal(size=(150, 7))
+    rows = (rows - rows.mean(axis=0)) / rows.std(axis=0)
+    df = scaled_rows(spark, rows).repartition(partitions)
+    assert cluster.fit_bisecting(df, 6).transform(df).select("cluster").distinct().count() == 6

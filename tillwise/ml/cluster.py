@@ -7,16 +7,18 @@ from multiprocessing.pool import ThreadPool
 
 import numpy as np
 from pyspark import inheritable_thread_target
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import PCA, VectorAssembler
+from pyspark.ml.feature import PCA, SQLTransformer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tillwise import model
 from tillwise.ml.evaluate import confusion
 from tillwise.ml.prepare import SCALED, fit_behaviour
+from tillwise.session import materialise
 
 
 def principal_components(vectors: DataFrame, k: int) -> tuple[DataFrame, list[float]]:
@@ -70,19 +72,29 @@ def mixture_criteria(vectors: DataFrame, ks: range, seed: int = 42) -> DataFrame
 
 
 def compare_segmentations(vectors: DataFrame, k: int = 6, seed: int = 42) -> DataFrame:
-    """K-means, Gaussian mixture and top-down tree with ``k`` segments each: model, labels given,
-    rows labelled and silhouette over all rows."""
+    """K-means, Gaussian mixture, top-down tree and bottom-up merges with ``k`` segments each: model, labels given,
+    rows labelled, sum of squares around the segments' means, and silhouette over all rows."""
     fitted = {
         "k-means": fit_kmeans(vectors, k, seed=seed),
         "mixture": GaussianMixture(k=k, seed=seed, featuresCol=SCALED, predictionCol="cluster").fit(vectors),
         "tree": fit_bisecting(vectors, k, seed),
     }
+    labelled = {name: one.transform(vectors) for name, one in fitted.items()} | {"ward": ward_segments(vectors, k)[0]}
     rows = []
-    for name, one in fitted.items():
-        labelled = one.transform(vectors)
-        sizes = labelled.groupBy("cluster").count().agg(F.count("*"), F.sum("count")).first()
-        rows.append((name, sizes[0], sizes[1], silhouette(labelled)))
-    return vectors.sparkSession.createDataFrame(rows, "model STRING, n_clusters BIGINT, n BIGINT, silhouette DOUBLE")
+    for name, one in labelled.items():
+        sizes = one.groupBy("cluster").count().agg(F.count("*"), F.sum("count")).first()
+        rows.append((name, sizes[0], sizes[1], within(one), silhouette(one)))
+    return vectors.sparkSession.createDataFrame(
+        rows, "model STRING, n_clusters BIGINT, n BIGINT, within DOUBLE, silhouette DOUBLE"
+    )
+
+
+def within(clustered: DataFrame, cluster: str = "cluster") -> float:
+    """The sum of squared distances of all rows to the means of their clusters."""
+    v = vector_to_array(SCALED)
+    width = len(clustered.select(SCALED).first()[0])
+    parts = clustered.groupBy(cluster).agg(*[(F.count("*") * F.var_pop(v[i])).alias(f"s{i}") for i in range(width)])
+    return float(sum(parts.agg(*[F.sum(f"s{i}") for i in range(width)]).first()))
 
 
 def elbow(ks: list[int], inertias: list[float], sensitivity: float = 1.0) -> int | None:
@@ -161,9 +173,96 @@ def cross_segments(clustered: DataFrame) -> DataFrame:
     )
 
 
-def fit_bisecting(vectors: DataFrame, k: int = 6, seed: int = 42):
-    """Top-down tree of segments over all rows."""
-    return BisectingKMeans(k=k, seed=seed, featuresCol=SCALED, predictionCol="cluster").fit(vectors)
+def fit_bisecting(vectors: DataFrame, k: int = 6, seed: int = 42) -> PipelineModel:
+    """Top-down tree of segments over all rows.
+
+    A split begins by moving the centre by a share of its length, and standardised columns have a centre of length zero. A further
+    column with the same value in every row gives the centre a length and changes no distance.
+    """
+    stages = [
+        SQLTransformer(statement="SELECT *, 10D AS tree_lift FROM __THIS__"),
+        VectorAssembler(inputCols=[SCALED, "tree_lift"], outputCol="tree_vector"),
+        BisectingKMeans(k=k, seed=seed, featuresCol="tree_vector", predictionCol="cluster"),
+    ]
+    return Pipeline(stages=stages).fit(vectors)
+
+
+def cluster_features(vectors: DataFrame, most: int = 2000, step: float = 2.0**-20) -> tuple[DataFrame, float]:
+    """Sums over the cells of a grid, at most ``most`` of them: cell (array), n, total (array) and squares; and the cells' width.
+
+    The sums of a cell are those of the smaller cells in it, so the width doubles, each time over the sums of the last, until few
+    enough are left. With no more distinct rows than ``most``, and the first width, every cell holds equal rows only.
+    """
+    width = len(vectors.select(SCALED).first()[0])
+    rows = vectors.select(vector_to_array(SCALED).alias("v"))
+    rows = rows.select(
+        F.transform("v", lambda x: F.floor(x / step)).alias("cell"),
+        F.lit(1).cast("long").alias("n"),
+        *[F.col("v")[i].alias(f"t{i}") for i in range(width)],
+        F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x).alias("squares"),
+    )
+
+    def summed(df: DataFrame) -> DataFrame:
+        return df.groupBy("cell").agg(F.sum("n").alias("n"), *[F.sum(f"t{i}").alias(f"t{i}") for i in range(width)], F.sum("squares").alias("squares"))
+
+    cells = materialise(summed(rows), "cells")
+    while cells.count() > most:
+        step *= 2
+        wider = F.transform("cell", lambda x: F.floor(x / 2).cast("long"))
+        cells = materialise(summed(cells.withColumn("cell", wider)), "cells")
+    return cells.select("cell", "n", F.array(*[f"t{i}" for i in range(width)]).alias("total"), "squares"), step
+
+
+def ward_merges(n: np.ndarray, total: np.ndarray) -> list[tuple[int, int, float]]:
+    """Merges of groups with these sizes and sums, by rising cost; a group keeps the smaller number of its two parts.
+
+    The cost of a merge is what it adds to the sum of squares around the means. A chain of nearest neighbours ends in two
+    groups that are each other's nearest; merging them at once gives the same tree as always merging the nearest of all.
+    """
+    n, total = n.astype(float).copy(), total.astype(float).copy()
+    alive, merges, chain = np.ones(len(n), bool), [], []
+
+    def costs(i: int) -> np.ndarray:
+        apart = ((total / n[:, None] - total[i] / n[i]) ** 2).sum(axis=1)
+        out = np.where(alive, n * n[i] / (n + n[i]) * apart, np.inf)
+        out[i] = np.inf
+        return out
+
+    for _ in range(len(n) - 1):
+        if not chain:
+            chain = [int(np.flatnonzero(alive)[0])]
+        while True:
+            cost = costs(chain[-1])
+            nearest = int(cost.argmin())
+            if len(chain) > 1 and cost[chain[-2]] <= cost[nearest]:
+                nearest = chain[-2]
+                break
+            chain.append(nearest)
+        low, high = sorted((chain.pop(), chain.pop()))
+        merges.append((low, high, float(cost[nearest])))
+        n[low], total[low], alive[high] = n[low] + n[high], total[low] + total[high], False
+    return sorted(merges, key=lambda m: m[2])
+
+
+def ward_segments(vectors: DataFrame, k: int = 6, most: int = 2000) -> tuple[DataFrame, list[float]]:
+    """Every row with its ``cluster`` (0 to k - 1, by size), from bottom-up merges of cell sums, and the costs of all merges, rising.
+
+    The tree is built on the driver from at most ``most`` sums, however many rows there are; with no more distinct rows it is that of the rows.
+    """
+    cells, step = cluster_features(vectors, most)
+    rows = cells.orderBy("cell").collect()
+    n, total = np.array([r["n"] for r in rows]), np.array([r["total"] for r in rows])
+    merges = ward_merges(n, total)
+    group = np.arange(len(rows))
+    for low, high, _ in merges[: max(0, len(rows) - k)]:
+        group[group == group[high]] = group[low]
+    sizes = {g: int(n[group == g].sum()) for g in np.unique(group)}
+    number = {g: i for i, g in enumerate(sorted(sizes, key=lambda g: (-sizes[g], g)))}
+    labels = vectors.sparkSession.createDataFrame(
+        [(r["cell"], number[g]) for r, g in zip(rows, group)], "ward_cell ARRAY<BIGINT>, cluster INT"
+    )
+    cell = F.transform(vector_to_array(SCALED), lambda x: F.floor(x / step))
+    return vectors.withColumn("ward_cell", cell).join(F.broadcast(labels), "ward_cell").drop("ward_cell"), [c for *_, c in merges]
 
 
 def train_segmentation(
