@@ -10,7 +10,7 @@ from tillwise.operators import star
 from tillwise.plans import batch
 from tillwise.sources import streams
 from tillwise.sources.warehouse import Warehouse
-from tillwise.streaming import ingest, merge
+from tillwise.streaming import ingest, merge, windows
 
 AT = dt.datetime(2024, 1, 1, 12, 0, 0)
 
@@ -271,3 +271,61 @@ def test_broken_version_log_is_an_error(spark, warehouse, tmp_path):
         part.write_text("{broken\n")
     with pytest.raises(Exception):
         merge.last_merged(warehouse)
+
+
+def hours(n):
+    return AT + dt.timedelta(hours=n)
+
+
+def window_run(spark, folders, warehouse, shape, name, lateness="2 hours"):
+    folder, checkpoint = folders
+    windows.start(streams.file_messages(spark, folder), shape, warehouse, name, checkpoint, lateness, interval=None).awaitTermination()
+
+
+def hourly(sales):
+    return windows.windowed(sales, windows.tumbling("1 hour"), "customer_id")
+
+
+COUNTS = "begins TIMESTAMP, ends TIMESTAMP, customer_id STRING, n_sales BIGINT, revenue DECIMAL(28,2)"
+
+
+def test_windows_stay_open_over_a_restart_and_drop_what_is_late(spark, warehouse, folders):
+    read = lambda: sorted((r.begins.hour, r.customer_id, r.n_sales, float(r.revenue)) for r in warehouse.read_batches(windows.WINDOWS, COUNTS).collect())
+    arrive(spark, folders[0], [message(price=1.5), message("c2")], hours(0))
+    window_run(spark, folders, warehouse, hourly, windows.WINDOWS)
+    assert read() == []  # nothing is final before the watermark
+    arrive(spark, folders[0], [message(price=2.0)], hours(0.5))  # the same window, by another run
+    arrive(spark, folders[0], [message("c3"), message(price=-1.0)], hours(3.5))
+    window_run(spark, folders, warehouse, hourly, windows.WINDOWS)
+    assert read() == [(12, "c1", 2, 3.5), (12, "c2", 1, 2.5)]
+    arrive(spark, folders[0], [message("late")], hours(0.25))  # its window is final
+    arrive(spark, folders[0], [message("c4")], hours(2))  # late, but waited for
+    window_run(spark, folders, warehouse, hourly, windows.WINDOWS)
+    arrive(spark, folders[0], [message("c5")], hours(12))
+    window_run(spark, folders, warehouse, hourly, windows.WINDOWS)
+    assert read() == [(12, "c1", 2, 3.5), (12, "c2", 1, 2.5), (14, "c4", 1, 2.5), (15, "c3", 1, 2.5)]
+
+
+def test_sessions_close_after_a_gap(spark, warehouse, folders):
+    shape = lambda sales: windows.windowed(sales, windows.sessions("1 hour"), "customer_id")
+    for at in (0, 0.9, 1.8, 4, 9):
+        arrive(spark, folders[0], [message()], hours(at))
+    window_run(spark, folders, warehouse, shape, windows.WINDOWS)
+    rows = warehouse.read_batches(windows.WINDOWS, COUNTS).orderBy("begins").collect()
+    assert [(r.begins, r.n_sales) for r in rows] == [(hours(0), 3), (hours(4), 1)]  # the last one may go on
+
+
+def test_a_sale_is_taken_once_within_the_watermark(spark, warehouse, folders):
+    count = lambda: warehouse.read_batches(windows.ONCE, ingest.SALE).count()
+    arrive(spark, folders[0], [message(), message(), message("c2")], hours(0))
+    window_run(spark, folders, warehouse, windows.taken_once, windows.ONCE)
+    assert count() == 2
+    arrive(spark, folders[0], [message(), message("c2")], hours(0))  # the file again, in a run of its own
+    window_run(spark, folders, warehouse, windows.taken_once, windows.ONCE)
+    assert count() == 2
+    arrive(spark, folders[0], [message("c3")], hours(10))  # moves the watermark beyond both
+    window_run(spark, folders, warehouse, windows.taken_once, windows.ONCE)
+    arrive(spark, folders[0], [message()], hours(0))  # too late to be told apart
+    arrive(spark, folders[0], [message()], hours(11))  # sent anew, and forgotten by then
+    window_run(spark, folders, warehouse, windows.taken_once, windows.ONCE)
+    assert count() == 4

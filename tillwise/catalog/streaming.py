@@ -12,7 +12,7 @@ from tillwise.session import new_path
 
 from tillwise.sources.streams import file_messages
 from tillwise.sources.warehouse import Warehouse
-from tillwise.streaming import ingest, merge, messages
+from tillwise.streaming import ingest, merge, messages, windows
 
 # the first and the last part have no outer end
 PARTS = [("0001-01-01", "2024-01-11"), ("2024-01-11", "2024-01-21"), ("2024-01-21", "9999-12-31")]
@@ -207,3 +207,117 @@ def st11(t):
         .join(people, "customer_key")
         .select("customer_id", "n_transactions", "total_spend", "n_distinct_categories", "tenure_days")
     )
+
+
+# Arrivals of the window queries: messages of one second in seven come later than their time, of the first days far
+# too late, of the day before the first cut within the two days that are waited for.
+_LATE = "CAST(date_part('second', {ts}) AS INT) % 7 = 0"
+_ARRIVAL = f"""CASE WHEN {_LATE} AND {{ts}} < TIMESTAMP '2024-01-06' THEN 2
+  WHEN {_LATE} AND {{ts}} >= TIMESTAMP '2024-01-10' AND {{ts}} < TIMESTAMP '2024-01-11' THEN 1
+  WHEN {{ts}} < TIMESTAMP '2024-01-11' THEN 0 WHEN {{ts}} < TIMESTAMP '2024-01-21' THEN 1 ELSE 2 END"""
+_LATENESS = "2 days"
+
+view("arriv", f"SELECT *, {_ARRIVAL.format(ts='ts')} AS arrival FROM goodev")
+# the watermark in milliseconds while an arrival is read, and after the last
+view(
+    "marks",
+    """SELECT a.arrival, coalesce((SELECT CAST(floor(epoch_us(MAX(ts)) / 1000) AS BIGINT) FROM arriv b WHERE b.arrival < a.arrival)
+  - 2 * 86400000, 0) AS mark FROM (VALUES (0), (1), (2), (3)) a(arrival)""",
+)
+
+
+def _arrive_late(t, shape, name: str) -> Warehouse:
+    """Three arrivals, each read by a run of its own that goes on from the checkpoint of the last."""
+    warehouse = Warehouse(t.spark, new_path(t.spark, "stream"))
+    folder, checkpoint = new_path(t.spark, "messages"), new_path(t.spark, "checkpoint")
+    sent = t.raw_messages.withColumn("arrival", F.expr(_ARRIVAL.format(ts="timestamp")))
+    for arrival in range(3):
+        sent.where(F.col("arrival") == arrival).drop("arrival").write.mode("append").parquet(folder)
+        messages_ = file_messages(t.spark, folder)
+        windows.start(messages_, shape, warehouse, name, checkpoint, _LATENESS, interval=None).awaitTermination()
+    return warehouse
+
+
+def _spans(warehouse: Warehouse, keys: str):
+    rows = warehouse.read_batches(windows.WINDOWS, f"begins TIMESTAMP, ends TIMESTAMP, {keys}, n_sales BIGINT, revenue DECIMAL(28,2)")
+    stamps = {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS") for c in ("begins", "ends")}
+    return rows.withColumns(stamps).drop("batch_id")
+
+
+def _window_check(spans: str, keys: str) -> str:
+    """Windows in milliseconds from ``spans`` (columns a, b); late rows out, windows that are not final out."""
+    stamp = "strftime(make_timestamp({} * 1000), '%Y-%m-%d %H:%M:%S.%f')"
+    return f"""SELECT {stamp.format('a')} AS begins, {stamp.format('b')} AS ends, {keys}, COUNT(*) AS n_sales,
+  SUM(CAST(price AS DECIMAL(18,2)))::DOUBLE AS revenue FROM ({spans}) s JOIN marks USING (arrival)
+  WHERE b > mark AND b <= (SELECT mark FROM marks WHERE arrival = 3) GROUP BY ALL"""
+
+
+@query(
+    "x1_tumbling_windows",
+    _window_check(
+        "SELECT *, epoch_ms(ts) // 86400000 * 86400000 AS a, a + 86400000 AS b FROM arriv",
+        "CAST(sales_channel_id AS BIGINT) AS sales_channel_id",
+    ),
+)
+def x1_tumbling(t):
+    """Sales a day and channel, of days that are final two days after the last message."""
+    shape = lambda sales: windows.windowed(sales, windows.tumbling("1 day"), "sales_channel_id")
+    return _spans(_arrive_late(t, shape, windows.WINDOWS), "sales_channel_id INT")
+
+
+@query(
+    "x1_sliding_windows",
+    _window_check(
+        """SELECT *, epoch_ms(ts) // 21600000 * 21600000 - 21600000 * i AS a, a + 86400000 AS b
+  FROM arriv, (VALUES (0), (1), (2), (3)) o(i)""",
+        "CAST(sales_channel_id AS BIGINT) AS sales_channel_id",
+    ),
+)
+def x1_sliding(t):
+    """Sales of a day's length, from every sixth hour on."""
+    shape = lambda sales: windows.windowed(sales, windows.sliding("1 day", "6 hours"), "sales_channel_id")
+    return _spans(_arrive_late(t, shape, windows.WINDOWS), "sales_channel_id INT")
+
+
+@query(
+    "x1_session_windows",
+    """SELECT strftime(MIN(ts), '%Y-%m-%d %H:%M:%S.%f') AS begins, strftime(MAX(ts) + INTERVAL 3 HOUR, '%Y-%m-%d %H:%M:%S.%f') AS ends,
+  CAST(user_id AS VARCHAR) AS customer_id, COUNT(*) AS n_sales, SUM(CAST(price AS DECIMAL(18,2)))::DOUBLE AS revenue FROM (
+  SELECT *, SUM(CASE WHEN ts <= before THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS visit FROM (
+    SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) + INTERVAL 3 HOUR AS before
+    FROM arriv JOIN marks USING (arrival) WHERE epoch_us(ts) + 3 * 3600000000 > mark * 1000))
+  GROUP BY user_id, visit HAVING epoch_us(MAX(ts)) + 3 * 3600000000 <= (SELECT mark FROM marks WHERE arrival = 3) * 1000""",
+)
+def x1_sessions(t):
+    """Visits of a customer: sales with less than three hours between two."""
+    shape = lambda sales: windows.windowed(sales, windows.sessions("3 hours"), "customer_id")
+    return _spans(_arrive_late(t, shape, windows.WINDOWS), "customer_id STRING")
+
+
+@query(
+    "x2_taken_once",
+    """SELECT CAST(user_id AS VARCHAR) AS customer_id, article_id, CAST(t_dat AS VARCHAR) AS t_dat, price, COUNT(*) AS n FROM (
+  SELECT user_id, article_id, t_dat, price FROM goodev UNION ALL
+  SELECT user_id, article_id, t_dat, price FROM goodev WHERE ts < TIMESTAMP '2024-01-06') GROUP BY ALL""",
+)
+def x2(t):
+    """Files of three parts, the last days of each delivered again with the next; and the first days sent anew, long after.
+
+    What is delivered again is known still, or too old. What is sent anew has been forgotten, and is taken again.
+    """
+    warehouse = Warehouse(t.spark, new_path(t.spark, "stream"))
+    folder, checkpoint = new_path(t.spark, "messages"), new_path(t.spark, "checkpoint")
+    at = F.col("timestamp")
+    again = t.raw_messages.where(at < F.lit("2024-01-06").cast("timestamp"))
+    for i, (begin, end) in enumerate(PARTS):
+        part = t.raw_messages.where((at >= begin) & (at < end))
+        if i:
+            repeated = t.raw_messages.where((at >= F.lit(begin).cast("timestamp") - F.expr("INTERVAL 3 DAYS")) & (at < begin))
+            part = part.unionByName(repeated)
+        if i == 2:
+            part = part.unionByName(again.withColumn("timestamp", at + F.expr("INTERVAL 20 DAYS")))
+        part.write.mode("append").parquet(folder)
+        messages_ = file_messages(t.spark, folder)
+        windows.start(messages_, windows.taken_once, warehouse, windows.ONCE, checkpoint, _LATENESS, interval=None).awaitTermination()
+    rows = warehouse.read_batches(windows.ONCE, ingest.SALE)
+    return rows.groupBy("customer_id", "article_id", "t_dat", "price").agg(F.count("*").alias("n"))
