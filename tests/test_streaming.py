@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillwise.operators import star
-from tillwise.plans import batch
+from tillwise.plans import batch, upkeep
 from tillwise.sources import streams
 from tillwise.sources.warehouse import Warehouse
 from tillwise.streaming import ingest, merge, windows
@@ -329,3 +329,104 @@ def test_a_sale_is_taken_once_within_the_watermark(spark, warehouse, folders):
     arrive(spark, folders[0], [message()], hours(11))  # sent anew, and forgotten by then
     window_run(spark, folders, warehouse, windows.taken_once, windows.ONCE)
     assert count() == 4
+
+
+MARTS = ("customers_features_train", "products_performance", "daily_sales", "customer_segments_summary")
+
+
+def marts_of(warehouse):
+    return {name: sorted(map(str, (r.asDict() for r in warehouse.read(name).collect()))) for name in MARTS}
+
+
+def full_marts(spark, warehouse, as_of="2024-01-31"):
+    """The marts after the sums have been forgotten and built anew from all sales."""
+    warehouse.overwrite(upkeep.CONTROL, spark.createDataFrame([("none", -1)], "source STRING, upto BIGINT"))
+    assert batch.recompute(warehouse, as_of) == "built"
+    return marts_of(warehouse)
+
+
+def test_marts_from_kept_sums_equal_a_full_recompute(spark, star_schema, folders, monkeypatch):
+    folder, checkpoint = folders
+    assert batch.recompute(star_schema, "2024-01-31") == "built"
+    read = []
+    increments = upkeep.fact_increments
+    monkeypatch.setattr(upkeep, "fact_increments", lambda *a: (df := increments(*a), read.append({r[0] for r in df.select(F.input_file_name()).distinct().collect()}))[0])
+    for i in range(3):
+        arrive(spark, folder, [message("c1", price=1.0 + i), message(f"new{i}", article=2), message("c2", day=f"2022-0{i + 1}-01")])
+        run(spark, folder, star_schema, checkpoint)
+        merge.merge(star_schema)
+        assert batch.recompute(star_schema, "2024-01-31") == "added"
+        # a merge reads its own batch, however many came before
+        assert all(f"batch_id={i}/" in f for f in read[-1]) and len(read) == i + 1
+        assert batch.recompute(star_schema, "2024-01-31") == "kept"
+    kept = marts_of(star_schema)
+    assert kept == full_marts(spark, star_schema)
+
+
+def test_sums_are_folded_and_survive_compaction(spark, star_schema, folders):
+    folder, checkpoint = folders
+    batch.recompute(star_schema, "2024-01-31")
+    for i, done in enumerate(["added", "folded", "added"]):
+        arrive(spark, folder, [message("c1"), message(f"n{i}")])
+        run(spark, folder, star_schema, checkpoint)
+        merge.merge(star_schema)
+        assert upkeep.upkeep(star_schema, fold=2) == done
+    assert batch.compact(star_schema) == 2
+    assert batch.recompute(star_schema, "2024-01-31") == "kept"
+    kept = marts_of(star_schema)
+    assert kept == full_marts(spark, star_schema)
+
+
+def test_a_late_load_rebuilds_the_sums(spark, star_schema, folders):
+    folder, checkpoint = folders
+    batch.recompute(star_schema, "2024-01-31")
+    arrive(spark, folder, [message("c1")])
+    run(spark, folder, star_schema, checkpoint)
+    merge.merge(star_schema)
+    batch.recompute(star_schema, "2024-01-31")
+    corrected = spark.createDataFrame(
+        [("c1", dt.date(2023, 12, 31), 1, 19.0, 1)], "customer_id STRING, t_dat DATE, article_id BIGINT, price DOUBLE, sales_channel_id INT"
+    )
+    star_schema.overwrite(merge.FACT, star.with_month(star.fact_transaction(corrected)), partition_by="month_key")
+    assert batch.recompute(star_schema, "2024-01-31") == "built"
+    row = star_schema.read("customers_features_train").first()
+    assert (row.total_spend, row.n_transactions) == (21.5, 2)
+
+
+def test_an_upkeep_that_dies_leaves_no_trace(spark, star_schema, folders, monkeypatch):
+    folder, checkpoint = folders
+    batch.recompute(star_schema, "2024-01-31")
+    arrive(spark, folder, [message("c1")])
+    run(spark, folder, star_schema, checkpoint)
+    merge.merge(star_schema)
+    with monkeypatch.context() as broken:
+        broken.setattr(upkeep, "_record", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            upkeep.upkeep(star_schema)
+    arrive(spark, folder, [message("c2")])
+    run(spark, folder, star_schema, checkpoint)
+    merge.merge(star_schema)
+    assert batch.recompute(star_schema, "2024-01-31") == "added"
+    kept = marts_of(star_schema)
+    assert kept == full_marts(spark, star_schema)
+
+
+def test_another_pipeline_reads_what_it_merged(spark, star_schema, folders):
+    folder, checkpoint = folders
+    arrive(spark, folder, [message("c1"), message("n")])
+    run(spark, folder, star_schema, checkpoint)
+    assert merge.merge(star_schema, "hourly") == 0
+    assert merge.merged_fact(star_schema).count() == 2
+    assert merge.merged_fact(star_schema, "hourly").count() == 4
+    assert merge.merged_dim_customer(star_schema, "hourly").count() == 3
+    assert batch.compact(star_schema, "hourly") == 0 and star_schema.read(merge.FACT).count() == 4
+
+
+def test_late_batches_list_their_own_blocks(spark, warehouse):
+    frame = spark.createDataFrame([(1,)], "x INT")
+    for number in (0, 1, 127, 128, 300):
+        warehouse.write_batch("grown", frame, number)
+    assert [b.batch_id for b in warehouse.read_batches("grown", "x INT", after=127).orderBy("batch_id").collect()] == [128, 300]
+    assert all("block=2/" in f for f in warehouse.read_batches("grown", "x INT", after=255).inputFiles())  # all that is listed
+    assert warehouse.read_batches("grown", "x INT", upto=126).count() == 2
+    assert warehouse.read_batches("never", "x INT").count() == 0

@@ -10,7 +10,7 @@ import argparse
 from tillwise.plans import batch
 from tillwise.session import build_session
 from tillwise.sources.warehouse import Warehouse
-from tillwise.streaming.merge import compact, merge
+from tillwise.streaming.merge import merge
 
 
 def main(args: list[str] | None = None) -> int | None:
@@ -25,7 +25,7 @@ def main(args: list[str] | None = None) -> int | None:
     if merged is not None:
         batch.recompute(warehouse, given.as_of)
     if given.compact:
-        compact(warehouse)
+        batch.compact(warehouse)
     return merged
 
 

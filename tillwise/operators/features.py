@@ -10,24 +10,26 @@ from tillwise.operators.quantiles import exact_quantiles
 from tillwise.session import materialise
 
 
-def rfm_base(sales: DataFrame, by: str = "customer_id") -> DataFrame:
-    """Spend, purchases, first and last day and distinct categories per customer.
+def category_sums(sales: DataFrame, by: str = "customer_id", *more: str) -> DataFrame:
+    """Spend, purchases, first and last day per customer and category, and per what else is named.
 
-    ``sales`` needs the customer column, price, t_dat and product_group_name. The first
-    grouping, by customer and category, shrinks the sales to a few rows per customer before
-    the second, so a customer with a third of all sales costs no more than its categories.
-    Sales of unknown customers are nobody's features and stay out.
+    ``sales`` needs the customer column, price, t_dat and product_group_name. Sales of unknown customers are nobody's
+    features and stay out. Such rows of several parts of the sales can be added up further: see ``rfm_of_sums``.
     """
     known = F.col(by).isNotNull()
     if by == "customer_key":
         known = known & (F.col(by) != UNKNOWN_KEY)
-    per_category = sales.where(known).groupBy(by, "product_group_name").agg(
+    return sales.where(known).groupBy(by, "product_group_name", *more).agg(
         F.sum("price").alias("spend"),
         F.count("*").alias("n"),
         F.min("t_dat").alias("first"),
         F.max("t_dat").alias("last"),
     )
-    return per_category.groupBy(by).agg(
+
+
+def rfm_of_sums(sums: DataFrame, by: str = "customer_id") -> DataFrame:
+    """Spend, purchases, first and last day and distinct categories per customer, from one row per customer and category."""
+    return sums.groupBy(by).agg(
         F.sum("spend").alias("total_spend"),
         F.sum("n").alias("n_transactions"),
         F.min("first").alias("first_purchase"),
@@ -36,6 +38,15 @@ def rfm_base(sales: DataFrame, by: str = "customer_id") -> DataFrame:
     )
 
 
+def rfm_base(sales: DataFrame, by: str = "customer_id") -> DataFrame:
+    """Spend, purchases, first and last day and distinct categories per customer.
+
+    The first grouping, by customer and category, shrinks the sales to a few rows per customer before
+    the second, so a customer with a third of all sales costs no more than its categories.
+    """
+    return rfm_of_sums(category_sums(sales, by), by)
+
+
 def with_behaviour(rfm: DataFrame, as_of: str) -> DataFrame:
     """Recency on day ``as_of``, tenure, mean basket and purchases per 30 days."""
     tenure = F.datediff("last_purchase", "first_purchase")
@@ -116,5 +127,17 @@ def customer_features(
     The base is stored once: its scan of the sales is the cost. Customer attributes join
     the finished rows, never the sales.
     """
-    base = materialise(with_behaviour(rfm_base(sales, by), as_of), "rfm")
+    return features_of_sums(category_sums(sales, by), customers, as_of, exact, population, by)
+
+
+def features_of_sums(
+    sums: DataFrame,
+    customers: DataFrame,
+    as_of: str,
+    exact: bool = True,
+    population: str = "buyers",
+    by: str = "customer_id",
+) -> DataFrame:
+    """The feature table from one row per customer and category."""
+    base = materialise(with_behaviour(rfm_of_sums(sums, by), as_of), "rfm")
     return with_demographics(with_segment(base, exact), customers, population, by)

@@ -10,20 +10,21 @@ from tillwise.operators.quantiles import exact_quantiles
 
 def products_performance(sales: DataFrame, articles: DataFrame) -> DataFrame:
     """Number of sales per article; the names join the counts, not the sales."""
+    return named_products(sales.groupBy("article_id").agg(F.count("*").alias("n_sales")), articles)
+
+
+def named_products(counts: DataFrame, articles: DataFrame) -> DataFrame:
     names = articles.select("article_id", "prod_name", "product_group_name", "department_name", "index_name")
-    return (
-        sales.groupBy("article_id")
-        .agg(F.count("*").alias("n_sales"))
-        .join(names, "article_id", "left")
-        .orderBy(F.desc("n_sales"), "article_id")
-    )
+    return counts.join(names, "article_id", "left").orderBy(F.desc("n_sales"), "article_id")
 
 
 def daily_sales(sales: DataFrame) -> DataFrame:
+    return dated_sales(sales.groupBy("t_dat").agg(F.sum("price").alias("revenue"), F.count("*").alias("n_transactions")))
+
+
+def dated_sales(sums: DataFrame) -> DataFrame:
     return (
-        sales.groupBy("t_dat")
-        .agg(F.sum("price").alias("revenue"), F.count("*").alias("n_transactions"))
-        .select(date_key(F.col("t_dat")).alias("date_key"), F.col("t_dat").alias("date"), "revenue", "n_transactions")
+        sums.select(date_key(F.col("t_dat")).alias("date_key"), F.col("t_dat").alias("date"), "revenue", "n_transactions")
         .orderBy("date_key")
     )
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tillwise.operators import cleaning, features, marts, star
+from tillwise.plans import upkeep
 from tillwise.sources.warehouse import Warehouse
-from tillwise.streaming.merge import DIM_CUSTOMER, DIM_DATE, FACT, last_merged, merged_dim_customer, merged_fact
+from tillwise.streaming import merge
+from tillwise.streaming.merge import DIM_CUSTOMER, DIM_DATE, FACT, PIPELINE, last_merged, merged_dim_customer
 
 MARTS = ["customers_features_train", "products_performance", "daily_sales", "customer_segments_summary"]
 TABLES = ["dim_customer", "dim_article", "dim_date", "fact_transaction", *MARTS]
@@ -45,21 +47,28 @@ def load_star(
     warehouse.overwrite(DIM_DATE, star.dim_date(days))
 
 
-def recompute(warehouse: Warehouse, as_of: str) -> None:
-    """Rebuild the four marts from the stored star schema, merged increments included.
+def recompute(warehouse: Warehouse, as_of: str, pipeline: str = PIPELINE) -> str:
+    """Rebuild the four marts from the sums of sales, which take in what was merged since; tells how they did.
 
-    Sales are added up by their own keys; customer and article attributes join the sums.
-    Only the category count needs an article column beside every sale.
+    No sale is read but those of new batches, unless the star schema was loaded anew. Customer and article attributes join the sums.
     """
-    fact = merged_fact(warehouse).withColumn("t_dat", star.key_date(F.col("date_key")))
-    articles, customers = warehouse.read("dim_article"), merged_dim_customer(warehouse)
-    groups = articles.select("article_key", "product_group_name")
-    frame = features.customer_features(
-        fact.join(groups, "article_key", "left"), customers, as_of, by="customer_key"
-    )
+    done = upkeep.upkeep(warehouse, pipeline)
+    articles, customers = warehouse.read("dim_article"), merged_dim_customer(warehouse, pipeline)
+    by_category = upkeep.sums(warehouse, "sums_customer")
+    frame = features.features_of_sums(by_category, customers, as_of, by="customer_key")
     warehouse.overwrite("customers_features_train", cleaning.guard_features(frame))
-    products = marts.products_performance(fact.withColumnRenamed("article_key", "article_id"), articles)
+    counts = upkeep.sums(warehouse, "sums_article").withColumnRenamed("article_key", "article_id")
+    products = marts.named_products(counts, articles)
     warehouse.overwrite("products_performance", products.withColumnRenamed("article_id", "article_key"))
-    warehouse.overwrite("daily_sales", marts.daily_sales(fact).drop("date"))
+    warehouse.overwrite("daily_sales", marts.dated_sales(upkeep.sums(warehouse, "sums_day")).drop("date"))
     summary = marts.segment_summary(warehouse.read("customers_features_train"))
     warehouse.overwrite("customer_segments_summary", summary)
+    return done
+
+
+def compact(warehouse: Warehouse, pipeline: str = PIPELINE) -> int:
+    """The star schema written anew with all merged batches inside; the sums, which hold the same sales, stay."""
+    before = upkeep.source(warehouse)
+    upto = merge.compact(warehouse, pipeline)
+    upkeep.moved(warehouse, before)
+    return upto

@@ -16,9 +16,12 @@ class Warehouse:
 
     ``overwrite`` writes a new version beside the old one and only then records it, so a
     reader never meets a half-written or missing table, and a failed write changes nothing.
-    ``write_batch`` replaces the folder of one batch, so repeating it leaves the same rows.
+    ``write_batch`` replaces the folder of one batch, so repeating it leaves the same rows. Batches lie in
+    blocks of ``BLOCK``, and a read of late batches lists their blocks only, however many there were before.
     """
 
+    BLOCK = 128
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
@@ -71,26 +74,37 @@ class Warehouse:
         record.write.mode("append").json(f"{self.root}/{name}/versions")
 
     def write_batch(self, name: str, df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.root}/{name}/batches/batch_id={batch_id}")
+        df.write.mode("overwrite").parquet(f"{self.root}/{name}/batches/block={batch_id // self.BLOCK}/batch_id={batch_id}")
 
     def write_batches(self, name: str, df: DataFrame) -> None:
         """Replace every batch that occurs in ``df`` (column ``batch_id``) and no other."""
         (
-            df.hint("rebalance", "batch_id")
+            df.withColumn("block", F.floor(F.col("batch_id") / self.BLOCK))
+            .hint("rebalance", "batch_id")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
+            .partitionBy("block", "batch_id")
             .parquet(f"{self.root}/{name}/batches")
         )
 
+    def _blocks(self, top: str) -> list[int]:
+        """Numbers of the blocks under a folder: one listing, of the blocks alone."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(top)
+        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not files.exists(path):
+            return []
+        names = [x.getPath().getName() for x in files.listStatus(path)]
+        return sorted(int(n.removeprefix("block=")) for n in names if n.startswith("block="))
+
     def read_batches(self, name: str, schema: str, after: int | None = None, upto: int | None = None) -> DataFrame:
         """Rows of the batches in (after, upto]; no batch yet gives an empty frame."""
-        try:
-            frame = self.spark.read.schema(f"{schema}, batch_id BIGINT").parquet(f"{self.root}/{name}/batches")
-        except AnalysisException as error:
-            if error.getCondition() != MISSING:
-                raise
+        top = f"{self.root}/{name}/batches"
+        first = 0 if after is None else (after + 1) // self.BLOCK
+        blocks = [b for b in self._blocks(top) if b >= first and (upto is None or b <= upto // self.BLOCK)]
+        reader = self.spark.read.schema(f"{schema}, block BIGINT, batch_id BIGINT").option("basePath", top)
+        if not blocks:
             return self.spark.createDataFrame([], f"{schema}, batch_id BIGINT")
+        frame = reader.parquet(*[f"{top}/block={b}" for b in blocks]).drop("block")
         if after is not None:
             frame = frame.where(F.col("batch_id") > after)
         if upto is not None:

@@ -48,47 +48,57 @@ def set_merged(warehouse: Warehouse, pipeline: str, batch_id: int, last_timestam
     warehouse.overwrite(CONTROL, others.unionByName(mine).coalesce(1))
 
 
-def _merged_batches(warehouse: Warehouse, name: str, schema: str) -> DataFrame:
-    upto = last_merged(warehouse)[1]
+def _merged_batches(warehouse: Warehouse, name: str, schema: str, pipeline: str) -> DataFrame:
+    upto = last_merged(warehouse, pipeline)[1]
     return warehouse.read_batches(name, schema, after=warehouse.holds_upto(FACT), upto=upto).drop("batch_id")
 
 
-def merged_fact(warehouse: Warehouse) -> DataFrame:
-    """Loaded fact and the increments merged since; prices in a type that holds both exactly."""
-    loaded = warehouse.read(FACT).drop("month_key")
-    added = _merged_batches(warehouse, f"{FACT}_increment", FACT_COLUMNS)
-    if isinstance(loaded.schema["price"].dataType, DecimalType):
-        loaded, added = (side.withColumn("price", F.col("price").cast(WIDE)) for side in (loaded, added))
+def common_price(warehouse: Warehouse, rows: DataFrame) -> DataFrame:
+    """Sales with prices in a type that holds loaded and streamed ones exactly."""
+    loaded = warehouse.read(FACT).schema["price"].dataType
+    return rows.withColumn("price", F.col("price").cast(WIDE)) if isinstance(loaded, DecimalType) else rows
+
+
+def fact_increments(warehouse: Warehouse, after: int, upto: int) -> DataFrame:
+    """Merged sales of the batches in (after, upto], with their batch; no other batch is read."""
+    return common_price(warehouse, warehouse.read_batches(f"{FACT}_increment", FACT_COLUMNS, after=after, upto=upto))
+
+
+def merged_fact(warehouse: Warehouse, pipeline: str = PIPELINE) -> DataFrame:
+    """Loaded fact and the increments that ``pipeline`` merged since."""
+    loaded = common_price(warehouse, warehouse.read(FACT).drop("month_key"))
+    added = common_price(warehouse, _merged_batches(warehouse, f"{FACT}_increment", FACT_COLUMNS, pipeline))
     return cleaning.union_all(loaded, added)
 
 
-def compact(warehouse: Warehouse) -> int:
+def compact(warehouse: Warehouse, pipeline: str = PIPELINE) -> int:
     """Write fact, days and customers anew with all merged increments inside; the last batch in them.
 
     The version of the fact records that batch, so its increments are not added again. Days and
     customers go first: a row that is in both a table and an increment counts once. A job for
     quiet hours: it rewrites the fact.
     """
-    upto = last_merged(warehouse)[1]
-    warehouse.overwrite(DIM_CUSTOMER, merged_dim_customer(warehouse))
-    warehouse.overwrite(DIM_DATE, merged_dim_date(warehouse))
-    warehouse.overwrite(FACT, star.with_month(merged_fact(warehouse)), partition_by="month_key", holds_upto=upto)
+    upto = last_merged(warehouse, pipeline)[1]
+    warehouse.overwrite(DIM_CUSTOMER, merged_dim_customer(warehouse, pipeline))
+    warehouse.overwrite(DIM_DATE, merged_dim_date(warehouse, pipeline))
+    whole = star.with_month(merged_fact(warehouse, pipeline))
+    warehouse.overwrite(FACT, whole, partition_by="month_key", holds_upto=upto)
     return upto
 
 
-def merged_dim_date(warehouse: Warehouse) -> DataFrame:
+def merged_dim_date(warehouse: Warehouse, pipeline: str = PIPELINE) -> DataFrame:
     loaded = warehouse.read(DIM_DATE)
-    added = _merged_batches(warehouse, f"{DIM_DATE}_increment", DATE_COLUMNS)
+    added = _merged_batches(warehouse, f"{DIM_DATE}_increment", DATE_COLUMNS, pipeline)
     return loaded.unionByName(added.join(loaded.select("date_key"), "date_key", "left_anti"))
 
 
-def merged_dim_customer(warehouse: Warehouse) -> DataFrame:
+def merged_dim_customer(warehouse: Warehouse, pipeline: str = PIPELINE) -> DataFrame:
     """Loaded customers, and the ids first met in the stream, with unknown attributes.
 
     An id that a later load brings takes the place of the one met in the stream.
     """
     loaded = warehouse.read(DIM_CUSTOMER)
-    added = _merged_batches(warehouse, f"{DIM_CUSTOMER}_increment", CUSTOMER_COLUMNS)
+    added = _merged_batches(warehouse, f"{DIM_CUSTOMER}_increment", CUSTOMER_COLUMNS, pipeline)
     return loaded.unionByName(added.join(loaded.select("customer_id"), "customer_id", "left_anti"), allowMissingColumns=True)
 
 
@@ -116,13 +126,13 @@ def merge(warehouse: Warehouse, pipeline: str = PIPELINE) -> int | None:
 
     # what is known is read without this merge's own batches, so a repeat finds the same
     first_seen = rows.groupBy("t_dat").agg(F.min("batch_id").alias("batch_id"))
-    days = star.missing_dates(first_seen.select("t_dat"), merged_dim_date(warehouse))
+    days = star.missing_dates(first_seen.select("t_dat"), merged_dim_date(warehouse, pipeline))
     days = days.join(first_seen, days["date"] == first_seen["t_dat"]).select(
         "date", "date_key", "month", "year", "batch_id"
     )
     warehouse.write_batches(f"{DIM_DATE}_increment", days)
 
-    known = merged_dim_customer(warehouse).select("customer_id")
+    known = merged_dim_customer(warehouse, pipeline).select("customer_id")
     people = (
         rows.groupBy("customer_id")
         .agg(F.min("batch_id").alias("batch_id"))
