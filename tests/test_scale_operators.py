@@ -1,11 +1,13 @@
 """Distributed operators against brute force, with hot groups and many equal values."""
 
+import random
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tillwise.operators import analysis, features, ranking, retrieval
+from tillwise.operators import analysis, drift, features, ranking, retrieval, sketches
 from tillwise.operators.neighbours import nearest
 from tillwise.operators.quantiles import exact_quantiles
 
@@ -218,3 +220,40 @@ def test_empty_inputs(spark):
     corpus = spark.createDataFrame([(1, [1.0])], "vec_id INT, embedding ARRAY<DOUBLE>")
     assert retrieval.search(empty, corpus).count() == 0
     assert exact_quantiles(spark.createDataFrame([], "v DOUBLE"), "v", MARKS).count() in (0, 1)
+
+
+def test_running_sum_over_slices(spark):
+    rows = [(i, None if i % 7 == 0 else (i * 37) % 11) for i in range(500)]
+    df = spark.createDataFrame(rows, "id INT, v INT").repartition(5)
+    got = {r.id: r.s for r in ranking.running_sum(df, "v", F.desc("id"), name="s", rows=16).collect()}
+    total, want = 0, {}
+    for i, v in reversed(rows):
+        total += v or 0
+        want[i] = total
+    assert got == want
+
+
+def test_drift_in_small_slices_is_the_same(spark):
+    r = random.Random(3)
+    ref = spark.createDataFrame([(r.gauss(0, 1), r.choice([1.0, 2.0])) for _ in range(400)], "a DOUBLE, b DOUBLE")
+    cur = spark.createDataFrame([(r.gauss(0.3, 1), r.choice([1.0, 3.0])) for _ in range(300)], "a DOUBLE, b DOUBLE")
+    whole = {x.column_name: x.distance for x in drift.numeric_drift(ref, cur, ["a", "b"]).collect()}
+    small = {x.column_name: x.distance for x in drift.numeric_drift(ref, cur, ["a", "b"], rows=7).collect()}
+    assert whole.keys() == small.keys() and all(abs(whole[c] - small[c]) < 1e-9 for c in whole)
+
+
+def test_day_sketches_merge_to_those_of_all_days(spark):
+    r = random.Random(4)
+    rows = [(f"c{r.randrange(3000)}", r.randrange(200), float(r.randrange(10_000)), d) for d in range(20) for _ in range(400)]
+    df = spark.createDataFrame(rows, "customer_id STRING, article_id INT, price DOUBLE, t_dat INT")
+    days = sketches.daily(df).collect()
+    stored = spark.createDataFrame(days, sketches.daily(df).schema)
+    said = sketches.estimates(stored).first()
+    customers, articles = len({x[0] for x in rows}), len({x[1] for x in rows})
+    assert said.n == len(rows) and abs(said.customer_id_hll - customers) <= sketches.COUNT_ERROR * customers
+    assert abs(said.customer_id_theta - customers) <= sketches.COUNT_ERROR * customers and said.article_id_theta == articles
+    assert abs(sum(x[2] <= said.price_50 for x in rows) / len(rows) - 0.5) < 2 * sketches.RANK_ERROR
+    early, late = ({x[0] for x in rows if lo <= x[3] < lo + 10} for lo in (0, 10))
+    both = sketches.in_both(stored.where("t_dat < 10"), stored.where("t_dat >= 10")).first()
+    assert abs(both.in_both - len(early & late)) <= sketches.COUNT_ERROR * len(early | late)
+    assert sketches.estimates(stored.limit(0)).first().n is None

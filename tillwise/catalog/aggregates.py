@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Window, functions as F
 
 from tillwise import model
 from tillwise.catalog.base import cents, query, rounded
 from tillwise.functions.columns import ratio
-from tillwise.operators import analysis, cleaning, features, marts, quantiles, ranking
-from tillwise.session import materialise
+from tillwise.operators import analysis, cleaning, features, marts, quantiles, ranking, sketches
+from tillwise.session import materialise, new_path
 from tillwise.sources.binding import AS_OF
+from tillwise.sources.warehouse import Warehouse
 
 RATIO = "(SUM({0})::DOUBLE / COUNT(*))"
 
@@ -226,9 +229,64 @@ def a19(t):
     )
 
 
-@query("a19_distinct_approx")
+@query(
+    "a19_distinct_approx",
+    """SELECT COUNT(DISTINCT customer_id) AS customer_id, COUNT(DISTINCT article_id) AS article_id, COUNT(DISTINCT t_dat) AS t_dat,
+  true AS customer_id_near, true AS article_id_near, true AS t_dat_near FROM tx""",
+)
 def a19_approx(t):
-    return analysis.distinct_counts(t.sales, ["customer_id", "article_id", "t_dat"], approximate=True)
+    """The counts, and whether the estimates lie within three standard errors of 5 %."""
+    columns = ["customer_id", "article_id", "t_dat"]
+    near = analysis.distinct_counts(t.sales, columns, approximate=True)
+    exact = analysis.distinct_counts(t.sales, columns)
+    told = [(F.abs(near.select(c).scalar() - F.col(c)) <= 0.15 * F.col(c)).alias(f"{c}_near") for c in columns]
+    return exact.select(*columns, *told)
+
+
+@query(
+    "a19_sketches_by_year",
+    """SELECT year(t_dat) AS year, COUNT(*) AS n, COUNT(DISTINCT customer_id) AS customers, COUNT(DISTINCT article_id) AS articles,
+  true AS distinct_within_bound, true AS ranks_within_bound FROM tx GROUP BY 1""",
+)
+def a19_sketches(t):
+    """Years from stored summaries of days alone, beside exact counts of the sales."""
+    stored = Warehouse(t.spark, new_path(t.spark, "sketches"))
+    stored.overwrite("sketches_day", sketches.daily(t.sales))
+    said = sketches.estimates(stored.read("sketches_day").withColumn("year", F.year("t_dat")), "year")
+    dated = t.sales.withColumn("year", F.year("t_dat"))
+    exact = dated.groupBy("year").agg(F.countDistinct("customer_id").alias("customers"), F.countDistinct("article_id").alias("articles"))
+    marks = {s: F.col(f"price_{s}") for s in (25, 50, 75)}
+    # a value may stand for many equal ones: its share lies between those below it and those up to it
+    at = {f"lt{s}": F.avg((F.col("price").cast("double") < m).cast("double")) for s, m in marks.items()}
+    at |= {f"le{s}": F.avg((F.col("price").cast("double") <= m).cast("double")) for s, m in marks.items()}
+    ranks = dated.join(F.broadcast(said), "year").groupBy("year").agg(*[e.alias(k) for k, e in at.items()])
+    close = lambda est, true: F.abs(F.col(est) - F.col(true)) <= sketches.COUNT_ERROR * F.col(true) + 1
+    error = sketches.RANK_ERROR * 2  # rank errors of all years and marks, not of one
+    within = [F.col(f"lt{s}") <= s / 100 + error for s in marks] + [F.col(f"le{s}") >= s / 100 - error for s in marks]
+    return said.join(exact, "year").join(ranks, "year").select(
+        "year", "n", "customers", "articles",
+        (close("customer_id_hll", "customers") & close("customer_id_theta", "customers")
+         & close("article_id_hll", "articles") & close("article_id_theta", "articles")).alias("distinct_within_bound"),
+        reduce(lambda a, b: a & b, within).alias("ranks_within_bound"),
+    )
+
+
+@query(
+    "a19_sketches_in_common",
+    """SELECT COUNT(*) FILTER (a AND b) AS n_both, COUNT(*) AS n_either, true AS within_bound FROM (
+  SELECT customer_id, bool_or(year(t_dat) = 1995) AS a, bool_or(year(t_dat) = 1999) AS b FROM tx WHERE year(t_dat) IN (1995, 1999) GROUP BY 1)""",
+)
+def a19_common(t):
+    """Customers of one year who come back in another."""
+    stored = materialise(sketches.daily(t.sales), "sketches")
+    year = F.year("t_dat")
+    said = sketches.in_both(stored.where(year == 1995), stored.where(year == 1999))
+    years = t.sales.where(year.isin(1995, 1999)).groupBy("customer_id").agg(F.countDistinct(year).alias("years"))
+    exact = years.agg(F.count_if(F.col("years") == 2).alias("n_both"), F.count("*").alias("n_either"))
+    # an intersection is as uncertain as the union that it is a part of
+    most = sketches.COUNT_ERROR * F.col("n_either") + 1
+    close = (F.abs(said.select("in_both").scalar() - F.col("n_both")) <= most) & (F.abs(said.select("in_either").scalar() - F.col("n_either")) <= most)
+    return exact.withColumn("within_bound", close)
 
 
 @query(

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tillwise import model
 from tillwise.functions.columns import labelled, month_label, ratio, share, week_ending
 from tillwise.operators.quantiles import exact_quantiles, same_groups
-from tillwise.operators.ranking import top_per_group
+from tillwise.operators.ranking import running_sum, top_per_group
 from tillwise.session import small_side
 
 
@@ -41,12 +41,10 @@ def with_share_of_total(grouped: DataFrame, measure: str, digits: int | None = N
 
 
 def cumulative_share(grouped: DataFrame, measure: str, *order: Column) -> DataFrame:
-    """Running percent over ordered groups; for tables of a few hundred groups at most."""
-    upto = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    total = Window.partitionBy()
-    return grouped.withColumn(
-        "cumulative_pct", share(F.sum(measure).over(upto), F.sum(measure).over(total))
-    )
+    """Running percent over ordered groups, of which there may be any number; ``order`` ends in a unique key."""
+    total = grouped.agg(F.sum(measure)).scalar()
+    summed = running_sum(grouped, measure, *order, name="_upto")
+    return summed.withColumn("cumulative_pct", share(F.col("_upto"), total)).drop("_upto")
 
 
 def revenue_by(sales: DataFrame, column: str) -> DataFrame:

@@ -9,20 +9,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tillwise.operators.ranking import global_rank
 from tillwise.session import materialise
 
-# Limit per column and share of drifted columns that raises the alert; ranges into which the
-# values of a column are cut.
+# Limit per column and share of drifted columns that raises the alert; distinct values of a slice.
 COLUMN_LIMIT = 0.1
 SHARE_LIMIT = 0.5
-SLICES = 256
+SLICE = 4096
 
 
-def numeric_drift(reference: DataFrame, current: DataFrame, columns: list[str]) -> DataFrame:
+def numeric_drift(reference: DataFrame, current: DataFrame, columns: list[str], rows: int = SLICE) -> DataFrame:
     """Area between both distribution functions, over the deviation of the reference.
 
-    Exact, from the counts of every value in both windows. The values of a column are cut into
-    ``SLICES`` ranges; sums up to each range come first, so no task orders a whole column.
+    Exact, from the counts of every value in both windows. Distinct values are ranked and cut into slices of
+    ``rows``; sums up to each slice come first, so no task orders more than a slice, however many values there are.
     """
 
     def values(df: DataFrame, side: str, other: str) -> DataFrame:
@@ -32,10 +32,8 @@ def numeric_drift(reference: DataFrame, current: DataFrame, columns: list[str])
 
     both = values(reference, "ref", "cur").unionByName(values(current, "cur", "ref"))
     counts = materialise(both.groupBy("column_name", "v").agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur")), "values")
-    marks = [i / SLICES for i in range(1, SLICES)]
-    cuts = counts.groupBy("column_name").agg(F.percentile_approx("v", marks, 10 * SLICES).alias("cuts"))
-    cut = F.size(F.filter("cuts", lambda c: c < F.col("v")))
-    sliced = counts.join(F.broadcast(cuts), "column_name").select("column_name", "v", "ref", "cur", cut.alias("slice"))
+    ranked = global_rank(counts, F.col("column_name"), F.col("v"), name="_rank")
+    sliced = materialise(ranked.select("column_name", "v", "ref", "cur", F.floor(F.col("_rank") / rows).alias("slice")), "slices")
 
     order = Window.partitionBy("column_name").orderBy("slice")
     sums = sliced.groupBy("column_name", "slice").agg(F.sum("ref").alias("r"), F.sum("cur").alias("c"), F.min("v").alias("first"))
@@ -53,7 +51,7 @@ def numeric_drift(reference: DataFrame, current: DataFrame, columns: list[str])
     r = F.col("r_before") + F.sum("ref").over(inside)
     c = F.col("c_before") + F.sum("cur").over(inside)
     width = F.coalesce(F.lead("v").over(inside), F.col("next_first"), F.col("v")) - F.col("v")
-    areas = sliced.join(F.broadcast(before), ["column_name", "slice"]).select(
+    areas = sliced.join(before, ["column_name", "slice"]).select(
         "column_name", (F.abs(r / F.col("r_all") - c / F.col("c_all")) * width).alias("area")
     )
     spread = reference.select([F.stddev_samp(F.col(c).cast("double")).alias(c) for c in columns])

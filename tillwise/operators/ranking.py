@@ -40,6 +40,21 @@ def global_rank(df: DataFrame, *order: Column, name: str = "rank") -> DataFrame:
     )
 
 
+def running_sum(df: DataFrame, measure: str, *order: Column, name: str = "running", rows: int = 4096) -> DataFrame:
+    """The sum of ``measure`` up to each row in the total order ``order``, which must end in a unique key.
+
+    Sums run inside slices of ``rows`` ranks; only the slices' totals, one row each, are summed in one place.
+    """
+    ranked = global_rank(df, *order, name="_rank").withColumn("_part", F.floor(F.col("_rank") / rows))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranked.groupBy("_part").agg(F.sum(measure).alias("_sum"))
+    before = totals.select("_part", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("_part").orderBy("_rank").rowsBetween(Window.unboundedPreceding, 0)
+    # nulls add nothing, as in a sum
+    upto = F.coalesce(F.sum(measure).over(inside), F.lit(0)) + F.col("_before")
+    return ranked.join(before, "_part").withColumn(name, upto).drop("_rank", "_part", "_before")
+
+
 def equal_count_tiles(df: DataFrame, tiles: int, *order: Column, name: str = "tile") -> DataFrame:
     """``ntile`` over the whole table: tiles 1..n whose sizes differ by one row at most."""
     ranked = global_rank(df, *order, name="_rank")
