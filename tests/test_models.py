@@ -2,11 +2,13 @@
 
 import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from tillwise import model
 from tillwise.ml import classify, cluster, evaluate, prepare, promote, regress, score
+from tillwise.ml.kernel import FourierMap
 from tillwise.session import materialise
 
 GATES = [
@@ -326,3 +328,27 @@ def test_tree_splits_centred_columns(spark, partitions):
     rows = (rows - rows.mean(axis=0)) / rows.std(axis=0)
     df = scaled_rows(spark, rows).repartition(partitions)
     assert cluster.fit_bisecting(df, 6).transform(df).select("cluster").distinct().count() == 6
+
+
+@pytest.mark.parametrize("features", [64, 1024])
+def test_fourier_map_approaches_the_kernel(spark, features):
+    r = np.random.default_rng(7)
+    rows = r.normal(size=(60, 4))
+    mapped = FourierMap(inputCol="scaled", outputCol="f", width=4, features=features, gamma=0.3).transform(scaled_rows(spark, rows))
+    got = np.array([x["f"].toArray() for x in mapped.orderBy("id").collect()])
+    kernel = np.exp(-0.3 * ((rows[:, None] - rows[None]) ** 2).sum(axis=2))
+    off = (got @ got.T - kernel)[np.triu_indices(60, 1)]
+    assert np.sqrt((off**2).mean()) <= 1.2 / np.sqrt(features)
+
+
+def test_kernel_margin_separates_rings(spark, tmp_path):
+    r = np.random.default_rng(8)
+    angle, ring = r.uniform(0, 2 * np.pi, 400), np.arange(400) % 2
+    at = np.stack([np.cos(angle), np.sin(angle)], axis=1) * np.where(ring, 2.0, 0.7)[:, None] + r.normal(0, 0.1, (400, 2))
+    df = scaled_rows(spark, at).withColumn("label", (F.col("id") % 2).cast("double")).withColumn("weight", F.lit(1.0))
+    right = lambda fitted: fitted.transform(df).where("prediction = label").count() / 400
+    assert right(classify.margin_model().fit(df)) < 0.75
+    fitted = classify.kernel_margin_model(2, 128).fit(df)
+    assert right(fitted) > 0.98
+    fitted.write().overwrite().save(str(tmp_path / "kernel"))
+    assert right(PipelineModel.load(str(tmp_path / "kernel"))) == right(fitted)

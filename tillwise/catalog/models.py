@@ -280,10 +280,11 @@ def m13(t):
     return scores.select("model", *[F.round(c, 9).alias(c) for c in ("accuracy", "f1_macro", "f1_weighted")], "n")
 
 
-@query("m14_margin_model", _scored_sql("margin"))
+@query("m14_margin_model", _scored_sql("margin", "kernel margin"))
 def m14(t):
     train, test, _ = classify.prepare(_features(t))
-    return _scored(classify.compare(train, test, {"margin": classify.margin_model()}))
+    kernel = classify.kernel_margin_model(len(model.BEHAVIOUR))
+    return _scored(classify.compare(train, test, {"margin": classify.margin_model(), "kernel margin": kernel}))
 
 
 def _searched(t, name, grid):

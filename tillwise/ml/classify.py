@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tillwise.functions.columns import sample_order
 from tillwise.ml.evaluate import F1Macro, classification_metrics, confusion
+from tillwise.ml.kernel import FourierMap
 from tillwise.ml.prepare import SCALED, fit_behaviour
 from tillwise.operators.cleaning import require
 from tillwise.operators.neighbours import nearest
@@ -109,10 +110,17 @@ def balanced_models(seed: int = 42) -> dict:
     }
 
 
-def margin_model() -> OneVsRest:
+def margin_model(column: str = SCALED) -> OneVsRest:
     """Linear large-margin classifier per class against the rest, on weighted rows."""
-    machine = LinearSVC(featuresCol=SCALED, labelCol="label", weightCol="weight", maxIter=1000, regParam=0.001)
-    return OneVsRest(classifier=machine, featuresCol=SCALED, labelCol="label", weightCol="weight")
+    machine = LinearSVC(featuresCol=column, labelCol="label", weightCol="weight", maxIter=1000, regParam=0.001)
+    return OneVsRest(classifier=machine, featuresCol=column, labelCol="label", weightCol="weight")
+
+
+def kernel_margin_model(width: int, features: int = 256, gamma: float | None = None, seed: int = 42) -> Pipeline:
+    """The margin classifier under a radial kernel, by way of a map; by default gamma is 1 / ``width``, as columns have variance one."""
+    gamma = 1 / width if gamma is None else gamma
+    mapped = FourierMap(inputCol=SCALED, outputCol="fourier", width=width, features=features, gamma=gamma, seed=seed)
+    return Pipeline(stages=[mapped, margin_model("fourier")])
 
 
 def boosted_model(weighted: bool, rounds: int = 100, depth: int = 6, seed: int = 42) -> OneVsRest:
