@@ -10,6 +10,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+from collections.abc import Iterator
 from functools import cache
 from itertools import batched, chain, islice
 
@@ -17,6 +18,8 @@ import pyarrow as pa
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from tillwise.llm import common
 
@@ -156,7 +159,12 @@ def codec(name: str, pattern: str) -> Codec:
 
 
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """Every row with ``n_tokens`` and ``ids`` (array<int>) in place of its text; null texts are empty, without ids."""
+    """Every row with ``n_tokens`` and ``ids`` (array<int>) in place of its text and of columns of these names, in whatever case.
+
+    Null texts are empty, without ids; rows that are repeated, or have no doc_id, are encoded like others. A text longer than a slice is met part
+    by part, but its ids are held at once.
+    """
+    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("n_tokens", "ids")])
     name = shipped(docs.sparkSession, path)
 
     def make():
@@ -173,16 +181,19 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """Every row with the bytes that its ``ids`` stand for (``decoded``) in their place; null ids give no bytes."""
-    from pyspark.sql.functions import pandas_udf
-
     name = shipped(encoded.sparkSession, path)
 
-    @pandas_udf("binary")
-    def decoded(ids):
+    kept = encoded.drop("decoded", "ids")
+    names, out = kept.columns, StructType([*kept.schema, StructField("decoded", BinaryType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(name, "")
-        return ids.map(lambda x: b"" if x is None else own.decode(x.tolist()))
+        for batch in batches:
+            found = [b"" if x is None else own.decode(x) for x in batch.column("ids").to_pylist()]
+            columns = [batch.column(c) for c in names]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.binary())], names=out.names)
 
-    return encoded.withColumn("decoded", decoded("ids")).drop("ids")
+    return encoded.mapInArrow(run, out)
 
 
 def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:

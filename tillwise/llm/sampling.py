@@ -180,11 +180,12 @@ def against_next(docs: DataFrame) -> DataFrame:
 
     walked = materialise(ordered.mapInArrow(walk, f"doc_id long, part int, kind int, text string, {_FOUND}"), "walked")
     # two rows a range: its first (kind 0) and its last (kind 1), which the first of the next range follows
-    ends = walked.where("kind < 2").select("doc_id", "part", "kind", "text")
-    line = Window.orderBy("part", "kind")
-    whole = line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    follows = F.coalesce(F.lead("text").over(line), F.first("text").over(whole))
-    lasts = ends.withColumn("follows", follows).where("kind = 1").select("doc_id", "text", "follows")
+    firsts = walked.where("kind = 0").select(F.col("part").alias("next"), F.col("text").alias("follows"))
+    parts = firsts.select(F.col("next").alias("part"))  # a number for each range; texts don't pass the window
+    begin = parts.agg(F.min("part")).scalar()
+    after = parts.select("part", F.coalesce(F.lead("part").over(Window.orderBy("part")), begin).alias("next"))
+    lasts = walked.where("kind = 1").select("doc_id", "part", "text")
+    lasts = lasts.join(after, "part").join(firsts, "next").select("doc_id", "text", "follows")
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = Sampler()
