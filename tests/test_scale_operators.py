@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tillwise.operators import analysis, drift, features, ranking, retrieval, sketches
+from tillwise.operators import analysis, drift, features, inverted, ranking, retrieval, sketches
 from tillwise.operators.neighbours import nearest
 from tillwise.operators.quantiles import exact_quantiles
 
@@ -257,3 +257,30 @@ def test_day_sketches_merge_to_those_of_all_days(spark):
     both = sketches.in_both(stored.where("t_dat < 10"), stored.where("t_dat >= 10")).first()
     assert abs(both.in_both - len(early & late)) <= sketches.COUNT_ERROR * len(early | late)
     assert sketches.estimates(stored.limit(0)).first().n is None
+
+
+def test_inverted_file_finds_neighbours_and_leaves_out_what_has_no_direction(spark, monkeypatch):
+    monkeypatch.setattr(inverted, "BLOCK", 60)
+    monkeypatch.setattr(inverted, "QUERIES", 7)
+    r = np.random.default_rng(9)
+    rows = [(i, [float(x) for x in r.normal(size=16)]) for i in range(400)]
+    rows += [(1000 + i, rows[3][1]) for i in range(150)]  # a hot cell of copies
+    rows += [(2000, [0.0] * 16), (2001, None)]
+    corpus = spark.createDataFrame(rows, "vec_id BIGINT, embedding ARRAY<DOUBLE>")
+    probe = corpus.where("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id")
+    index = inverted.build(corpus, cells=8, parts=4, codes=32)
+    assert index.rows.count() == 550 and index.rows.groupBy("cell", "block").count().agg(F.max("count")).first()[0] < 150
+    found = inverted.search(index, probe, n=3, probes=8, keep=60, skip_self=True).collect()
+    exact = {(x.query_id, x.vec_id): x.similarity for x in retrieval.search(probe, corpus.where("vec_id < 2000"), n=600, threshold=-1.0).collect()}
+    best = {}
+    for (q, v), s in exact.items():
+        if q != v:
+            best.setdefault(q, []).append((-s, v))
+    got = {}
+    for x in found:
+        assert x.query_id != x.vec_id and abs(x.similarity - exact[x.query_id, x.vec_id]) < 1e-9
+        got.setdefault(x.query_id, set()).add(x.similarity)
+    hits = [round(-s, 9) in {round(v, 9) for v in got[q]} for q in best if q < 2000 for s, _ in sorted(best[q])[:3]]
+    assert np.mean(hits) >= 0.9
+    assert inverted.search(inverted.build(corpus.limit(0)), probe).count() == 0
+    assert inverted.search(index, probe.limit(0)).count() == 0

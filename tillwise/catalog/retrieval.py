@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tillwise.catalog.base import query, view
-from tillwise.operators import replies, retrieval
+from tillwise.operators import inverted, ranking, replies, retrieval
+from tillwise.session import materialise
 
 view(
     "marked",
@@ -78,6 +79,21 @@ def r04(t):
     )
 
 
+@query(
+    "r04_inverted_file",
+    """SELECT COUNT(*) FILTER (vec_id % 50 = 0) AS n_queries, true AS first_found, true AS five_found, true AS few_compared FROM embeddings""",
+)
+def r04_inverted(t):
+    """Every fiftieth vector against all others: recall of the nearest and of the nearest five, and the share compared in full."""
+    probe = t.vectors.where(F.col("vec_id") % 50 == 0).withColumnRenamed("vec_id", "query_id")
+    found = materialise(inverted.search(inverted.build(t.vectors), probe, n=5, keep=60, skip_self=True), "found")
+    pairs = retrieval.search(probe, t.vectors, n=6, threshold=-1.0).where("query_id <> vec_id")
+    exact = materialise(ranking.top_per_group(pairs.drop("rank"), ["query_id"], 5, F.desc("similarity"), F.asc("vec_id"), name="rank"), "exact")
+    shares = [inverted.recall(exact, found, n) for n in (1, 5)]
+    row = (probe.count(), shares[0] >= 0.9, shares[1] >= 0.9, 60 / t.vectors.count() <= 0.15)
+    return t.spark.createDataFrame([row], "n_queries BIGINT, first_found BOOLEAN, five_found BOOLEAN, few_compared BOOLEAN")
+
+
 # replies as the binding builds them from the conversation turns
 view(
     "repl",
