@@ -6,7 +6,7 @@ import math
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from tillwise import model
 from tillwise.catalog.base import query, view
@@ -85,7 +85,7 @@ def m02(t):
 
 @query(
     "m03_kmeans_sweep",
-    "SELECT k, true AS less_than_one_cluster, true AS silhouette_in_range FROM range(2, 11) r(k)",
+    "SELECT k, true AS inertia_of_labels, true AS less_than_before, true AS silhouette_in_range FROM range(2, 11) r(k)",
 )
 def m03(t):
     vectors = _vectors(t).persist()
@@ -95,26 +95,34 @@ def m03(t):
         swept = cluster.sweep(vectors, range(2, 11))
     finally:
         vectors.unpersist()
+    before = F.coalesce(F.lag("inertia").over(Window.orderBy("k")), F.lit(float(whole)))  # nine rows
     return swept.select(
         "k",
-        F.col("inertia").between(0, whole).alias("less_than_one_cluster"),
+        # the cost is measured before the centres move for the last time
+        (F.abs(F.col("inertia") - F.col("within")) <= 0.01 * F.col("within")).alias("inertia_of_labels"),
+        (F.col("inertia") < before).alias("less_than_before"),
         F.col("silhouette").between(-1, 1).alias("silhouette_in_range"),
     )
 
 
 @query(
     "m04_choice_of_k",
-    "SELECT unnest(['elbow', 'silhouette', 'bic', 'aic']) AS criterion, true AS among_candidates",
+    "SELECT unnest(['elbow', 'silhouette', 'bic', 'aic']) AS criterion, true AS is_best",
 )
 def m04(t):
     vectors = _vectors(t).persist()
     try:
         swept = cluster.sweep(vectors, range(2, 11))
-        chosen = cluster.choose_k(swept, cluster.mixture_criteria(vectors, range(2, 11)))
+        criteria = cluster.mixture_criteria(vectors, range(2, 11))
+        chosen = cluster.choose_k(swept, criteria)
     finally:
         vectors.unpersist()
-    rows = t.spark.createDataFrame(list(chosen.items()), "criterion STRING, k INT")
-    return rows.select("criterion", F.coalesce(F.col("k").between(2, 10), F.col("criterion") == "elbow").alias("among_candidates"))
+    best = swept.join(criteria, "k").agg(
+        F.max_by("k", "silhouette").alias("silhouette"), F.min_by("k", "bic").alias("bic"), F.min_by("k", "aic").alias("aic")
+    ).first()
+    right = {c: chosen[c] == best[c] for c in ("silhouette", "bic", "aic")}
+    right["elbow"] = chosen["elbow"] is None or 2 < chosen["elbow"] < 10  # never an end of the curve
+    return t.spark.createDataFrame(list(right.items()), "criterion STRING, is_best BOOLEAN")
 
 
 @query(
@@ -191,15 +199,25 @@ def m08(t):
 
 @query(
     "m09_segmentation",
-    "SELECT CAST(6 AS BIGINT) AS k, n AS n_samples, true AS silhouette_in_range, true AS less_than_one_cluster FROM sizes",
+    """SELECT CAST(6 AS BIGINT) AS k, n AS n_samples, CAST(6 AS BIGINT) AS n_labels, true AS silhouette_in_range, true AS inertia_of_labels,
+  true AS less_than_two_thirds FROM sizes""",
 )
 def m09(t):
-    _, metrics = cluster.train_segmentation(_features(t))
-    n = metrics["n_samples"]
-    row = (metrics["k"], n, -1 <= metrics["silhouette_score"] <= 1, 0 < metrics["inertia"] < n * len(model.BEHAVIOUR))
-    return t.spark.createDataFrame(
-        [row], "k INT, n_samples BIGINT, silhouette_in_range BOOLEAN, less_than_one_cluster BOOLEAN"
+    """The model, applied to the features anew, gives the sum of squares that its metrics tell."""
+    rows = _features(t)
+    fitted, metrics = cluster.train_segmentation(rows)
+    labelled = fitted.transform(rows)
+    spread, n = cluster.within(labelled), metrics["n_samples"]
+    row = (
+        metrics["k"],
+        n,
+        labelled.select("cluster").distinct().count(),
+        -1 <= metrics["silhouette_score"] <= 1,
+        abs(spread - metrics["inertia"]) <= 0.01 * spread,
+        spread < n * len(model.BEHAVIOUR) * 2 / 3,  # one cluster has n times the columns
     )
+    kinds = "k INT, n_samples BIGINT, n_labels BIGINT, silhouette_in_range BOOLEAN, inertia_of_labels BOOLEAN, less_than_two_thirds BOOLEAN"
+    return t.spark.createDataFrame([row], kinds)
 
 
 @query(

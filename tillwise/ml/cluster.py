@@ -51,12 +51,13 @@ def silhouette(clustered: DataFrame) -> float:
 
 
 def sweep(vectors: DataFrame, ks: range, restarts: int = 10) -> DataFrame:
-    """Inertia and silhouette for every k."""
+    """Inertia, the sum of squares that the labels themselves have, and silhouette for every k."""
     rows = []
     for k in ks:
         fitted = fit_kmeans(vectors, k, restarts)
-        rows.append((k, float(fitted.summary.trainingCost), silhouette(fitted.transform(vectors))))
-    return vectors.sparkSession.createDataFrame(rows, "k INT, inertia DOUBLE, silhouette DOUBLE")
+        labelled = fitted.transform(vectors)
+        rows.append((k, float(fitted.summary.trainingCost), within(labelled), silhouette(labelled)))
+    return vectors.sparkSession.createDataFrame(rows, "k INT, inertia DOUBLE, within DOUBLE, silhouette DOUBLE")
 
 
 def mixture_criteria(vectors: DataFrame, ks: range, seed: int = 42) -> DataFrame:
