@@ -15,7 +15,7 @@ import tiktoken
 import xxhash
 from pyspark.sql import functions as F
 
-from tillwise.llm import ann, bpe, common, language, mixing, quality, sampling, secrets, simhash, toxicity, urls
+from tillwise.llm import ann, bpe, common, language, mixing, quality, sampling, secrets, shingles, simhash, toxicity, urls
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 ODD_TEXTS = [None, "", " ", "a", "a a a a", "é中😀 \u2028\x1c x", "W\tX\nY\x0bZ\x0cA\rB", "repeat " * 3000, "x" * 20000, "a", "a"]
@@ -455,9 +455,9 @@ def test_encoding_equals_the_library(spark, monkeypatch):
 
 
 def test_encode_and_decode_round_trip(spark, nothing):
-    df = frame(spark, ODD_TEXTS, extra=False)
-    encoded = bpe.encode(df, RANKS, public_tokenizers.PATTERN)
-    assert encoded.columns == ["doc_id", "n_tokens", "ids"]
+    df = frame(spark, ODD_TEXTS)  # with columns ids and n_tokens, which the operator's own replace
+    encoded = bpe.encode(df.withColumn("decoded", F.lit("clash")), RANKS, public_tokenizers.PATTERN)
+    assert encoded.columns[-2:] == ["n_tokens", "ids"] and len(set(encoded.columns)) == len(encoded.columns)
     decoded = bpe.decode(encoded, RANKS).collect()
     want = dict(enumerate(ODD_TEXTS)) | {None: "no id"}
     assert all(bytes(r["decoded"]) == plain(want[r["doc_id"]]) for r in decoded)
@@ -700,13 +700,12 @@ def test_deduplicate_finds_copies_of_similarity_08(spark):
     assert sorted(x["doc_id"] for x in got) == plain_copies(texts)
 
 
-def test_deduplicate_of_a_crowded_bucket(spark, monkeypatch):
+def test_deduplicate_of_a_crowded_bucket(spark):
     """A large group, most of whose texts are alike only to some others, still leaves no two that are alike."""
-    monkeypatch.setattr(simhash.shingles, "CROWD", 3)
     r = random.Random(9)
     words = r.choices(VOCABULARY, k=250)
     texts = [" ".join(edited(r, words, r.choice((0.005, 0.02, 0.04)))) for _ in range(60)]
-    got = sorted(x["doc_id"] for x in simhash.deduplicate(frame(spark, texts)).where(F.col("doc_id") < len(texts)).collect())
+    got = sorted(x["doc_id"] for x in simhash.deduplicate(frame(spark, texts), crowd=3, large=8, few=2).where(F.col("doc_id") < len(texts)).collect())
     assert not any(jaccard(texts[i], texts[j]) >= 0.8 for i in got for j in got if i < j)
     assert set(plain_copies(texts)) <= set(got)
 
@@ -716,3 +715,88 @@ def test_deduplicate_judges_rows_that_share_an_id_by_their_texts(spark):
     rows = [(3, a), (7, b), (7, a), (8, c), (8, d), (9, e), (9, e), (9, a)]
     got = simhash.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((x["doc_id"], x["text"]) for x in got) == sorted([(3, a), (7, b), (8, c), (8, d), (9, e)])
+
+
+def pairs_met(spark, texts, crowd=64, large=512):
+    """Of texts by id: pairs that the exact join lets through."""
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "key long, text string").withColumn("doc_id", F.col("key"))
+    marked = common.over_texts(df, lambda: shingles.marks, shingles.MARKS).withColumn("least", F.col("key"))
+    buckets = marked.select("key", "n", F.explode("first").alias("band"))
+    return {(x["a"], x["b"]) for x in shingles.joined(buckets, marked, df, crowd, large).collect()}
+
+
+@pytest.mark.parametrize("crowd,large", [(64, 512), (3, 10), (1, 1)])
+def test_shingle_join_loses_no_pair(spark, crowd, large):
+    r = random.Random(11)
+    line = " ".join(r.choices(VOCABULARY, k=30))
+    words = r.choices(VOCABULARY, k=120)
+    texts = [" ".join(edited(r, words, r.choice((0.01, 0.03, 0.05)))) for _ in range(40)]
+    texts += [line + " " + " ".join(r.choices(VOCABULARY, k=r.choice((3, 5, 20)))) for _ in range(60)]
+    texts += ["a b", "a  B", "a b c", "", " ", "a b c d e f", "a b c d e f g"]
+    want = {
+        (i, j)
+        for j in range(len(texts)) for i in range(j)
+        if shingles.alike(shingles.hashed(texts[i].encode()), shingles.hashed(texts[j].encode()))
+    }
+    long_ = [(i, j) for i, j in want if min(len(texts[i].split()), len(texts[j].split())) >= 5]
+    assert all(jaccard(texts[i], texts[j]) >= 0.8 for i, j in long_) and len(long_) > 50
+    assert want <= pairs_met(spark, texts, crowd, large)
+
+
+def test_a_common_line_makes_no_pairs_of_unlike_texts(spark):
+    """2,000 texts of one line and some words of their own: candidates stay in proportion to texts."""
+    r = random.Random(12)
+    line = " ".join(r.choices(VOCABULARY, k=40))
+    texts = [line + " " + " ".join(r.choices(VOCABULARY, k=15)) for _ in range(2000)]
+    copies = [t + " end" for t in texts[:50]]
+    met = pairs_met(spark, texts + copies)
+    assert {(i, 2000 + i) for i in range(50)} <= met and len(met) < 200
+    got = simhash.deduplicate(spark.createDataFrame(list(enumerate(texts + copies)), "doc_id long, text string"))
+    assert sorted(x["doc_id"] for x in got.select("doc_id").collect()) == list(range(2000))
+
+
+def test_parities_never_reject_a_true_pair():
+    r = np.random.default_rng(13)
+    for _ in range(300):
+        base = r.integers(-(1 << 62), 1 << 62, int(r.integers(1, r.choice([5, 400, 5000]))))
+        other = np.unique(np.r_[base[: int(len(base) * r.uniform(0.7, 1))], r.integers(-(1 << 62), 1 << 62, int(r.integers(0, 60)))])
+        base = np.unique(base)
+        far = shingles.apart([shingles.parities(base)], [shingles.parities(other)])
+        assert far[0] <= len(np.setxor1d(base, other))
+        close = shingles.possible(np.array([len(base)]), np.array([len(other)]), far)[0]
+        assert close or not shingles.alike(base, other)
+        new = np.unique(r.integers(-(1 << 62), 1 << 62, len(base)))
+        if len(base) > 100:  # and tell apart what has nothing in common, however long
+            far = shingles.apart([shingles.parities(base)], [shingles.parities(new)])
+            assert not shingles.possible(np.array([len(base)]), np.array([len(new)]), far)[0]
+
+
+def soft_table(spark, seed, n, k):
+    r = np.random.default_rng(seed)
+    tokens, parts = r.integers(0, 400, n), r.dirichlet([0.7] * k, n) * 0.6 + 0.4 / k
+    rows = [(i, int(t), 1.0, *map(float, p)) for i, (t, p) in enumerate(zip(tokens, parts))]
+    return spark.createDataFrame(rows, "doc_id long, n_tokens long, rate double, " + ", ".join(f"p{i} double" for i in range(k))), tokens, parts
+
+
+def test_soft_members_meet_reachable_targets(spark):
+    table, tokens, parts = soft_table(spark, 1, 400, 6)
+    wanted = np.abs(np.random.default_rng(2).normal(1, 0.8, 400)) * tokens  # some rates meet it
+    goal = (wanted @ parts).tolist()
+    rated, reached = mixing.fitted(table, goal)
+    assert max(mixing.misses(reached, goal)) <= mixing.CLOSE
+    rates = {x["doc_id"]: x["rate"] for x in rated.collect()}
+    assert min(rates.values()) >= 0
+    assert np.allclose((np.array([rates[i] for i in range(400)]) * tokens) @ parts, reached)
+
+
+def test_targets_out_of_reach_are_missed_as_little_as_can_be(spark):
+    table, tokens, parts = soft_table(spark, 3, 150, 3)
+    goal = [float(tokens.sum()), 0.0, 0.0]  # every document has a part in each domain
+    _, reached = mixing.fitted(table, goal)
+    # dense: nonnegative least squares by many plain projected steps
+    a = parts * tokens[:, None]
+    x, step = np.ones(len(a)), 1 / np.linalg.norm(a, 2) ** 2
+    for _ in range(200_000):
+        x = np.maximum(0, x - step * (a @ (a.T @ x - goal)))
+    least = ((a.T @ x - goal) ** 2).sum()
+    assert ((np.array(reached) - goal) ** 2).sum() <= least * 1.01

@@ -28,12 +28,13 @@ def remainder(key: str, by: int) -> Column:
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit(""))) % by
 
 
-def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """The batch in parts of at most ``SLICE_BYTES`` of ``column`` each, or one row."""
+def slices(batch: pa.RecordBatch, column: str, most: int | None = None) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of at most ``SLICE_BYTES`` (or ``most``) of ``column`` each, or one row."""
+    most = SLICE_BYTES if most is None else most
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     start, held = 0, 0
     for i, size in enumerate(sizes):
-        if i > start and held + size > SLICE_BYTES:
+        if i > start and held + size > most:
             yield batch.slice(start, i - start)
             start, held = i, 0
         held += int(size)
@@ -144,3 +145,8 @@ def fresh(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def narrowed(df: DataFrame, small: DataFrame, on: str, how: str = "left_semi", rows: int = 1 << 18) -> DataFrame:
+    """``df`` joined with stored rows of unique longs, which are counted, and broadcast if they are at most ``rows``."""
+    return df.join(F.broadcast(small) if small.count() <= rows else small, on, how)

@@ -241,75 +241,90 @@ def groups(docs: DataFrame) -> DataFrame:
     )
 
 
-def near_copies(distinct: DataFrame, texts: DataFrame) -> DataFrame:
-    """key and root (shared by linked texts) of every row of ``distinct``: key, least (doc_id), fp and bands.
+def standing(distinct: DataFrame, found: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """key, least and root (shared by texts that the links found connect) of each text, and the key of the one of a root that stands for it."""
+    if found is None:
+        roots = distinct.select("key", "least", F.col("key").alias("root"))
+        return roots, roots.select("key")
+    roots = materialise(
+        distinct.join(components(found), F.col("key") == F.col("node"), "left").select("key", "least", F.coalesce("root", "key").alias("root")),
+        "roots",
+    )
+    sole = roots.groupBy("root").agg(F.min_by("key", F.struct(F.col("least").isNull(), "least", "key")).alias("key"))
+    return roots, materialise(sole.select("key"), "standing")
+
 
-    Fingerprints within ``MOST_BITS`` and shared bands name the candidates, and only pairs of which five-word shingles
-    agree to 0.8 are links. Of crowded buckets only neighbours are compared at first; what then still stands for a group
-    of its own is compared again, until nothing new is found, and at last pair by pair. So no two texts that
-    stay in the end are alike and share a bucket.
+def near_copies(
+    distinct: DataFrame, texts: DataFrame, crowd: int = shingles.CROWD, large: int = shingles.LARGE, few: int = shingles.FEW, rounds: int = 2
+) -> DataFrame:
+    """key, least and root (shared by texts that links connect) of every row of ``distinct`` (key, least, fp, n, bits, first; see ``shingles.marks``).
+
+    Links are pairs whose five-word shingles agree to 0.8. Groups of copies are taken together first, by fingerprints within ``MOST_BITS`` and by
+    the first four shingles, along spanning pairs; then the texts that stand for a group, or alone, are joined exactly. So no two texts that
+    stand in the end are alike. ``texts`` has doc_id, key and text of all rows.
     """
     of = distinct.groupBy("fp").agg(F.min("key").alias("key"))
     near = links(of)
     for side in ("a", "b"):
         near = near.join(of.select(F.col("fp").alias(side), F.col("key").alias(f"key_{side}")), side)
-    close = near.select(F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b"))
-    buckets = distinct.select("key", F.explode(F.concat("bands", F.array("fp"))).alias("band"))
-    found = materialise(shingles.verified(shingles.candidates(buckets).unionByName(close), texts), "alike")
-    whole = False
-    while True:
-        roots = materialise(
-            distinct.join(components(found), F.col("key") == F.col("node"), "left").select(
-                "key", "least", F.coalesce("root", "key").alias("root")
-            ),
-            "roots",
-        )
-        if whole:
-            return roots
-        sole = roots.groupBy("root").agg(F.min_by("key", F.struct(F.col("least").isNull(), "least", "key")).alias("key"))
-        standing = buckets.join(sole.select("key"), "key", "left_semi")
-        crowded = buckets.groupBy("band").count().where(F.col("count") > shingles.CROWD).select("band")
-        buckets = materialise(standing.join(crowded, "band", "left_semi").select("key", "band"), "crowded")
-        if buckets.isEmpty():
-            return roots
-        new = materialise(shingles.verified(shingles.candidates(buckets), texts), "alike")
-        if new.isEmpty():  # the order in a bucket is fixed: neighbours say nothing more, so all pairs are compared
-            new, whole = materialise(shingles.verified(shingles.candidates(buckets, whole=True), texts), "alike"), True
-        found = found.unionByName(new)
-
-
-def deduplicate(docs: DataFrame) -> DataFrame:
+    near = near.select(F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b"))
+
+    found, (roots, alone) = None, standing(distinct, None)
+    for turn in range(rounds):
+        marked = common.narrowed(distinct, alone, "key") if turn else distinct
+        buckets = marked.select("key", "n", F.explode(F.slice("first", 1, 4)).alias("band"))
+        pairs = shingles.meeting(buckets, few, neighbours=True).select("a", "b")
+        pairs = pairs.unionByName(near) if not turn else pairs
+        new = materialise(shingles.verified(shingles.nearest(shingles.screened(pairs, marked)), texts, distinct), "alike")
+        found = new if found is None else found.unionByName(new)
+        roots, alone = standing(distinct, found)
+
+    marked = common.narrowed(distinct, alone, "key")
+    buckets = marked.select("key", "n", F.explode("first").alias("band"))
+    pairs = materialise(shingles.joined(buckets, marked, texts, crowd, large), "pairs")
+    new = materialise(shingles.verified(shingles.nearest(pairs), texts, distinct), "alike")
+    found = found.unionByName(new)
+    roots, alone = standing(distinct, found)
+    for side in ("a", "b"):  # what spanning pairs have not brought together is compared pair by pair
+        pairs = common.narrowed(pairs, alone.select(F.col("key").alias(side)), side)
+    new = materialise(shingles.verified(pairs, texts, distinct), "alike")
+    return roots if new.isEmpty() else standing(distinct, found.unionByName(new))[0]
+
+
+def deduplicate(docs: DataFrame, crowd: int = shingles.CROWD, large: int = shingles.LARGE, few: int = shingles.FEW) -> DataFrame:
     """The documents of which each group of near copies keeps one, the one with the smallest doc_id; of repeated rows of it, one.
 
-    Near copies share 0.8 of their five-word shingles. Rows are judged by id and text: rows that share an id but no group
-    are kept or dropped each by its own group. Rows without id can't be told apart and all stay. All columns stay.
+    Near copies share 0.8 of their five-word shingles; texts of fewer words are copies if their words are the same, and all texts without words, null
+    ones among them, are one text. Rows are judged by id and text: rows that share an id but no group
+    are kept or dropped each by its own group. Rows without id can't be told apart and all stay. All columns stay. Texts are told apart by
+    64-bit hashes; a long text costs a task its words and shingles, eight bytes each.
     """
 
     def make():
         def of(texts: list[bytes]) -> list:
-            fp = np.array([fingerprint(t) for t in texts], dtype=np.uint64).view(np.int64)
-            return [fp, pa.array([shingles.bands(t) for t in texts], pa.list_(pa.int64()))]
+            return [np.array([fingerprint(t) for t in texts], dtype=np.uint64).view(np.int64), *shingles.marks(texts)]
 
         return of
 
     texts = common.documents(docs).withColumn("key", F.xxhash64("text"))
-    stored = materialise(common.over_texts(texts, make, "fp long, bands array<long>"), "marks")
-    distinct = stored.groupBy("key").agg(F.min("doc_id").alias("least"), F.any_value("fp").alias("fp"), F.any_value("bands").alias("bands"))
-    roots = near_copies(materialise(distinct, "distinct"), texts.select("key", "text"))
-    smallest = roots.groupBy("root").agg(F.min("least").alias("component_id"))
-    known = roots.select("key", "root").join(smallest, "root")
-    rows = stored.where(F.col("doc_id").isNotNull()).groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("n"))
-    judged = materialise(rows.join(known, "key"), "judged")
+    made = common.over_texts(texts, make, f"fp long, {shingles.MARKS}")
+    stored = materialise(made.withColumn("at", F.monotonically_increasing_id()), "marks")
+    # rows of a text are added up before anything travels, and one of them stands for all
+    texts_once = materialise(stored.groupBy("key").agg(F.min("doc_id").alias("least"), F.min("at").alias("at")), "texts")
+    distinct = materialise(common.narrowed(stored.drop("doc_id", "key"), texts_once, "at", "inner").drop("at"), "distinct")
+    roots = near_copies(distinct, texts, crowd, large, few)
+    smallest = roots.groupBy("root").agg(F.min("least").alias("least"))
+    keepers = materialise(roots.join(smallest, ["root", "least"]).select(F.col("least").alias("doc_id"), "key", "root"), "keepers")
 
     own, text, place = (common.fresh(docs, c) for c in ("judged_id", "judged_text", "judged_root"))
     named = [F.col("doc_id").alias(own), F.col("key").alias(text)]
-    gone = judged.where(F.col("component_id") != F.col("doc_id")).select(named)
     id_, hashed = F.col("doc_id").cast("long"), F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
     same = (id_ == F.col(own)) & (hashed == F.col(text))
-    kept = docs.join(gone.hint("shuffle_hash"), same, "left_anti")
-    several = judged.where(F.col("component_id") == F.col("doc_id")).groupBy("doc_id", "root").agg(F.sum("n").alias("rows"))
-    several = several.where(F.col("rows") > 1).select("doc_id", "root")
-    again = materialise(judged.join(several, ["doc_id", "root"], "left_semi").select(*named, F.col("root").alias(place)), "repeated")
+    kept = docs.join(keepers.select(named).hint("shuffle_hash"), same, "left_semi")
+    kept = kept.unionByName(docs.where(F.col("doc_id").isNull()))
+    rows = stored.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("n")).join(keepers, ["doc_id", "key"])
+    several = rows.groupBy("doc_id", "root").agg(F.sum("n").alias("rows")).where(F.col("rows") > 1).select("doc_id", "root")
+    again = materialise(keepers.join(several, ["doc_id", "root"], "left_semi").select(*named, F.col("root").alias(place)), "repeated")
     if again.isEmpty():
         return kept
     # only rows that share an id and a group are gathered, and the first of each in the order of their content stays
