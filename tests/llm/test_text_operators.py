@@ -800,3 +800,21 @@ def test_targets_out_of_reach_are_missed_as_little_as_can_be(spark):
         x = np.maximum(0, x - step * (a @ (a.T @ x - goal)))
     least = ((a.T @ x - goal) ** 2).sum()
     assert ((np.array(reached) - goal) ** 2).sum() <= least * 1.01
+
+
+def test_weighted_draws_equal_the_plain_formula_and_weights_of_one_are_kept():
+    """Fingerprints of bags with weights of one and more are those of the formula, whose value at a weight of one is made once a term."""
+    bags = [{b"a": 1, b"b": 3, b"c": 1}, {b"b": 1, b"d": 7}, {}, {b"%d" % i: 1 + i % 2 for i in range(sampling.AT_ONCE + 50)}]
+    sampler = sampling.Sampler()
+    found = sampler.fingerprints(bags)
+    for bag, print_ in zip(bags, found):
+        if not bag:
+            assert not print_.any()
+            continue
+        log_c, r, beta = sampling.draws(np.array([xxhash.xxh64_intdigest(t) for t in bag], dtype=np.uint64))
+        weight = np.array(list(bag.values()), np.float32)[:, None]
+        value = log_c - r * (np.floor(np.log(weight) / r + beta) - beta + np.float32(1))
+        least = value.min(axis=0).view(np.uint32).astype(np.uint64)
+        assert (print_ == (sampling.mix(least) >> np.uint64(48)).astype(np.uint16)).all()
+    log_c, r, beta = sampling.draws(np.array([xxhash.xxh64_intdigest(b"a")], dtype=np.uint64))
+    assert (sampler.once[sampler.slots[b"a"]] == (log_c - r * (1 - beta))[0]).all()

@@ -23,7 +23,9 @@ from tillwise.session import materialise
 
 SAMPLES = 64
 #: Terms whose random numbers a task keeps (768 bytes each), and weighted terms that it draws from at once.
-KEPT, AT_ONCE = 1 << 16, 1 << 14
+KEPT, AT_ONCE = 1 << 16, 1 << 12
+#: New terms whose random numbers are drawn together: their arrays stay in a processor's cache.
+DRAWN = 256
 #: Bytes of text that are fingerprinted together.
 CHUNK = 1 << 19
 
@@ -33,9 +35,12 @@ _EXPONENTIAL = -np.log((np.arange(65536) + 0.5) / 65536)
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers without visible order (the finaliser of splitmix64)."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> np.uint64(30))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def draws(hashes: np.ndarray) -> np.ndarray:
@@ -44,8 +49,12 @@ def draws(hashes: np.ndarray) -> np.ndarray:
     bits = x.view(np.uint16).reshape(len(hashes), SAMPLES, 4)
     r = _EXPONENTIAL[bits[:, :, 0]] + _EXPONENTIAL[bits[:, :, 1]]
     c = _EXPONENTIAL[bits[:, :, 2]] + _EXPONENTIAL[bits[:, :, 3]]
-    beta = (mix(x + np.uint64(1)) >> np.uint64(40)).astype(np.float64) / (1 << 24)
-    return np.stack([np.log(c), r, beta]).astype(np.float32)
+    out = np.empty((3, *x.shape), np.float32)
+    out[0] = np.log(c, out=c)
+    out[1] = r
+    # 24 bits, which a float32 holds exactly
+    np.multiply(mix(x + np.uint64(1)) >> np.uint64(40), np.float32(2.0**-24), out=out[2], casting="unsafe", dtype=np.float32)
+    return out
 
 
 class Sampler:
@@ -54,9 +63,12 @@ class Sampler:
     def __init__(self):
         self.slots: dict[bytes, int] = {}
         self.kept = np.zeros((3, KEPT, SAMPLES), np.float32)
+        #: The value of each draw for a weight of one, of which the logarithm is zero, and so is the level.
+        self.once = np.zeros((KEPT, SAMPLES), np.float32)
 
     def numbers(self, terms: list[bytes]) -> np.ndarray:
-        new = list(dict.fromkeys(t for t in terms if t not in self.slots))
+        known = list(map(self.slots.get, terms))
+        new = list(dict.fromkeys(t for t, slot in zip(terms, known) if slot is None)) if None in known else []
         if len(self.slots) + len(new) > KEPT:
             self.slots.clear()
             new = list(dict.fromkeys(terms))
@@ -64,10 +76,14 @@ class Sampler:
             first = len(self.slots)
             self.slots.update(zip(new, range(first, first + len(new))))
             hashes = np.array([xxhash.xxh64_intdigest(t) for t in new], dtype=np.uint64)
-            for i in range(0, len(new), 4096):
-                part = draws(hashes[i : i + 4096])
-                self.kept[:, first + i : first + i + part.shape[1]] = part
-        return np.array([self.slots[t] for t in terms])
+            for i in range(0, len(new), DRAWN):
+                part = draws(hashes[i : i + DRAWN])
+                some = slice(first + i, first + i + part.shape[1])
+                self.kept[:, some] = part
+                log_c, r, beta = part
+                self.once[some] = log_c - r * (np.float32(0) - beta + np.float32(1))
+            known = list(map(self.slots.__getitem__, terms))
+        return np.array(known, dtype=np.int64)
 
     def fingerprints(self, bags: list[dict[bytes, int]]) -> np.ndarray:
         """16 bits for each draw and bag; equal bags have equal fingerprints, the empty one is all zero."""
@@ -78,12 +94,12 @@ class Sampler:
         for start in range(0, len(terms), AT_ONCE):
             part = slice(start, start + AT_ONCE)
             slot, weight, own = self.numbers(terms[part]), weights[part], owner[part]
-            log_c, r, beta = self.kept[0, slot], self.kept[1, slot], self.kept[2, slot]
-            level = np.zeros_like(r)
-            more = weight > 1  # of a weight of one the logarithm is zero, and so is the level
-            if more.any():
-                level[more] = np.floor(np.log(weight[more])[:, None] / r[more] + beta[more])
-            value = log_c - r * (level - beta + np.float32(1))
+            value = self.once[slot]
+            more = np.flatnonzero(weight > 1)
+            if len(more):
+                log_c, r, beta = (kept[slot[more]] for kept in self.kept)
+                level = np.floor(np.log(weight[more])[:, None] / r + beta)
+                value[more] = log_c - r * (level - beta + np.float32(1))
             begin = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
             least[own[begin]] = np.minimum(least[own[begin]], np.minimum.reduceat(value, begin, axis=0))
         out = (mix(least.view(np.uint32).astype(np.uint64)) >> np.uint64(48)).astype(np.uint16)
