@@ -16,6 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tillwise import model
+from tillwise.ml import together
 from tillwise.ml.evaluate import confusion
 from tillwise.ml.prepare import SCALED, fit_behaviour
 from tillwise.session import materialise
@@ -50,13 +51,18 @@ def silhouette(clustered: DataFrame) -> float:
     )
 
 
+def best_kmeans(blocks: DataFrame, ks: list[int], restarts: int = 10, seed: int = 42) -> list[together.Fit]:
+    """For every k the best of several starts by training cost; all starts of all k share their passes over the rows."""
+    fits = together.kmeans(blocks, [(k, seed + i) for k in ks for i in range(restarts)])
+    return [min(fits[i * restarts : (i + 1) * restarts], key=lambda f: f.cost) for i in range(len(ks))]
+
+
 def sweep(vectors: DataFrame, ks: range, restarts: int = 10) -> DataFrame:
     """Inertia, the sum of squares that the labels themselves have, and silhouette for every k."""
     rows = []
-    for k in ks:
-        fitted = fit_kmeans(vectors, k, restarts)
-        labelled = fitted.transform(vectors)
-        rows.append((k, float(fitted.summary.trainingCost), within(labelled), silhouette(labelled)))
+    for fitted in best_kmeans(together.packed(vectors), list(ks), restarts):
+        labelled = together.with_cluster(vectors, fitted.centres)
+        rows.append((fitted.k, fitted.cost, within(labelled), silhouette(labelled)))
     return vectors.sparkSession.createDataFrame(rows, "k INT, inertia DOUBLE, within DOUBLE, silhouette DOUBLE")
 
 
@@ -65,10 +71,9 @@ def mixture_criteria(vectors: DataFrame, ks: range, seed: int = 42) -> DataFrame
     n = vectors.count()
     d = len(vectors.select(SCALED).first()[0])
     rows = []
-    for k in ks:
-        likelihood = GaussianMixture(k=k, seed=seed, featuresCol=SCALED).fit(vectors).summary.logLikelihood
+    for k, fitted in zip(ks, together.mixtures(together.packed(vectors), list(ks), seed)):
         free = k * (d + d * (d + 1) / 2) + k - 1
-        rows.append((k, free * math.log(n) - 2 * likelihood, 2 * free - 2 * likelihood))
+        rows.append((k, free * math.log(n) - 2 * fitted.likelihood, 2 * free - 2 * fitted.likelihood))
     return vectors.sparkSession.createDataFrame(rows, "k INT, bic DOUBLE, aic DOUBLE")
 
 
