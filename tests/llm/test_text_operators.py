@@ -710,6 +710,40 @@ def test_deduplicate_of_a_crowded_bucket(spark):
     assert set(plain_copies(texts)) <= set(got)
 
 
+@pytest.mark.parametrize("crowd,large,few", [(64, 512, 16), (3, 8, 2)])
+def test_deduplicate_follows_links_between_any_members(spark, crowd, large, few):
+    """Groups that only texts connect which do not stand for their groups are one; of crowded buckets too."""
+    r = random.Random(21)
+    texts = []
+    for _ in range(12):  # chains: each text is alike to the next, the ends are not
+        words = r.choices(VOCABULARY, k=200)
+        chain = [" ".join(words[i * 12 : i * 12 + 140]) for i in range(5)]
+        r.shuffle(chain)
+        texts += chain
+    words = r.choices(VOCABULARY, k=250)
+    texts += [" ".join(edited(r, words, r.choice((0.005, 0.02, 0.04)))) for _ in range(40)]
+    order = list(range(len(texts)))
+    r.shuffle(order)
+    texts = [texts[i] for i in order]
+    assert len(plain_copies(texts)) < 40
+    got = simhash.deduplicate(frame(spark, texts), crowd=crowd, large=large, few=few).where(F.col("doc_id") < len(texts)).collect()
+    assert sorted(x["doc_id"] for x in got) == plain_copies(texts)
+
+
+def test_a_group_of_copies_makes_few_pairs(spark):
+    """Texts of a bucket of which known links connect all but some: pairs come of the others alone, and spanning pairs one a text."""
+    r = random.Random(22)
+    words = r.choices(VOCABULARY, k=250)
+    texts = [" ".join(edited(r, words, 0.004)) for _ in range(120)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "key long, text string")
+    marked = common.over_texts(df, lambda: shingles.marks, shingles.MARKS).withColumn("root", F.when(F.col("key") < 117, 0).otherwise(F.col("key")))
+    crowded = marked.select(F.lit(1).alias("band"), "key")
+    got = {(x["a"], x["b"]) for x in shingles.crowded_pairs(crowded, marked).collect()}
+    assert got and all(b >= 117 for _, b in got)
+    apart = shingles.crowded_pairs(crowded, marked.withColumn("root", F.col("key")), spanning=True)
+    assert 0 < apart.count() <= 2 * len(texts)
+
+
 def test_deduplicate_judges_rows_that_share_an_id_by_their_texts(spark):
     a, b, c, d, e = (" ".join(random.Random(i).choices(VOCABULARY, k=40)) for i in range(5))
     rows = [(3, a), (7, b), (7, a), (8, c), (8, d), (9, e), (9, e), (9, a)]

@@ -7,7 +7,7 @@ bounds that never reject a true pair: the sizes, and the parities of the shingle
 stands for a shingle that only one of the texts has. Only then are whole sets compared.
 
 A passage that many unlike texts share fills buckets. A crowded bucket is compared in its task, by size and parities, and only pairs that pass
-leave it. The texts of large buckets take another order among themselves, in which the shingles of those buckets come last, and meet again.
+leave it. Texts that known links connect have one root and are not compared again, so a group of copies need not meet pair by pair. The texts of large buckets take another order among themselves, in which the shingles of those buckets come last, and meet again.
 """
 
 from __future__ import annotations
@@ -143,36 +143,39 @@ def _met(a: np.ndarray, b: np.ndarray, *bucket) -> pa.RecordBatch:
 
 
 def _meeting(few: int, neighbours: bool) -> Callable:
-    """Pairs of buckets of at most ``few`` texts; of larger ones neighbours in their order, or else each text with the bucket, its size and a hash of its members."""
+    """Pairs of buckets of at most ``few`` texts; of larger ones neighbours in their order, or else each text with the bucket, its size and a hash of its members.
 
-    def work(begin: np.ndarray, size: np.ndarray, band, key, n) -> Iterator[pa.RecordBatch]:
-        band, key, n = band.to_numpy(), key.to_numpy(), n.to_numpy()
+    Texts of one root need not meet, and a bucket of one root is left.
+    """
+
+    def work(begin: np.ndarray, size: np.ndarray, band, key, n, root) -> Iterator[pa.RecordBatch]:
+        band, key, n, root = band.to_numpy(), key.to_numpy(), n.to_numpy(), root.to_numpy()
         for k in np.unique(size[(size > 1) & (size <= few)]).tolist():  # all buckets of one size at once
             starts = begin[size == k]
             i, j = np.triu_indices(k, 1)
             step = max(1, PAIRS_AT_ONCE // len(i))
             for part in np.split(starts, range(step, len(starts), step)):
                 left, right = (part[:, None] + i).ravel(), (part[:, None] + j).ravel()
-                close = possible(n[left], n[right], np.zeros(1, np.int64)) & (key[left] != key[right])
+                close = possible(n[left], n[right], np.zeros(1, np.int64)) & (root[left] != root[right])
                 yield _met(key[left[close]], key[right[close]])
         for at in np.flatnonzero(size > few):
             some = slice(begin[at], begin[at] + size[at])
             if neighbours:
                 yield _met(key[some][:-1], key[some][1:])
-            else:
+            elif (root[some] != root[begin[at]]).any():
                 members = np.bitwise_xor.reduce(_mixed(key[some].view(np.uint64))).view(np.int64)
                 yield _met(key[some], key[some], band[begin[at]], size[at], members)
 
-    return by_bucket(["band", "key", "n"], work)
+    return by_bucket(["band", "key", "n", "root"], work)
 
 
 def meeting(buckets: DataFrame, few: int, neighbours: bool) -> DataFrame:
-    """a and b (a < b) of texts (key, n) that share a bucket (band) and may be alike by size; pairs may repeat.
+    """a and b (a < b) of texts (key, n, root) of different roots that share a bucket (band) and may be alike by size; pairs may repeat.
 
     Of buckets with more than ``few`` texts come neighbours in an order of hashes, or else each text (a and b) with band, size and a hash of the members.
     """
     dealt = buckets.repartition("band").sortWithinPartitions("band", F.xxhash64("band", "key"))
-    return dealt.select("band", "key", "n").mapInArrow(_meeting(few, neighbours), _MET)
+    return dealt.select("band", "key", "n", "root").mapInArrow(_meeting(few, neighbours), _MET)
 
 
 def _words(bits: list[bytes]) -> np.ndarray:
@@ -280,33 +283,56 @@ def verified(pairs: DataFrame, docs: DataFrame, distinct: DataFrame) -> DataFram
     return pairs.select("a", "b", "shingles_a", "shingles_b").mapInArrow(run, "a long, b long")
 
 
-def _crowded_pairs(begin: np.ndarray, size: np.ndarray, key, n, bits) -> Iterator[pa.RecordBatch]:
-    key, n, bits = key.to_numpy(), n.to_numpy(), bits.to_pylist()
-    for at, k in zip(begin.tolist(), size.tolist()):  # a bucket's texts come by size, so that cells never get fewer
-        own, cells = n[at : at + k], np.array([len(x) for x in bits[at : at + k]])
-        # none beyond this place is small enough for the text at hand
-        upto = np.searchsorted(own, own * ALIKE.denominator // ALIKE.numerator, "right")
-        starts = np.r_[np.flatnonzero(np.r_[True, cells[1:] != cells[:-1]]), k].tolist()
-        a, b, far = [], [], []
-        words = [_words(bits[at + s : at + e]) for s, e in zip(starts, starts[1:])]
-        for g, (s, e) in enumerate(zip(starts, starts[1:])):
-            # texts that are not too large have the same number of cells or twice as many
-            sides = [(s, e, words[g])]
-            if g + 1 < len(words) and words[g + 1].shape[1] == 2 * words[g].shape[1]:
-                sides.append((e, starts[g + 2], _halved(words[g + 1])))
-            for i in range(s, e):
-                for low, high, other in sides:
-                    begin_ = max(i + 1, low)
-                    for start in range(begin_, min(high, int(upto[i])), PAIRS_AT_ONCE):
-                        end = min(high, int(upto[i]), start + PAIRS_AT_ONCE)
-                        found = _apart(words[g][i - s], other[start - low : end - low])
-                        close = np.flatnonzero(possible(own[i], own[start:end], found))
-                        if len(close):
-                            a.append(np.full(len(close), key[at + i]))
-                            b.append(key[at + start + close])
-                            far.append(found[close])
-        if a:
-            yield _pairs(np.concatenate(a), np.concatenate(b)).append_column("apart", pa.array(np.concatenate(far)))
+def _crowded_pairs(spanning: bool) -> Callable:
+    """Pairs of texts of different roots of a bucket that sizes and parities allow; if ``spanning``, of each text only the one that differs least."""
+
+    def work(begin: np.ndarray, size: np.ndarray, key, n, bits, root) -> Iterator[pa.RecordBatch]:
+        key, n, bits, root = key.to_numpy(), n.to_numpy(), bits.to_pylist(), root.to_numpy()
+        for at, k in zip(begin.tolist(), size.tolist()):  # a bucket's texts come by size, so that cells never get fewer
+            own, cells, of = n[at : at + k], np.array([len(x) for x in bits[at : at + k]]), root[at : at + k]
+            names, number, members = np.unique(of, return_inverse=True, return_counts=True)
+            if len(names) == 1:
+                continue
+            most = of == names[members.argmax()]  # texts of the commonest root meet the others alone
+            others = np.flatnonzero(~most)
+            # none beyond this place is small enough for the text at hand
+            upto = np.searchsorted(own, own * ALIKE.denominator // ALIKE.numerator, "right")
+            starts = np.r_[np.flatnonzero(np.r_[True, cells[1:] != cells[:-1]]), k].tolist()
+            a, b, far = [], [], []
+            words = [_words(bits[at + s : at + e]) for s, e in zip(starts, starts[1:])]
+            for g, (s, e) in enumerate(zip(starts, starts[1:])):
+                # texts that are not too large have the same number of cells or twice as many
+                sides = [(s, e, words[g])]
+                if g + 1 < len(words) and words[g + 1].shape[1] == 2 * words[g].shape[1]:
+                    sides.append((e, starts[g + 2], _halved(words[g + 1])))
+                for i in range(s, e):
+                    for low, high, other in sides:
+                        first, end_ = max(i + 1, low), min(high, int(upto[i]))
+                        met = others[slice(*np.searchsorted(others, [first, end_]))] if most[i] else np.arange(first, end_)
+                        for start in range(0, len(met), PAIRS_AT_ONCE):
+                            some = met[start : start + PAIRS_AT_ONCE]
+                            found = _apart(words[g][i - s], other[some - low])
+                            close = np.flatnonzero(possible(own[i], own[some], found) & (of[some] != of[i]))
+                            if spanning and len(close):
+                                close = close[[found[close].argmin()]]
+                            if len(close):
+                                a.append(np.full(len(close), key[at + i]))
+                                b.append(key[at + some[close]])
+                                far.append(found[close])
+            if a:
+                yield _pairs(np.concatenate(a), np.concatenate(b)).append_column("apart", pa.array(np.concatenate(far)))
+
+    return by_bucket(["key", "n", "bits", "root"], work)
+
+
+def crowded_pairs(crowded: DataFrame, marked: DataFrame, spanning: bool = False) -> DataFrame:
+    """a, b and apart of the pairs of different roots in crowded buckets (band, key) that sizes and parities (key, n, bits, root) allow."""
+    dealt = crowded.select("band", "key").join(marked.select("key", "n", "bits", "root"), "key").repartition("band").sortWithinPartitions("band", "n", "key")
+    return dealt.mapInArrow(_crowded_pairs(spanning), _SCREENED)
+
+
+def once(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("a", "b").agg(F.min("apart").alias("apart"))
 
 
 def reordered(texts: DataFrame, last: DataFrame) -> DataFrame:
@@ -330,12 +356,13 @@ def reordered(texts: DataFrame, last: DataFrame) -> DataFrame:
     return texts.select("key", "text").mapInArrow(run, "band long, key long, n long")
 
 
-def joined(buckets: DataFrame, marked: DataFrame, docs: DataFrame, crowd: int = CROWD, large: int = LARGE, orders: int = ORDERS) -> DataFrame:
-    """a, b and apart: all pairs of ``marked`` texts (key, least, n, bits) that sizes and parities allow, among them all that are alike.
+def met(buckets: DataFrame, marked: DataFrame, docs: DataFrame, crowd: int = CROWD, large: int = LARGE, orders: int = ORDERS) -> tuple[DataFrame, DataFrame]:
+    """The pairs (a, b, apart) of different roots in buckets that are not crowded, and the crowded buckets (band, key; stored).
 
-    ``buckets`` has band, key and n of their first shingles; ``docs`` the texts (see ``texts_of``). Pairs come once.
+    Among these and the pairs of the crowded buckets are all texts of ``marked`` (key, least, n, bits, root) that are alike and of different roots.
+    ``buckets`` has band, key, n and root of their first shingles; ``docs`` the texts (see ``texts_of``).
     """
-    found, last = [], None
+    found, crowds, last = [], [], None
     for turn in range(orders + 1):
         met = materialise(meeting(buckets, crowd, neighbours=False), "met")
         found.append(screened(met.where("size IS NULL"), marked))
@@ -347,11 +374,21 @@ def joined(buckets: DataFrame, marked: DataFrame, docs: DataFrame, crowd: int =
         new = materialise(new if last is None else new.join(last.select("band"), "band", "left_anti"), "large")
         again = turn < orders and not new.isEmpty()
         near = crowded.where(F.col("size") <= large) if again else crowded
-        dealt = near.join(marked.select("key", "n", "bits"), "key").repartition("band").sortWithinPartitions("band", "n", "key")
-        found.append(dealt.mapInArrow(by_bucket(["key", "n", "bits"], _crowded_pairs), _SCREENED))
+        # in each order a bucket is one of its own
+        crowds.append(near.select(F.xxhash64(F.lit(turn), "band").alias("band"), "key"))
         if not again:
             break
         last = materialise(common.largest(new if last is None else last.unionByName(new), F.col("size"), COMMON), "last")
         keys = materialise(crowded.where(F.col("size") > large).select("key").distinct(), "crowded")
-        buckets = reordered(texts_of(docs, keys, marked), last)
-    return reduce(DataFrame.unionByName, found).groupBy("a", "b").agg(F.min("apart").alias("apart"))
+        buckets = reordered(texts_of(docs, keys, marked), last).join(marked.select("key", "root"), "key")
+    return reduce(DataFrame.unionByName, found), materialise(reduce(DataFrame.unionByName, crowds), "crowds")
+
+
+def joined(buckets: DataFrame, marked: DataFrame, docs: DataFrame, crowd: int = CROWD, large: int = LARGE, orders: int = ORDERS) -> DataFrame:
+    """a, b and apart: all pairs of ``marked`` texts (key, least, n, bits) that sizes and parities allow, among them all that are alike.
+
+    ``buckets`` has band, key and n of their first shingles; ``docs`` the texts (see ``texts_of``). Pairs come once.
+    """
+    buckets, marked = (df if "root" in df.columns else df.withColumn("root", F.col("key")) for df in (buckets, marked))
+    pairs, crowds = met(buckets, marked, docs, crowd, large, orders)
+    return once(pairs.unionByName(crowded_pairs(crowds, marked)))

@@ -241,27 +241,31 @@ def groups(docs: DataFrame) -> DataFrame:
     )
 
 
-def standing(distinct: DataFrame, found: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    """key, least and root (shared by texts that the links found connect) of each text, and the key of the one of a root that stands for it."""
+def rooted(distinct: DataFrame, found: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """key, least and root (shared by texts that the links found connect) of each text, and the stored key and root of those whose root is another text."""
     if found is None:
         roots = distinct.select("key", "least", F.col("key").alias("root"))
-        return roots, roots.select("key")
-    roots = materialise(
-        distinct.join(components(found), F.col("key") == F.col("node"), "left").select("key", "least", F.coalesce("root", "key").alias("root")),
-        "roots",
-    )
-    sole = roots.groupBy("root").agg(F.min_by("key", F.struct(F.col("least").isNull(), "least", "key")).alias("key"))
-    return roots, materialise(sole.select("key"), "standing")
+    else:
+        of = components(found).withColumnRenamed("node", "key")
+        roots = materialise(distinct.join(of, "key", "left").select("key", "least", F.coalesce("root", "key").alias("root")), "roots")
+    return roots, materialise(roots.where("root != key").select("key", "root"), "moved")
+
+
+def with_root(df: DataFrame, moved: DataFrame, key: str = "key", root: str = "root") -> DataFrame:
+    """``df`` with the root of its ``key``; ``moved`` has those that are not their own."""
+    named = moved.select(F.col("key").alias(key), F.col("root").alias(root))
+    return common.narrowed(df, named, key, "left").withColumn(root, F.coalesce(root, key))
 
 
 def near_copies(
-    distinct: DataFrame, texts: DataFrame, crowd: int = shingles.CROWD, large: int = shingles.LARGE, few: int = shingles.FEW, rounds: int = 2
+    distinct: DataFrame, texts: DataFrame, crowd: int = shingles.CROWD, large: int = shingles.LARGE, few: int = shingles.FEW, rounds: int = 2, spans: int = 3
 ) -> DataFrame:
     """key, least and root (shared by texts that links connect) of every row of ``distinct`` (key, least, fp, n, bits, first; see ``shingles.marks``).
 
     Links are pairs whose five-word shingles agree to 0.8. Groups of copies are taken together first, by fingerprints within ``MOST_BITS`` and by
-    the first four shingles, along spanning pairs; then the texts that stand for a group, or alone, are joined exactly. So no two texts that
-    stand in the end are alike. ``texts`` has doc_id, key and text of all rows.
+    the first four shingles, along spanning pairs; then all texts are joined exactly with those of other groups, so that every link between any two
+    texts is found, or lies within a group that other links connect. Crowded buckets give spanning pairs first, one a text and at most ``spans`` times,
+    and only what is still apart pair by pair. ``texts`` has doc_id, key and text of all rows.
     """
     of = distinct.groupBy("fp").agg(F.min("key").alias("key"))
     near = links(of)
@@ -269,26 +273,41 @@ def near_copies(
         near = near.join(of.select(F.col("fp").alias(side), F.col("key").alias(f"key_{side}")), side)
     near = near.select(F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b"))
 
-    found, (roots, alone) = None, standing(distinct, None)
+    def apart(pairs: DataFrame, moved: DataFrame) -> DataFrame:
+        """The pairs of different roots."""
+        return with_root(with_root(pairs, moved, "a", "root_a"), moved, "b", "root_b").where("root_a != root_b").drop("root_a", "root_b")
+
+    def alike(pairs: DataFrame) -> DataFrame:
+        return materialise(shingles.verified(pairs, texts, distinct), "alike")
+
+    found = None
+    roots, moved = rooted(distinct, None)
     for turn in range(rounds):
-        marked = common.narrowed(distinct, alone, "key") if turn else distinct
-        buckets = marked.select("key", "n", F.explode(F.slice("first", 1, 4)).alias("band"))
+        marked = with_root(distinct, moved)
+        # one text of a group is enough here
+        buckets = marked.where("root = key").select("key", "n", "root", F.explode(F.slice("first", 1, 4)).alias("band"))
         pairs = shingles.meeting(buckets, few, neighbours=True).select("a", "b")
         pairs = pairs.unionByName(near) if not turn else pairs
-        new = materialise(shingles.verified(shingles.nearest(shingles.screened(pairs, marked)), texts, distinct), "alike")
+        new = alike(shingles.nearest(shingles.screened(pairs, marked)))
         found = new if found is None else found.unionByName(new)
-        roots, alone = standing(distinct, found)
-
-    marked = common.narrowed(distinct, alone, "key")
-    buckets = marked.select("key", "n", F.explode("first").alias("band"))
-    pairs = materialise(shingles.joined(buckets, marked, texts, crowd, large), "pairs")
-    new = materialise(shingles.verified(shingles.nearest(pairs), texts, distinct), "alike")
-    found = found.unionByName(new)
-    roots, alone = standing(distinct, found)
-    for side in ("a", "b"):  # what spanning pairs have not brought together is compared pair by pair
-        pairs = common.narrowed(pairs, alone.select(F.col("key").alias(side)), side)
-    new = materialise(shingles.verified(pairs, texts, distinct), "alike")
-    return roots if new.isEmpty() else standing(distinct, found.unionByName(new))[0]
+        roots, moved = rooted(distinct, found)
+
+    marked = with_root(distinct, moved)
+    buckets = marked.select("key", "n", "root", F.explode("first").alias("band"))
+    pairs, crowds = shingles.met(buckets, marked, texts, crowd, large)
+    pairs = materialise(shingles.once(pairs), "pairs")
+    for turn in range(spans):
+        spanning = shingles.crowded_pairs(crowds, with_root(distinct, moved), spanning=True)
+        candidates = shingles.once(spanning if turn else pairs.unionByName(spanning))
+        new = alike(shingles.nearest(candidates))
+        if new.isEmpty():
+            break
+        found = found.unionByName(new)
+        roots, moved = rooted(distinct, found)
+    # what spanning pairs have not brought together is compared pair by pair
+    left = shingles.once(apart(pairs, moved).unionByName(shingles.crowded_pairs(crowds, with_root(distinct, moved))))
+    new = alike(left)
+    return roots if new.isEmpty() else rooted(distinct, found.unionByName(new))[0]
 
 
 def deduplicate(docs: DataFrame, crowd: int = shingles.CROWD, large: int = shingles.LARGE, few: int = shingles.FEW) -> DataFrame:
