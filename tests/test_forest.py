@@ -106,3 +106,4 @@ def test_stored_forest_scores_as_before(boxes, tmp_path):
 
 def test_status_forests_stay_out_of_the_driver():
     assert isinstance(classify.forest(), forest.Forest)
+    assert isinstance(classify.balanced_models()["forest"], forest.Forest)
