@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tillwise import model
 from tillwise.catalog.base import query
-from tillwise.operators import analysis, star
+from tillwise.operators import analysis, features, star
 from tillwise.plans import batch
 from tillwise.plans.insights import insight_report
 from tillwise.session import materialise, new_path
@@ -168,8 +168,9 @@ def s12(t):
 @query("s13_insight_report")
 def s13(t):
     path = new_path(t.spark, "insights")
-    features = materialise(t.features, "features")
-    files.export_text(insight_report(t.named_sales, t.customers, t.articles, features), path)
+    sales = materialise(t.named_sales, "sales")
+    rows = materialise(features.customer_features(sales, t.customers_clean, AS_OF), "features")
+    files.export_text(insight_report(sales, t.customers, t.articles, rows), path)
     return t.spark.read.text(path, wholetext=True)
 
 

@@ -23,7 +23,8 @@ def insight_report(
     sales: DataFrame, customers: DataFrame, articles: DataFrame, features: DataFrame
 ) -> DataFrame:
     """One row, column ``value``: a section per aggregate. Every table has one row per
-    segment, age group, product group or channel, never per customer."""
+    segment, age group, product group or channel, never per customer. ``sales`` and ``features`` are
+    read several times, so hand in stored tables."""
     cover = analysis.coverage(sales, customers, articles)
     overview = cover.select(
         F.format_string(
