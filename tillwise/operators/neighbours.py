@@ -57,6 +57,26 @@ def n_least(costs: np.ndarray, n: int) -> np.ndarray:
     return sure | (equal & (np.cumsum(equal, axis=1) <= open_places))
 
 
+def least_places(costs: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of ``n_least``, in its order.
+
+    The ``n``-th least of the first columns bounds what the whole row keeps, so that most entries are only compared with it.
+    """
+    width = costs.shape[1]
+    some = max(4 * n, width // 16)
+    if some >= width:
+        return np.nonzero(n_least(costs, n))
+    bound = np.partition(costs[:, :some], n - 1, axis=1)[:, n - 1 : n]
+    # what is rounded to no more than the bound is may lie a little above it
+    at, near = np.nonzero(costs <= bound + 2e-9 + 1e-12 * np.abs(bound))
+    if np.isnan(bound).any() or len(at) > costs.size // 8:
+        return np.nonzero(n_least(costs, n))
+    order = np.lexsort((near, np.round(costs[at, near], 9), at))
+    first = np.searchsorted(at, np.arange(len(costs)))
+    kept = np.sort(order[np.arange(len(at)) - first[at[order]] < n])
+    return at[kept], near[kept]
+
+
 def nearest(
     rows: DataFrame,
     pool: DataFrame,
@@ -94,7 +114,7 @@ def nearest(
                 gaps = (mine**2).sum(axis=1)[:, None] + squares[None, :] - 2 * mine @ known.T
                 if skip_self:
                     gaps[piece[key].to_numpy(dtype=object)[:, None] == pool_keys[None, :]] = np.inf
-                at, near = np.nonzero(n_least(gaps, n))
+                at, near = least_places(gaps, n)
                 some = pd.DataFrame(
                     {
                         key: piece[key].to_numpy()[at],
