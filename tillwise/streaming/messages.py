@@ -12,9 +12,10 @@ def parse_messages(raw: DataFrame) -> DataFrame:
 
     Text that is no JSON gives NULL columns, which the validity rules reject; the raw text
     stays with the row, so a rejected message can be repaired later.
+
+    The decoded columns come out of a generator of one row: conditions on them are not moved below it, where each
+    would decode the text again.
     """
     text = F.col("value").cast("string")
     data = F.from_json(text, model.MESSAGE, {"mode": "PERMISSIVE"})
-    return raw.select(
-        data.alias("data"), F.col("timestamp").alias("kafka_timestamp"), text.alias("raw_value")
-    ).select("data.*", "kafka_timestamp", "raw_value")
+    return raw.select(F.inline(F.array(data)), F.col("timestamp").alias("kafka_timestamp"), text.alias("raw_value"))
