@@ -242,12 +242,14 @@ def groups(docs: DataFrame) -> DataFrame:
 
 
 def rooted(distinct: DataFrame, found: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    """key, least and root (shared by texts that the links found connect) of each text, and the stored key and root of those whose root is another text."""
+    """key, least, n, bits and root (shared by texts that the links found connect) of each text, and the stored key and root of those whose root is another text."""
+    own = distinct.select("key", "least", "n", "bits")
     if found is None:
-        roots = distinct.select("key", "least", F.col("key").alias("root"))
+        roots = own.withColumn("root", F.col("key"))
     else:
         of = components(found).withColumnRenamed("node", "key")
-        roots = materialise(distinct.join(of, "key", "left").select("key", "least", F.coalesce("root", "key").alias("root")), "roots")
+        # stored, as each step that asks for roots would join all texts anew
+        roots = materialise(own.join(of, "key", "left").withColumn("root", F.coalesce("root", "key")), "roots")
     return roots, materialise(roots.where("root != key").select("key", "root"), "moved")
 
 
@@ -280,38 +282,31 @@ def near_copies(
     def alike(pairs: DataFrame) -> DataFrame:
         return materialise(shingles.verified(pairs, texts, distinct), "alike")
 
-    def known(moved: DataFrame) -> DataFrame:
-        """The texts with their roots, stored: each step that asks for them would join them anew."""
-        return materialise(with_root(distinct.drop("first", "fp"), moved), "known")
-
     found = None
     roots, moved = rooted(distinct, None)
     for turn in range(rounds):
-        marked = known(moved) if turn else distinct.withColumn("root", F.col("key"))
         # one text of a group is enough here
         own = distinct if not turn else common.narrowed(distinct, moved.select("key"), "key", "left_anti")
         buckets = own.select("key", "n", F.col("key").alias("root"), F.explode(F.slice("first", 1, 4)).alias("band"))
         pairs = shingles.meeting(buckets, few, neighbours=True).select("a", "b")
         pairs = pairs.unionByName(near) if not turn else pairs
-        new = alike(shingles.nearest(shingles.screened(pairs, marked)))
+        new = alike(shingles.nearest(shingles.screened(pairs, roots)))
         found = new if found is None else found.unionByName(new)
         roots, moved = rooted(distinct, found)
 
-    marked = known(moved)
     buckets = with_root(distinct.select("key", "n", "first"), moved).select("key", "n", "root", F.explode("first").alias("band"))
-    pairs, crowds = shingles.met(buckets, marked, texts, crowd, large)
+    pairs, crowds = shingles.met(buckets, roots, texts, crowd, large)
     pairs = materialise(shingles.once(pairs), "pairs")
     for turn in range(spans):
-        spanning = shingles.crowded_pairs(crowds, marked, spanning=True)
+        spanning = shingles.crowded_pairs(crowds, roots, spanning=True)
         candidates = shingles.once(spanning if turn else pairs.unionByName(spanning))
         new = alike(shingles.nearest(candidates))
         if new.isEmpty():
             break
         found = found.unionByName(new)
         roots, moved = rooted(distinct, found)
-        marked = known(moved)
     # what spanning pairs have not brought together is compared pair by pair
-    left = shingles.once(apart(pairs, moved).unionByName(shingles.crowded_pairs(crowds, marked)))
+    left = shingles.once(apart(pairs, moved).unionByName(shingles.crowded_pairs(crowds, roots)))
     new = alike(left)
     return roots if new.isEmpty() else rooted(distinct, found.unionByName(new))[0]
 
