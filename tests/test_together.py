@@ -1,6 +1,7 @@
 """Fits that share their passes, against plain versions."""
 
 import numpy as np
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector
 
 from tillwise.ml import cluster, together
@@ -65,3 +66,23 @@ def test_sweep_costs_fall(spark):
     assert all(a["inertia"] > b["inertia"] for a, b in zip(rows, rows[1:]))
     assert all(abs(r["inertia"] - r["within"]) <= 0.01 * r["within"] for r in rows)
     assert max(rows, key=lambda r: r["silhouette"])["k"] == 4
+
+
+def test_segmentation_shares_its_starts_and_keeps_them(spark, tmp_path, monkeypatch):
+    """Ten starts cost the passes of the longest; the model is saved and read as a stage."""
+    random = np.random.default_rng(3)
+    table = [([float(v) for v in row],) for row in np.concatenate([random.normal(m, 0.2, (60, 2)) for m in (-4, 0, 4)])]
+    df = spark.createDataFrame(table, "v ARRAY<DOUBLE>").select(array_to_vector("v").alias(SCALED))
+    passes, plain = [], together._pass
+    monkeypatch.setattr(together, "_pass", lambda *given: passes.append(1) or plain(*given))
+    fitted = cluster.fit_kmeans(df, 3, restarts=10)
+    assert len(passes) < 40
+    centres = sorted(c[0] for c in fitted.getOrDefault("centres"))
+    assert np.allclose(centres, [-4, 0, 4], atol=0.2)
+    PipelineModel([fitted]).write().save(str(tmp_path / "model"))
+    again = PipelineModel.load(str(tmp_path / "model"))
+    assert again.transform(df).select("cluster").collect() == fitted.transform(df).select("cluster").collect()
+    mixed = together.with_component(df, together.mixtures(together.packed(df), [3], 1)[0])
+    assert mixed.groupBy("cluster").count().count() == 3
+    compared = {r.model: r for r in cluster.compare_segmentations(df, 3).collect()}
+    assert all(r.n == 180 for r in compared.values()) and len(compared) == 4

@@ -3,13 +3,11 @@
 from __future__ import annotations
 
 import math
-from multiprocessing.pool import ThreadPool
 
 import numpy as np
-from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier
-from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans, KMeansModel
+from pyspark.ml.clustering import BisectingKMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -28,16 +26,10 @@ def principal_components(vectors: DataFrame, k: int) -> tuple[DataFrame, list[fl
     return fitted.transform(vectors), [float(v) for v in fitted.explainedVariance]
 
 
-def fit_kmeans(
-    vectors: DataFrame, k: int, restarts: int = 10, seed: int = 42, parallelism: int = 4
-) -> KMeansModel:
-    """Best of several starts by training cost; a few of them run at the same time."""
-    def start(i: int) -> KMeansModel:
-        return KMeans(k=k, seed=seed + i, maxIter=300, featuresCol=SCALED, predictionCol="cluster").fit(vectors)
-
-    with ThreadPool(min(parallelism, restarts)) as pool:
-        starts = pool.map(inheritable_thread_target(vectors.sparkSession)(start), range(restarts))
-    return min(starts, key=lambda m: m.summary.trainingCost)
+def fit_kmeans(vectors: DataFrame, k: int, restarts: int = 10, seed: int = 42) -> together.Centres:
+    """Best of several starts by training cost; all of them share their passes over the rows."""
+    best = best_kmeans(together.packed(vectors), [k], restarts, seed)[0]
+    return together.Centres(centres=best.centres.tolist(), cost=best.cost)
 
 
 def silhouette(clustered: DataFrame) -> float:
@@ -80,12 +72,13 @@ def mixture_criteria(vectors: DataFrame, ks: range, seed: int = 42) -> DataFrame
 def compare_segmentations(vectors: DataFrame, k: int = 6, seed: int = 42) -> DataFrame:
     """K-means, Gaussian mixture, top-down tree and bottom-up merges with ``k`` segments each: model, labels given,
     rows labelled, sum of squares around the segments' means, and silhouette over all rows."""
-    fitted = {
-        "k-means": fit_kmeans(vectors, k, seed=seed),
-        "mixture": GaussianMixture(k=k, seed=seed, featuresCol=SCALED, predictionCol="cluster").fit(vectors),
-        "tree": fit_bisecting(vectors, k, seed),
+    blocks = together.packed(vectors)
+    labelled = {
+        "k-means": together.with_cluster(vectors, best_kmeans(blocks, [k], seed=seed)[0].centres),
+        "mixture": together.with_component(vectors, together.mixtures(blocks, [k], seed)[0]),
+        "tree": fit_bisecting(vectors, k, seed).transform(vectors),
+        "ward": ward_segments(vectors, k)[0],
     }
-    labelled = {name: one.transform(vectors) for name, one in fitted.items()} | {"ward": ward_segments(vectors, k)[0]}
     rows = []
     for name, one in labelled.items():
         sizes = one.groupBy("cluster").count().agg(F.count("*"), F.sum("count")).first()
@@ -281,7 +274,7 @@ def train_segmentation(
         fitted = fit_kmeans(vectors, k, restarts)
         metrics = {
             "silhouette_score": silhouette(fitted.transform(vectors)),
-            "inertia": float(fitted.summary.trainingCost),
+            "inertia": fitted.getOrDefault("cost"),
             "k": k,
             "n_samples": vectors.count(),
         }
