@@ -49,6 +49,7 @@ def test_first_tree_halves_the_squares_as_a_plain_search(rows, spark):
 def test_margins_are_kept_between_rounds(rows, monkeypatch):
     whole = boost.Boosted(featuresCol="scaled", maxIter=6, maxDepth=2).fit(rows)
     monkeypatch.setattr(boost, "KEPT", 2)
+    monkeypatch.setattr(boost, "ROWS", 100)  # and rows that are worked on in parts
     parts = boost.Boosted(featuresCol="scaled", maxIter=6, maxDepth=2).fit(rows)
     assert np.allclose(whole.getOrDefault("value"), parts.getOrDefault("value"), atol=1e-4)
 
