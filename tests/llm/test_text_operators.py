@@ -547,6 +547,74 @@ def test_language_edges(spark, nothing):
     assert (row["held_out"], row["n_tokens"], row["n_known"], row["train_tokens"], row["base_score"]) == (True, 3, 0, 0, 0.0)
 
 
+def test_every_pair_of_words_is_a_feature(spark, monkeypatch):
+    """Scores equal the closed form over counts of whole words, whatever buckets of the class model they share."""
+    monkeypatch.setattr(language, "WORDS", 8)
+    monkeypatch.setattr(language, "HEAD", 64)
+    monkeypatch.setattr(language, "SLICE_BYTES", 500)
+    monkeypatch.setattr(language, "RANGE_BYTES", 700)
+    r = random.Random(5)
+    follows = {w: [r.randrange(400) for _ in range(2)] for w in range(400)}
+    texts = ["", None, "v1"]
+    for _ in range(60):
+        at, words = r.randrange(400), []
+        for _ in range(r.randint(1, 60)):
+            words.append(f"v{at}")
+            at = r.choice(follows[at])
+        texts.append(" ".join(words))
+    texts += texts[:6] + ["never seen"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    tokens = lambda t: plain(t).lower().split() + [b" "]
+    one, pair, skip, size = Counter(), Counter(), Counter(), Counter()
+    for i, t in enumerate(texts):
+        if not held(i):
+            own = [b"  ", b" ", *tokens(t)]
+            one.update(own[2:])
+            size[b"  "] += 1
+            pair.update(zip(own[1:], own[2:]))
+            skip.update(zip(own, own[2:]))
+            skip[own[-2], b" "] += 1
+    size.update(one)
+    # each context sees as many features as its word has tokens
+    for features in (pair, skip):
+        seen = Counter()
+        for (before, _), n in features.items():
+            seen[before] += n
+        assert all(size[w] == n for w, n in seen.items())
+    training = df.where(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) != 2)
+    model = language.fit(training, language.word_counts(training))
+    head, words = model.head, len(model.head.classes)
+    rest = np.log10(model.other_tokens + model.other_distinct + 1)
+    assert len(one) > 200 > language.HEAD  # many words are out of the head
+    rows = language.score(df).collect()
+    assert sorted(x["doc_id"] for x in rows) == list(range(len(texts)))
+    total = Counter()
+    for row in rows:
+        own = tokens(texts[row["doc_id"]])
+        codes, sizes = language.coded([plain(texts[row["doc_id"]])], language.Codes(head.code))
+        place, hashes, kind, previous, skipped = head.resolve(codes, sizes)
+        got = 0.0
+        for j, w in enumerate(own):
+            q = model.class_log10[skipped[j], previous[j], kind[j]]
+            if 0 <= place[j] < words:
+                q += model.word_log10[previous[j], place[j]]
+            else:
+                q += math.log10(one[w] + 1) - rest[hashes[j] % language.OTHERS]
+            p = 10**q
+            before, last = [b"  ", b" ", *own][j : j + 2]
+            for context, n in ((before, skip[before, w]), (last, pair[last, w])):
+                mass = 4 * max(size[context], 1) ** 0.8
+                p = (n + mass * p) / (size[context] + mass)
+            got += math.log10(p)
+        assert row["score"] == pytest.approx(got, rel=1e-9)
+        assert row["n_known"] == sum(one[w] > 0 for w in own)
+        if held(row["doc_id"]):
+            total.update({"score": row["score"], "base": row["base_score"], "n": len(own)})
+    # two words may follow each word: with buckets alone little of that is learnt
+    assert total["score"] - total["base"] > 0.5 * total["n"]
+
+
 # fingerprints by sampling
 
 
