@@ -2,9 +2,11 @@
 
 import numpy as np
 from pyspark.ml.classification import LinearSVC, OneVsRest
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector
 
-from tillwise.ml import classify
+from tillwise.ml import classify, margin, together
+from tillwise.session import few_at_once
 
 
 def drawn(spark, n=900):
@@ -47,3 +49,22 @@ def test_classes_share_a_bounded_number_of_passes(spark):
     finally:
         context._jsc.clearJobGroup()
         df.unpersist()
+
+
+def test_blocks_are_small_and_come_few_at_a_time(spark):
+    """A task holds a hundred blocks while it writes, and a batch of them while it reads."""
+    rows = spark.range(0, 6000, 1, 1).selectExpr("transform(sequence(1, 300), i -> cast(i * id as double)) as x", "0d as y", "1d as w")
+    blocks = margin._blocks(rows, 300, 6000.0, np.zeros(300), np.ones(300))
+    assert 100 * blocks.selectExpr("max(length(block)) as n").first().n < 64 << 20
+    sums = together._pass(blocks, lambda x, _: [np.array([len(x), x[:, 0].sum(), x[:, -1].sum()])], np.add)[0]
+    assert sums.tolist() == [6000, sum(range(6000)), np.float64(sums[2])] and abs(sums[2] - 1) < 1e-9
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    with few_at_once(spark), few_at_once(spark):
+        assert spark.range(0, 100, 1, 1).mapInArrow(sizes, "n long").selectExpr("max(n) as n").first().n == 16
+    assert spark.conf.get(name) == before
